@@ -1,0 +1,5 @@
+"""Nothing of its own: the source workload has no streams.
+
+The expressions of ``feedmill.functions.lists`` and ``feedmill.functions.text``
+are row-local and run unchanged on a streaming DataFrame (tests/test_streaming.py).
+"""
