@@ -9,6 +9,15 @@ from pyspark.sql import Column, functions as F
 from feedmill.functions.hashing import seeded_int, seeded_md5
 
 
+def fail(*message) -> Column:
+    """Raise an error for the row when evaluated.
+
+    The empty piece of a uuid makes the expression nondeterministic, which keeps
+    the optimizer from evaluating it ahead of a filter that removes the row.
+    """
+    return F.raise_error(F.concat(*message, F.substring(F.uuid(), 1, 0)))
+
+
 def _clicked_or_empty(clicked: Column, inview: Column) -> Column:
     return F.coalesce(clicked, F.slice(inview, 1, 0))
 
@@ -54,7 +63,7 @@ def sampled_without_replacement(items: Column, n: int, seed, *key) -> Column:
     """``n`` distinct positions of ``items``; fails when the list is shorter than ``n``."""
     return (
         F.when(items.isNull() | (F.size(items) >= n), F.slice(shuffled(items, seed, *key), 1, n))
-        .otherwise(F.raise_error(F.lit(f"cannot draw {n} items without replacement from a shorter list")))
+        .otherwise(fail(F.lit(f"cannot draw {n} items without replacement from a shorter list")))
     )
 
 
@@ -82,7 +91,7 @@ def negatives_per_click(pool: Column, n: int, with_replacement: bool, seed, key:
         F.sequence(F.lit(0), F.lit(n - 1)), lambda j: F.get(pool, F.pmod(start + j, size).cast("int"))
     )
     return F.when(size >= n, drawn).otherwise(
-        F.raise_error(F.lit(f"cannot draw {n} negatives without replacement from a smaller pool"))
+        fail(F.lit(f"cannot draw {n} negatives without replacement from a smaller pool"))
     )
 
 

@@ -6,11 +6,16 @@ batch becomes a (rows, n, d) tensor without touching single elements.
 
 import functools
 import operator
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, functions as F
 
+# Tasks get these functions by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value: what a masked attention score becomes.
 MASKED = -1e12
 

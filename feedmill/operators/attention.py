@@ -109,9 +109,9 @@ def sequences(
     vectors = table.select(F.col(table_key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
     found = lookup_join(rows, vectors, "_id", "left", row_bytes=16 + 8 * dim)
     unknown = vectors.where(F.col("_id") == UNKNOWN_KEY).select("_v")
-    element = F.struct(F.col("_i").alias("i"), F.coalesce(F.col("_v"), unknown.scalar()).alias("v"))
-    collected = found.groupBy(key).agg(F.array_sort(F.collect_list(element)).alias("_l"))
-    return collected.select(key, F.flatten(F.transform("_l", lambda t: t["v"])).alias("flat"))
+    filled = found.withColumn("_v", F.coalesce(F.col("_v"), unknown.scalar()))
+    collected = filled.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_l"))
+    return collected.select(key, F.flatten(F.transform("_l", lambda t: t["_v"])).alias("flat"))
 
 
 def self_attention(

@@ -147,8 +147,8 @@ def attach_scores(
         F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(score).alias("s")))).alias("_s")
     )
     values = F.coalesce(F.transform("_s", lambda t: t["s"]), F.array().cast("array<double>"))
-    message = F.concat(F.lit("scores and candidates differ in number for "), F.to_json(F.struct(*key)))
-    checked = F.when(F.size(values) == F.size(inview), values).otherwise(F.raise_error(message))
+    problem = L.fail(F.lit("scores and candidates differ in number for "), F.to_json(F.struct(*key)))
+    checked = F.when(F.size(values) == F.size(inview), values).otherwise(problem)
     return df.join(collected, key, "left").withColumn(scores, checked).drop("_s")
 
 

@@ -56,10 +56,14 @@ def scan_history(spark, sf):
     return D.history_rows(spark, sf)
 
 
+def _time_text(df):
+    return df.withColumn(S.IMPRESSION_TIME, F.col(S.IMPRESSION_TIME).cast("string"))
+
+
 @query
 def scan_behaviors(spark, sf):
     shown = D.behaviors(spark, sf)
-    return I.candidate_rows(shown, [ID, USER, S.IMPRESSION_TIME], first_pos="first_pos")
+    return _time_text(I.candidate_rows(shown, [ID, USER, S.IMPRESSION_TIME], first_pos="first_pos"))
 
 
 @query
@@ -277,14 +281,19 @@ def training_rows(spark, sf, shuffle, with_replacement=True, max_rows=GROUP_MAX_
     )
 
 
+def _shown(rows):
+    """-1 in place of the null that an empty pool gives."""
+    return rows.withColumn(ART, F.coalesce(F.col(ART), F.lit(-1).cast("bigint")))
+
+
 @query
 def negative_sampling(spark, sf):
-    return training_rows(spark, sf, shuffle=False)
+    return _shown(training_rows(spark, sf, shuffle=False))
 
 
 @query
 def negative_sampling_shuffled(spark, sf):
-    return training_rows(spark, sf, shuffle=True)
+    return _shown(training_rows(spark, sf, shuffle=True))
 
 
 @query
@@ -466,7 +475,9 @@ def user_index(spark, sf):
 
 
 def _matrix_rows(matrix):
-    rows = matrix.select("idx", "vec_id", F.posexplode("embedding").alias("dim", "value"))
+    """Matrix elements; the row for unknown ids has key -1."""
+    key = F.coalesce("vec_id", F.lit(-1).cast("bigint")).alias("vec_id")
+    rows = matrix.select("idx", key, F.posexplode("embedding").alias("dim", "value"))
     return rows.withColumn("value", F.round(F.col("value").cast("double"), 5)).withColumn(
         "dim", F.col("dim").cast("bigint")
     )
@@ -571,7 +582,7 @@ def top_article(spark, sf):
 
 @query
 def ordered_impressions(spark, sf):
-    return D.impression_times(spark, sf, "validation").orderBy(ID)
+    return _time_text(D.impression_times(spark, sf, "validation")).orderBy(ID)
 
 
 @query
