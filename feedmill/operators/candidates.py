@@ -18,6 +18,10 @@ def _by_hash(seed, *parts):
     return seeded_md5(seed, *[F.col(p) for p in parts])
 
 
+def _counting(n):
+    return F.sequence(F.lit(1).cast("bigint"), F.lit(n).cast("bigint"))
+
+
 def shuffle_within(df: DataFrame, group: str, pos: str, name: str, seed=DEFAULT_SEED, largest=None) -> DataFrame:
     """Seeded random position of each row in its group, from 1."""
     tagged = df.withColumn("_h", _by_hash(seed, group, pos))
@@ -53,7 +57,7 @@ def sample_within_replacing(
     draws = (
         df.groupBy(group)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(name, F.explode(F.sequence(F.lit(1), F.lit(n))).cast("bigint"))
+        .withColumn(name, F.explode(_counting(n)))
         .withColumn("_at", F.pmod(seeded_int(seed, F.col(group), F.col(name)), F.col("_n")) + 1)
         .drop("_n")
     )
@@ -91,7 +95,7 @@ def sample_negatives_within(
     else:
         offset = seeded_int(seed, F.col(group), F.col("click_pos"), F.col("slot"))
     draws = (
-        clicks.withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(npratio))).cast("bigint"))
+        clicks.withColumn("slot", F.explode(_counting(npratio)))
         .withColumn("_at", F.pmod(offset, F.col("_n")))
         .select(group, "click_pos", "slot", "_at")
     )

@@ -5,7 +5,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from feedmill import schema as S
 from feedmill.functions import lists as L
 from feedmill.functions.text import joined_with_space, tokens
-from feedmill.operators.skew import BROADCAST_MAX_ROWS, lookup_join
+from feedmill.operators.limits import LIMITS
+from feedmill.operators.skew import lookup_join
 
 # Ids of the padding and the unknown token; known tokens follow.
 PAD_ID = 0
@@ -52,7 +53,7 @@ def encode_text(
         words = F.slice(words, 1, max_length)
     listed = df.select(F.col(key), words.alias("_t"))
     ids = vocabulary.select(F.col("token"), F.col("token_id"))
-    if size <= BROADCAST_MAX_ROWS:
+    if size <= LIMITS.broadcast_max_rows:
         exploded = listed.repartition(key).select(key, F.posexplode_outer("_t").alias("_i", "token"))
         found = exploded.join(F.broadcast(ids), "token", "left")
     else:

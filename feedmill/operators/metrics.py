@@ -11,7 +11,7 @@ from feedmill import schema as S
 from feedmill.functions import lists as L
 from feedmill.operators.ordering import number_within, running_sum
 from feedmill.operators.rows import assign_batches
-from feedmill.operators.skew import GROUP_MAX_ROWS, largest_group, lookup_join
+from feedmill.operators.skew import fits_a_task, largest_group, lookup_join
 
 
 def rank_within(df: DataFrame, group: str, pos: str, score: str, name: str = "rank", largest=None) -> DataFrame:
@@ -89,9 +89,7 @@ def log_sum_exp(df: DataFrame, group: list[str], score: str, name: str = "lse")
     return parts.groupBy(*group).agg(*_merge_parts([])).select(*group, _log_sum_exp().alias(name))
 
 
-def softmax_within(
-    df: DataFrame, group: str, score: str, name: str = "prob", largest=None, max_rows: int = GROUP_MAX_ROWS
-) -> DataFrame:
+def softmax_within(df: DataFrame, group: str, score: str, name: str = "prob", largest=None) -> DataFrame:
     """Softmax of the scores of each impression.
 
     Impressions that fit a task need one pass of a window; otherwise the
@@ -99,7 +97,7 @@ def softmax_within(
     """
     if largest is None:
         largest = largest_group(df, [group])
-    if largest <= max_rows:
+    if fits_a_task(largest):
         w = Window.partitionBy(group)
         shifted = df.withColumn("_e", F.exp(F.col(score) - F.max(score).over(w)))
         return shifted.withColumn(name, F.col("_e") / F.sum("_e").over(w)).drop("_e")

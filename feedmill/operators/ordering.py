@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from feedmill.operators.skew import GROUP_MAX_ROWS, largest_group
+from feedmill.operators.skew import fits_a_task, largest_group
 from feedmill.operators.storage import materialised
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
@@ -71,7 +71,6 @@ def number_within(
     name: str,
     start: int = 1,
     largest: int | None = None,
-    max_rows: int = GROUP_MAX_ROWS,
 ) -> DataFrame:
     """Number the rows of each group in ``order`` (unique within the group), from ``start``.
 
@@ -83,7 +82,7 @@ def number_within(
     if largest is None:
         largest = largest_group(df, group)
     shift = F.lit(start - 1)
-    if largest <= max_rows:
+    if fits_a_task(largest):
         numbered = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         return df.withColumn(name, (numbered + shift).cast("bigint"))
     ranged = _ranged(df, [F.col(g) for g in group] + list(order))

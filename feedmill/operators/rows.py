@@ -6,6 +6,7 @@ from feedmill import schema as S
 from feedmill.functions.hashing import seeded_int, seeded_md5
 from feedmill.operators.ordering import dense_index
 from feedmill.operators.skew import lookup_join
+from feedmill.operators.storage import materialised
 
 DEFAULT_SEED = 123
 _HASH_SPACE = 1 << 32
@@ -83,7 +84,8 @@ def flag_known_users(
 ) -> DataFrame:
     """True where the user occurs in ``known`` (a DataFrame with the same user column)."""
     S.check_columns(df, [user_col])
-    seen = known.select(user_col).distinct().withColumn(flag_col, F.lit(True))
+    # Written once, because the join looks at its size first.
+    seen = materialised(known.select(user_col).distinct().withColumn(flag_col, F.lit(True)), "known-users")
     return lookup_join(df, seen, user_col, "left").withColumn(
         flag_col, F.coalesce(F.col(flag_col), F.lit(False))
     )

@@ -2,16 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is treated apart when it has more rows than this and than its share.
-HOT_MIN_ROWS = 200_000
-HOT_SHARE = 0.005
-# No more keys than this can exceed the share, so the hot side of a join is small.
-MAX_HOT_KEYS = int(1 / HOT_SHARE)
-# Row bound below which a lookup table may be broadcast.
-BROADCAST_MAX_ROWS = 200_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-# Largest group sorted or collected inside one task.
-GROUP_MAX_ROWS = 1_000_000
+from feedmill.operators.limits import LIMITS
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -25,21 +16,26 @@ def small_enough(df: DataFrame, row_bytes: int = 64) -> bool:
 
     A distributed count: it reads no columns and moves one number per task.
     """
-    return df.count() <= min(BROADCAST_MAX_ROWS, BROADCAST_MAX_BYTES // row_bytes)
+    return df.count() <= min(LIMITS.broadcast_max_rows, LIMITS.broadcast_max_bytes // row_bytes)
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_MIN_ROWS, share: float = HOT_SHARE) -> list:
-    """Keys holding more than ``min_rows`` rows and more than ``share`` of all rows.
+def fits_a_task(rows: int) -> bool:
+    """Whether a group of ``rows`` rows may be sorted or collected by one task."""
+    return rows <= LIMITS.group_max_rows
 
-    One pass with a frequent-items sketch per task.  At most ``1 / share`` keys
-    can qualify.  The answer only decides how rows are routed, never which rows
-    a result has, so the sketch's error does not matter for correctness.
+
+def hot_keys(df: DataFrame, key: str) -> list:
+    """Keys holding more rows than LIMITS.hot_min_rows and LIMITS.hot_share of all rows.
+
+    One pass with a frequent-items sketch per task.  At most ``1 / hot_share``
+    keys can qualify.  The answer only decides how rows are routed, never which
+    rows a result has, so the sketch's error does not matter for correctness.
     """
-    k = int(1 / share)
+    k = int(1 / LIMITS.hot_share)
     found = df.agg(
         F.expr(f"approx_top_k(`{key}`, {k}, {k * 100})").alias("top"), F.count(F.lit(1)).alias("n")
     ).first()
-    floor = max(min_rows, share * found["n"])
+    floor = max(LIMITS.hot_min_rows, LIMITS.hot_share * found["n"])
     return [t["item"] for t in found["top"] if t["count"] > floor and t["item"] is not None]
 
 
@@ -56,8 +52,11 @@ def lookup_join(
     A right side within the checked broadcast bound is broadcast, so ``left`` is
     not shuffled at all.  A larger one is shuffled; keys that are hot in ``left``
     are split off first and joined by broadcasting just their rows of ``right``
-    (at most MAX_HOT_KEYS), so no task receives a hot key whole.  ``hot`` passes
-    keys already known, to save the pass that finds them.
+    (no more than ``hot_keys`` can give), so no task receives a hot key whole.
+
+    ``right`` is counted first, so write an expensive one out with
+    ``storage.materialised``.  ``hot`` passes keys already known, to save the
+    pass over ``left`` that finds them.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")

@@ -13,8 +13,7 @@ from feedmill.operators import lookup as K
 from feedmill.operators import metrics as M
 from feedmill.operators import rows as R
 from feedmill.operators import training as T
-from feedmill.operators.ordering import number_within
-from feedmill.operators.skew import GROUP_MAX_ROWS
+from feedmill.operators.skew import fits_a_task
 from feedmill.operators.storage import materialised, scratch_path
 from feedmill.plans import recommend as P
 from feedmill.plans import tables as D
@@ -43,6 +42,11 @@ def query(f):
     return f
 
 
+def _recent(spark, sf):
+    """Recent histories, written once: joins look at the size first."""
+    return materialised(D.recent_history(spark, sf, HISTORY_SIZE), "recent-history")
+
+
 def _joined(column):
     """A list of ids as text."""
     return F.array_join(F.col(column).cast("array<string>"), ",", "null")
@@ -158,7 +162,7 @@ def prediction_gzip_roundtrip(spark, sf):
 @query
 def project_train_columns(spark, sf):
     """The training columns; lists are shown as rows (in-view) and text (history)."""
-    recent = D.recent_history(spark, sf, HISTORY_SIZE)
+    recent = _recent(spark, sf)
     shown = D.behaviors(spark, sf, "train")
     joined = P.impressions_with_history(shown, recent, HISTORY_SIZE)
     train = joined.select(*S.TRAIN_COLUMNS, "first_pos").transform(I.add_labels)
@@ -203,7 +207,7 @@ def shuffle_rows(spark, sf):
 
 @query
 def behaviors_with_history(spark, sf):
-    recent = D.recent_history(spark, sf, HISTORY_SIZE)
+    recent = _recent(spark, sf)
     joined = I.join_history(D.impression_times(spark, sf, "train"), recent)
     return joined.select(ID, USER, _joined(S.HISTORY).alias("history"))
 
@@ -249,7 +253,7 @@ def _numbered(df, column, name):
 @query
 def sample_without_replacement(spark, sf):
     largest = D.largest_impression(spark, sf)
-    if largest <= GROUP_MAX_ROWS:
+    if fits_a_task(largest):
         shown = D.behaviors(spark, sf, "train", largest).where(F.size(S.INVIEW) >= 2)
         return _numbered(I.sample_ids(shown, 2, [ID], seed=SEED), S.INVIEW, "draw")
     rows = _at_least(D.candidates(spark, sf, "train", largest), 2)
@@ -259,26 +263,40 @@ def sample_without_replacement(spark, sf):
 @query
 def sample_with_replacement(spark, sf):
     largest = D.largest_impression(spark, sf)
-    if largest <= GROUP_MAX_ROWS:
+    if fits_a_task(largest):
         shown = D.behaviors(spark, sf, "train", largest)
         return _numbered(I.sample_ids(shown, 4, [ID], True, SEED), S.INVIEW, "draw")
     rows = D.candidates(spark, sf, "train", largest)
     return C.sample_within_replacing(rows, ID, "pos", ART, 4, seed=SEED)
 
 
-def training_rows(spark, sf, shuffle, with_replacement=True, max_rows=GROUP_MAX_ROWS):
-    """(impression_id, click_pos, slot, article_id, label) of the sampled training lists."""
+def training_lists(spark, sf, shuffle, with_replacement=True):
+    """(impression_id, click_pos, in-view list, label list): npratio + 1 ids per click.
+
+    Drawn inside the impression record while every impression fits a task, else
+    from rows; both give the same lists.
+    """
     largest = D.largest_impression(spark, sf)
-    if largest <= max_rows:
-        lists = I.sample_negatives(
-            D.behaviors(spark, sf, "train", largest), NPRATIO, shuffle, with_replacement, SEED
-        ).transform(I.add_labels)
-        rows = I.candidate_rows(lists, [ID, "click_pos"])
-        return rows.withColumnRenamed("pos", "slot")
-    return C.sample_negatives_within(
-        D.candidates(spark, sf, "train", largest),
-        NPRATIO, ID, "pos", ART, "clicked", shuffle, with_replacement, SEED, largest,
-    )
+    if fits_a_task(largest):
+        shown = D.behaviors(spark, sf, "train", largest).select(ID, S.INVIEW, S.CLICKED)
+        lists = I.sample_negatives(shown, NPRATIO, shuffle, with_replacement, SEED).transform(I.add_labels)
+    else:
+        rows = C.sample_negatives_within(
+            D.candidates(spark, sf, "train", largest),
+            NPRATIO, ID, "pos", ART, "clicked", shuffle, with_replacement, SEED, largest,
+        )
+        element = F.struct("slot", F.col(ART).alias("a"), F.col("label").cast("tinyint").alias("y"))
+        grouped = rows.groupBy(ID, "click_pos").agg(F.array_sort(F.collect_list(element)).alias("l"))
+        lists = grouped.withColumns(
+            {S.INVIEW: F.transform("l", lambda t: t["a"]), S.LABELS: F.transform("l", lambda t: t["y"])}
+        )
+    return lists.select(ID, "click_pos", S.INVIEW, S.LABELS)
+
+
+def training_rows(spark, sf, shuffle, with_replacement=True):
+    """(impression_id, click_pos, slot, article_id, label) of the sampled training lists."""
+    lists = training_lists(spark, sf, shuffle, with_replacement)
+    return I.candidate_rows(lists, [ID, "click_pos"]).withColumnRenamed("pos", "slot")
 
 
 def _shown(rows):
@@ -299,7 +317,7 @@ def negative_sampling_shuffled(spark, sf):
 @query
 def shuffle_list(spark, sf):
     largest = D.largest_impression(spark, sf)
-    if largest <= GROUP_MAX_ROWS:
+    if fits_a_task(largest):
         shown = D.behaviors(spark, sf, "train", largest)
         return _numbered(I.shuffle_list(shown, S.INVIEW, [ID], SEED), S.INVIEW, "shuffled_pos")
     rows = D.candidates(spark, sf, "train", largest)
@@ -309,7 +327,7 @@ def shuffle_list(spark, sf):
 def _histories(spark, sf):
     """Every customer with the newest clicks; null without any."""
     users = D.table(spark, sf, "customer").select(F.col("c_custkey").alias(USER))
-    return I.join_history(users, D.recent_history(spark, sf, HISTORY_SIZE))
+    return I.join_history(users, _recent(spark, sf))
 
 
 def _article_labels(spark, sf):
@@ -345,7 +363,7 @@ def candidate_counts(spark, sf):
 @query
 def candidate_rows(spark, sf):
     """Labelled candidates beside the padded history of their user."""
-    recent = D.recent_history(spark, sf, HISTORY_SIZE)
+    recent = _recent(spark, sf)
     labelled = P.impressions_with_history(
         D.behaviors(spark, sf, "validation"), recent, HISTORY_SIZE
     ).transform(I.add_labels)
@@ -368,20 +386,15 @@ def attach_scores(spark, sf):
     )
 
 
-def _training_lists(spark, sf):
-    """Sampled lists as records; a list has npratio + 1 ids however long its impression is."""
-    rows = training_rows(spark, sf, shuffle=True)
-    lists = rows.groupBy(ID, "click_pos").agg(
-        F.array_sort(F.collect_list(F.struct("slot", F.col(ART).alias("a"), F.col("label").alias("y")))).alias("l")
-    )
-    labels = F.transform("l", lambda t: t["y"].cast("tinyint"))
-    scores = F.transform("l", lambda t: D.hash_score(article=t["a"]))
-    return lists.select(ID, "click_pos", labels.alias(S.LABELS), scores.alias(S.SCORES))
+def _scored_lists(spark, sf):
+    lists = training_lists(spark, sf, shuffle=True)
+    scores = F.transform(S.INVIEW, lambda a: D.hash_score(article=a))
+    return lists.select(ID, "click_pos", S.LABELS, scores.alias(S.SCORES))
 
 
 @query
 def label_position(spark, sf):
-    lists = _training_lists(spark, sf)
+    lists = training_lists(spark, sf, shuffle=True)
     return lists.select(ID, "click_pos", L.label_position(F.col(S.LABELS)).cast("bigint").alias("label_position"))
 
 
@@ -418,8 +431,7 @@ def build_vocabulary(spark, sf):
 
 def _encoded(spark, sf, max_length):
     docs = D.table(spark, sf, "documents")
-    vocabulary = materialised(_vocabulary(spark, sf), "vocabulary")
-    return E.encode_text(docs, "doc_id", "text", vocabulary, VOCABULARY, max_length)
+    return E.encode_text(docs, "doc_id", "text", _vocabulary(spark, sf), VOCABULARY, max_length)
 
 
 @query
@@ -519,7 +531,7 @@ def auc_pooled(spark, sf):
 
 @query
 def accuracy_top1(spark, sf):
-    return M.accuracy_top1(_training_lists(spark, sf))
+    return M.accuracy_top1(_scored_lists(spark, sf))
 
 
 @query
@@ -530,18 +542,18 @@ def accuracy_threshold(spark, sf):
 
 @query
 def loss_listwise(spark, sf):
-    lists = _training_lists(spark, sf)
+    lists = _scored_lists(spark, sf)
     loss = M.loss_listwise(lists, [F.col(ID), F.col("click_pos")], BATCH)
     return loss.select(F.round("loss", 9).alias("loss"))
 
 
 @query
 def loss_batch(spark, sf):
-    ids = D.items(spark, sf, "validation").select(ID).distinct()
-    batches = R.assign_batches(ids, [F.col(ID)], BATCH).select(ID, "batch_id")
     scored = D.items(spark, sf, "validation").select(
         ID, F.col("clicked").alias("label"), D.hash_score().alias("score")
     )
+    scored = materialised(scored, "scored")  # read for the batches and for the loss
+    batches = R.assign_batches(scored.select(ID).distinct(), [F.col(ID)], BATCH).select(ID, "batch_id")
     placed = R.lookup_join(scored, batches, ID, "inner")
     return M.loss_batch(placed, "batch_id").select(F.round("loss", 8).alias("loss"))
 
@@ -613,7 +625,7 @@ def attention_pool_masked(spark, sf):
 def _history_sequences(spark, sf):
     """Padded histories as sequences of article embeddings; unknown articles are zeros."""
     padded = I.truncate_history(
-        D.recent_history(spark, sf, HISTORY_SIZE).withColumn("n", F.size(S.HISTORY)),
+        _recent(spark, sf).withColumn("n", F.size(S.HISTORY)),
         S.HISTORY, HISTORY_SIZE, F.lit(A.UNKNOWN_KEY).cast("bigint"),
     )
     zeros = spark.range(1).select(
@@ -662,7 +674,7 @@ def _vectors(spark, sf):
     encoded, ids = P.encoded_articles(
         D.articles(spark, sf), [S.TITLE, S.SUBTITLE], ARTICLE_VOCABULARY, TITLE_LENGTH
     )
-    recent = D.recent_history(spark, sf, HISTORY_SIZE)
+    recent = _recent(spark, sf)
     return P.vector_tables(
         encoded, ids, D.embeddings(spark, sf), recent, *_encoders(), TITLE_LENGTH, HISTORY_SIZE
     )
@@ -709,7 +721,7 @@ def predict_test(spark, sf):
     """The prediction line of every test impression."""
     users, articles = _vectors(spark, sf)
     largest = D.largest_impression(spark, sf)
-    if largest <= GROUP_MAX_ROWS:
+    if fits_a_task(largest):
         shown = D.behaviors(spark, sf, "test", largest)
         lists = P.ranked_predictions(shown, users, articles, DIM, [ID])
     else:
@@ -739,7 +751,7 @@ def train_click_model(spark, sf):
         else:
             rows = D.items(spark, sf, split, largest).select(USER, ART, F.col("clicked").alias("label"))
             features = T.pair_features(rows, users, articles, DIM)
-        scored = T.score_click_model(model, features).select("label", "score")
+        scored = materialised(T.score_click_model(model, features).select("label", "score"), "scored")
         quality = M.auc(scored, ties="half").select(
             "auc", M.accuracy_threshold(scored).scalar().alias("accuracy"), F.lit(split).alias("split")
         )

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from feedmill import schema as S
 from feedmill.functions.hashing import seeded_int
 from feedmill.functions.text import joined_with_space
+from feedmill.operators.limits import LIMITS
 from feedmill.operators.ordering import first_within, number_within
-from feedmill.operators.skew import GROUP_MAX_ROWS, HOT_MIN_ROWS, hot_keys, largest_group, small_enough
+from feedmill.operators.skew import fits_a_task, hot_keys, largest_group, small_enough
+from feedmill.operators.storage import materialised
 
 # [start, end) of the impression time per split.
 SPLITS = {
@@ -71,7 +73,7 @@ def items(spark, sf_dir, split=None, largest: int | None = None) -> DataFrame:
     if largest is None:
         largest = largest_impression(spark, sf_dir)
     lines, times = _lines(spark, sf_dir), impression_times(spark, sf_dir, split)
-    hot = hot_keys(lines, S.IMPRESSION_ID) if largest > HOT_MIN_ROWS else []
+    hot = hot_keys(lines, S.IMPRESSION_ID) if largest > LIMITS.hot_min_rows else []
     keys = [S.IMPRESSION_ID, S.USER_ID, S.IMPRESSION_TIME, S.ARTICLE_ID]
     merged = [F.min("ln").alias("ln"), F.max("clicked").alias("clicked")]
     if hot:
@@ -96,22 +98,23 @@ def candidates(spark, sf_dir, split=None, largest: int | None = None) -> DataFra
     ).drop("ln")
 
 
-def behaviors(spark, sf_dir, split=None, largest=None, max_rows: int = GROUP_MAX_ROWS) -> DataFrame:
+def behaviors(spark, sf_dir, split=None, largest: int | None = None) -> DataFrame:
     """Impression records with in-view and clicked lists; no click gives a null list.
 
     ``page`` and ``first_pos`` are 0 and 1 for an impression that fits one record.
-    If some impression has more than ``max_rows`` candidates, records hold at most
-    that many each and a long impression has several pages.
+    If some impression has too many candidates for a task, records hold at most
+    LIMITS.group_max_rows each and a long impression has several pages.
     """
     if largest is None:
         largest = largest_impression(spark, sf_dir)
     keys = [S.IMPRESSION_ID, S.USER_ID, S.IMPRESSION_TIME]
-    if largest <= max_rows:
-        rows = items(spark, sf_dir, split, largest).withColumn("page", F.lit(0).cast("bigint"))
+    page_rows = LIMITS.group_max_rows
+    if fits_a_task(largest):
+        rows = items(spark, sf_dir, split, largest)
         order = ["ln", S.ARTICLE_ID]
     else:
         rows = candidates(spark, sf_dir, split, largest)
-        rows = rows.withColumn("page", F.floor((F.col("pos") - 1) / max_rows).cast("bigint"))
+        rows = rows.withColumn("page", F.floor((F.col("pos") - 1) / page_rows).cast("bigint"))
         keys, order = [*keys, "page"], ["pos", S.ARTICLE_ID]
     shown = F.array_sort(F.collect_list(F.struct(*order, "clicked"))).alias("_s")
     page = [] if "page" in keys else [F.lit(0).cast("bigint").alias("page")]
@@ -120,7 +123,7 @@ def behaviors(spark, sf_dir, split=None, largest=None, max_rows: int = GROUP_MAX
     return records.select(
         S.IMPRESSION_ID,
         "page",
-        (F.col("page") * max_rows + 1).alias("first_pos"),
+        (F.col("page") * page_rows + 1).alias("first_pos"),
         S.USER_ID,
         S.IMPRESSION_TIME,
         F.transform("_s", lambda t: t[S.ARTICLE_ID]).alias(S.INVIEW),
@@ -139,7 +142,8 @@ def history_clicks(spark, sf_dir) -> DataFrame:
 def history_rows(spark, sf_dir) -> DataFrame:
     """(user_id, hist_pos, article_id), oldest click first."""
     order = [F.col(c) for c in _HISTORY_ORDER]
-    return number_within(history_clicks(spark, sf_dir), [S.USER_ID], order, "hist_pos").select(
+    clicks = materialised(history_clicks(spark, sf_dir), "history-clicks")  # read for the sizes, then numbered
+    return number_within(clicks, [S.USER_ID], order, "hist_pos").select(
         S.USER_ID, "hist_pos", S.ARTICLE_ID
     )
 
