@@ -4,7 +4,7 @@ They work unchanged on batch and streaming DataFrames and never shuffle.  A row
 is one record, so the list is as long as it was stored.
 """
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmill.functions.hashing import seeded_int, seeded_md5
 
@@ -18,6 +18,16 @@ def fail(*message) -> Column:
     return F.raise_error(F.concat(*message, F.substring(F.uuid(), 1, 0)))
 
 
+def explode_rows(df: DataFrame, keep: list, items, pos: str, value: str) -> DataFrame:
+    """One row per list element with its 0-based ``pos``; empty and null lists give none.
+
+    A plain explode makes the optimizer filter on the list beforehand, which
+    evaluates a computed list twice; the outer form with the filter behind it
+    evaluates it once.
+    """
+    return df.select(*keep, F.posexplode_outer(items).alias(pos, value)).where(F.col(pos).isNotNull())
+
+
 def _clicked_or_empty(clicked: Column, inview: Column) -> Column:
     return F.coalesce(clicked, F.slice(inview, 1, 0))
 
@@ -56,7 +66,7 @@ def shuffled(items: Column, seed, *key) -> Column:
     tagged = F.transform(
         items, lambda x, i: F.struct(seeded_md5(seed, *key, i + 1).alias("h"), i.alias("i"), x.alias("x"))
     )
-    return F.transform(F.array_sort(tagged), lambda t: t["x"])
+    return F.transform(F.sort_array(tagged), lambda t: t["x"])
 
 
 def sampled_without_replacement(items: Column, n: int, seed, *key) -> Column:
@@ -113,8 +123,8 @@ def chunked(items: Column, k: int) -> Column:
 def rank_by_score(scores: Column) -> Column:
     """Rank of each score in its own list, 1 = highest, later position first on ties."""
     tagged = F.transform(scores, lambda s, i: F.struct(s.alias("s"), i.alias("i")))
-    order = F.transform(F.reverse(F.array_sort(tagged)), lambda t: t["i"])
-    ranked = F.array_sort(F.transform(order, lambda i, r: F.struct(i.alias("i"), (r + 1).alias("r"))))
+    order = F.transform(F.reverse(F.sort_array(tagged)), lambda t: t["i"])
+    ranked = F.sort_array(F.transform(order, lambda i, r: F.struct(i.alias("i"), (r + 1).alias("r"))))
     return F.transform(ranked, lambda t: t["r"])
 
 

@@ -3,9 +3,15 @@
 from pyspark.sql import Column, functions as F, types as T
 
 
-def tokens(text: Column) -> Column:
-    """Whitespace tokens of the whole text, case kept, empties dropped."""
-    return F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda t: t != "")
+def tokens(text: Column, at_most: int | None = None) -> Column:
+    """Whitespace tokens of the whole text, case kept, empties dropped.
+
+    With ``at_most`` the text is only split as far as that many tokens need.
+    """
+    # A first piece can be empty and the last one is the unsplit rest.
+    limit = -1 if at_most is None else at_most + 2
+    pieces = F.filter(F.split(text, r"[ \t\n\x0B\f\r]+", limit), lambda t: t != "")
+    return pieces if at_most is None else F.slice(pieces, 1, at_most)
 
 
 def joined_with_space(*columns: Column) -> Column:

@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmill import schema as S
+from feedmill.functions import lists as L
 from feedmill.functions import vectors as V
 from feedmill.operators.skew import lookup_join
 
@@ -92,7 +93,7 @@ def attention_pool(
     )
     total = F.when(F.col("_total") > 0, F.col("_total"))
     values = F.array(*[F.col(f"_{d}") / total for d in range(dim)])
-    return sums.select(group, F.posexplode(values).alias("dim", "value"))
+    return L.explode_rows(sums, [group], values, "dim", "value")
 
 
 def sequences(
@@ -105,12 +106,12 @@ def sequences(
     many lists is joined by broadcast (see ``lookup_join``).
     """
     S.check_columns(df, [key, ids])
-    rows = df.select(key, F.posexplode(ids).alias("_i", "_id"))
+    rows = L.explode_rows(df, [key], ids, "_i", "_id")
     vectors = table.select(F.col(table_key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
     found = lookup_join(rows, vectors, "_id", "left", row_bytes=16 + 8 * dim)
     unknown = vectors.where(F.col("_id") == UNKNOWN_KEY).select("_v")
     filled = found.withColumn("_v", F.coalesce(F.col("_v"), unknown.scalar()))
-    collected = filled.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_l"))
+    collected = filled.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_l"))
     return collected.select(key, F.flatten(F.transform("_l", lambda t: t["_v"])).alias("flat"))
 
 
@@ -132,7 +133,7 @@ def self_attention(
     else:
         out = V.self_attention_udf(*shape)(F.col("flat"))
     width = F.lit(encoder.dim_out)
-    rows = seqs.select(key, out.alias("_o")).select(key, F.posexplode("_o").alias("_i", "value"))
+    rows = L.explode_rows(seqs.select(key, out.alias("_o")), [key], "_o", "_i", "value")
     return rows.select(
         key,
         F.floor(F.col("_i") / width).cast("bigint").alias("pos"),

@@ -28,9 +28,8 @@ def build_vocabulary(df: DataFrame, column: str, size: int) -> DataFrame:
     only the ``size`` winners are numbered together.
     """
     S.check_columns(df, [column])
-    counts = df.select(F.explode(tokens(F.col(column))).alias("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    words = L.explode_rows(df, [], tokens(F.col(column)), "_i", "token")
+    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), "token").limit(size)
     ids = F.row_number().over(Window.orderBy(F.desc("n"), "token")) + (FIRST_ID - 1)
     return top.withColumn("token_id", ids.cast("bigint"))
@@ -48,20 +47,21 @@ def encode_text(
     """
     S.check_columns(df, [key, column])
     name = f"{column}_encode_tok"
-    words = tokens(F.col(column))
-    if max_length is not None:
-        words = F.slice(words, 1, max_length)
-    listed = df.select(F.col(key), words.alias("_t"))
+    words = tokens(F.col(column), max_length).alias("_t")
     ids = vocabulary.select(F.col("token"), F.col("token_id"))
-    if size <= LIMITS.broadcast_max_rows:
-        exploded = listed.repartition(key).select(key, F.posexplode_outer("_t").alias("_i", "token"))
-        found = exploded.join(F.broadcast(ids), "token", "left")
-    else:
-        exploded = listed.select(key, F.posexplode_outer("_t").alias("_i", "token"))
+    if size > LIMITS.broadcast_max_rows:
+        exploded = df.select(key, words).select(key, F.posexplode_outer("_t").alias("_i", "token"))
         found = lookup_join(exploded, ids, "token", "left")
+    else:
+        if max_length is None:  # the text is no larger than its tokens
+            placed = df.select(key, column).repartition(key).select(key, words)
+        else:
+            placed = df.select(key, words).repartition(key)
+        exploded = placed.select(key, F.posexplode_outer("_t").alias("_i", "token"))
+        found = exploded.join(F.broadcast(ids), "token", "left")
     known = F.coalesce("token_id", F.lit(UNKNOWN_ID).cast("bigint"))
     element = F.when(F.col("_i").isNotNull(), F.struct(F.col("_i").alias("i"), known.alias("v")))
-    encoded = found.groupBy(key).agg(F.array_sort(F.collect_list(element)).alias("_l"))
+    encoded = found.groupBy(key).agg(F.sort_array(F.collect_list(element)).alias("_l"))
     values = F.transform("_l", lambda t: t["v"])
     if max_length is not None:
         values = L.pad_right(values, max_length, F.lit(PAD_ID).cast("bigint"))

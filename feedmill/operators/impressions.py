@@ -103,7 +103,7 @@ def sample_negatives(
         )
 
     drawn = df.withColumn("_pool", pool).withColumn("_lists", F.transform(F.col(clicked), one_list))
-    rows = drawn.withColumn("_one", F.explode("_lists"))
+    rows = L.explode_rows(drawn, df.columns, "_lists", "_at", "_one")
     ids = F.col("_one.ids")
     if shuffle:
         ids = L.shuffled(ids, seed, row_key, F.col("_one.pos"))
@@ -125,7 +125,7 @@ def candidate_rows(
     extra = [first_pos] if first_pos else []
     has_labels = labels in df.columns
     zipped = F.arrays_zip(F.col(inview).alias("a"), F.col(labels).alias("y")) if has_labels else F.col(inview)
-    rows = df.select(*keep, *extra, F.posexplode(zipped).alias("i", "c"))
+    rows = L.explode_rows(df, [*keep, *extra], zipped, "i", "c")
     if has_labels:
         value = [F.col("c.a").alias(S.ARTICLE_ID), F.col("c.y").cast("int").alias("label")]
     else:
@@ -144,7 +144,7 @@ def attach_scores(
     S.check_columns(df, [inview, *key])
     S.check_columns(scored, [*key, pos, score])
     collected = scored.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(score).alias("s")))).alias("_s")
+        F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(score).alias("s")))).alias("_s")
     )
     values = F.coalesce(F.transform("_s", lambda t: t["s"]), F.array().cast("array<double>"))
     problem = L.fail(F.lit("scores and candidates differ in number for "), F.to_json(F.struct(*key)))
@@ -186,7 +186,7 @@ def map_ids(
         value = F.coalesce(value, F.lit(fill_nulls))
     # The elements of one record leave one task, so the lists are rebuilt before the shuffle.
     lists = found.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_i").alias("i"), value.alias("v")))).alias("_l")
+        F.sort_array(F.collect_list(F.struct(F.col("_i").alias("i"), value.alias("v")))).alias("_l")
     )
     mapped = lists.select(*key, F.transform("_l", lambda t: t["v"]).alias("_l"))
     return (

@@ -41,7 +41,7 @@ def lookup_matrix(df: DataFrame, key: str, vector: str, unknown: str = "zeros")
             known.select(F.posexplode(vector).alias("d", "x")).groupBy("d").agg(mean.cast(element).alias("x"))
         )
         # One value per dimension is left here.
-        row0 = per_dim.agg(F.array_sort(F.collect_list(F.struct("d", "x"))).alias("l")).select(
+        row0 = per_dim.agg(F.sort_array(F.collect_list(F.struct("d", "x"))).alias("l")).select(
             F.transform("l", lambda t: t["x"]).alias(vector)
         )
     else:

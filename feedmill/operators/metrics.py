@@ -25,28 +25,33 @@ def top_candidate(df: DataFrame, group: str, pos: str, value: str, score: str) -
     return df.groupBy(group).agg(best.alias("_b")).select(group, F.col(f"_b.{value}"), F.col(f"_b.{score}"))
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score", ties: str = "strict") -> DataFrame:
-    """One row (auc): share of (clicked, unclicked) pairs ranked right, over all rows.
+# What a tied pair counts, per rule.
+_TIES = {"strict": 0.0, "half": 0.5}
 
-    A tie counts 0, or one half with ``ties="half"``.  Null without both classes.
-    Rows are first added up per distinct score, so the pairs are never formed.
+
+def auc(df: DataFrame, label: str = "label", score: str = "score", ties=("strict",)) -> DataFrame:
+    """Rows (ties, auc): share of (clicked, unclicked) pairs ranked right, over all rows.
+
+    A tie counts 0 under "strict" and one half under "half"; one row per rule
+    asked for.  Null without both classes.  Rows are first added up per distinct
+    score, so the pairs are never formed.
     """
-    if ties not in ("strict", "half"):
-        raise ValueError(f"ties must be 'strict' or 'half', not {ties!r}")
+    if not ties or not set(ties) <= set(_TIES):
+        raise ValueError(f"ties must be chosen from {list(_TIES)}, not {ties!r}")
     per_score = df.groupBy(score).agg(
         F.sum(F.col(label).cast("bigint")).alias("_pos"), F.sum(1 - F.col(label).cast("bigint")).alias("_neg")
     )
     below = running_sum(per_score, [F.col(score)], "_neg", "_below")
-    wins = F.col("_below").cast("double")
-    if ties == "half":
-        wins = wins + F.col("_neg") / 2
+    pos, neg = F.col("_pos").cast("double"), F.col("_neg").cast("double")
     totals = below.agg(
-        F.sum(F.col("_pos") * wins).alias("w"),
-        F.sum("_pos").cast("double").alias("p"),
-        F.sum("_neg").cast("double").alias("n"),
+        F.sum(pos * F.col("_below")).alias("won"),
+        F.sum(pos * neg).alias("tied"),
+        (F.sum(pos) * F.sum(neg)).alias("pairs"),
     )
-    pairs = F.col("p") * F.col("n")
-    return totals.select(F.when(pairs > 0, F.col("w") / pairs).alias("auc"))
+    rules = F.array(*[F.struct(F.lit(t).alias("ties"), F.lit(_TIES[t]).alias("worth")) for t in ties])
+    rows = totals.select("won", "tied", "pairs", F.inline(rules))
+    share = (F.col("won") + F.col("worth") * F.col("tied")) / F.col("pairs")
+    return rows.select("ties", F.when(F.col("pairs") > 0, share).alias("auc"))
 
 
 def accuracy_top1(df: DataFrame, scores: str = S.SCORES, labels: str = S.LABELS) -> DataFrame:

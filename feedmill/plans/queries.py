@@ -128,7 +128,7 @@ def _ranked_lists(spark, sf):
     """One record per test impression with the ranks of its candidates: one line of the file."""
     largest = D.largest_impression(spark, sf)
     ranked = M.rank_within(_scored(spark, sf, "test", largest), ID, "pos", "score", largest=largest)
-    lists = ranked.groupBy(ID).agg(F.array_sort(F.collect_list(F.struct("pos", "rank"))).alias("l"))
+    lists = ranked.groupBy(ID).agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("l"))
     return lists.select(ID, F.transform("l", lambda t: t["rank"]).alias("ranked_scores"))
 
 
@@ -142,7 +142,7 @@ def _round_trip(spark, sf, compression):
     path = scratch_path(spark, "predictions.txt")
     PF.write_predictions(_ranked_lists(spark, sf), path, ID, "ranked_scores", compression)
     back = PF.read_predictions(spark, path, ID, "ranks")
-    rows = back.select(ID, F.posexplode("ranks").alias("i", "r"))
+    rows = L.explode_rows(back, [ID], "ranks", "i", "r")
     return rows.select(ID, (F.col("i") + 1).cast("bigint").alias("pos"), F.col("r").cast("bigint").alias("rank"))
 
 
@@ -223,13 +223,13 @@ def binary_labels(spark, sf):
 @query
 def remove_positives(spark, sf):
     left = D.behaviors(spark, sf, "train").transform(I.remove_positives)
-    return left.select(ID, F.explode(S.INVIEW).alias(ART))
+    return L.explode_rows(left, [ID], S.INVIEW, "i", ART).drop("i")
 
 
 @query
 def truncate_history(spark, sf):
     recent = I.truncate_history(D.recent_history(spark, sf, HISTORY_SIZE), S.HISTORY, HISTORY_SIZE)
-    return recent.select(USER, F.posexplode(S.HISTORY).alias("i", ART)).select(
+    return L.explode_rows(recent, [USER], S.HISTORY, "i", ART).select(
         USER, (F.col("i") + 1).cast("bigint").alias("hist_pos"), ART
     )
 
@@ -246,7 +246,7 @@ def _at_least(rows, n):
 
 
 def _numbered(df, column, name):
-    rows = df.select(ID, F.posexplode(column).alias("i", ART))
+    rows = L.explode_rows(df, [ID], column, "i", ART)
     return rows.select(ID, (F.col("i") + 1).cast("bigint").alias(name), ART)
 
 
@@ -286,7 +286,7 @@ def training_lists(spark, sf, shuffle, with_replacement=True):
             NPRATIO, ID, "pos", ART, "clicked", shuffle, with_replacement, SEED, largest,
         )
         element = F.struct("slot", F.col(ART).alias("a"), F.col("label").cast("tinyint").alias("y"))
-        grouped = rows.groupBy(ID, "click_pos").agg(F.array_sort(F.collect_list(element)).alias("l"))
+        grouped = rows.groupBy(ID, "click_pos").agg(F.sort_array(F.collect_list(element)).alias("l"))
         lists = grouped.withColumns(
             {S.INVIEW: F.transform("l", lambda t: t["a"]), S.LABELS: F.transform("l", lambda t: t["y"])}
         )
@@ -374,10 +374,10 @@ def candidate_rows(spark, sf):
 @query
 def attach_scores(spark, sf):
     shown = D.behaviors(spark, sf, "test")
-    scored = shown.select(ID, "page", F.posexplode(S.INVIEW).alias("pos", ART))
+    scored = L.explode_rows(shown, [ID, "page"], S.INVIEW, "pos", ART)
     scored = scored.withColumn("score", D.hash_score())
     listed = I.attach_scores(shown, scored, [ID, "page"])
-    rows = listed.select(ID, "first_pos", F.posexplode(F.arrays_zip(S.INVIEW, S.SCORES)).alias("i", "z"))
+    rows = L.explode_rows(listed, [ID, "first_pos"], F.arrays_zip(S.INVIEW, S.SCORES), "i", "z")
     return rows.select(
         ID,
         (F.col("i") + F.col("first_pos")).cast("bigint").alias("pos"),
@@ -401,8 +401,9 @@ def label_position(spark, sf):
 @query
 def chunk_list(spark, sf):
     """The words of each document in chunks of 100."""
-    docs = D.table(spark, sf, "documents")
-    chunks = docs.select("doc_id", F.posexplode(L.chunked(X.tokens(F.col("text")), 100)).alias("i", "words"))
+    docs = D.documents(spark, sf)
+    words = docs.select("doc_id", X.tokens(F.col("text")).alias("words"))
+    chunks = L.explode_rows(words, ["doc_id"], L.chunked(F.col("words"), 100), "i", "words")
     return chunks.select(
         "doc_id",
         (F.col("i") + 1).cast("bigint").alias("chunk"),
@@ -421,7 +422,7 @@ def concat_columns(spark, sf):
 
 
 def _vocabulary(spark, sf):
-    return E.build_vocabulary(D.table(spark, sf, "documents"), "text", VOCABULARY)
+    return E.build_vocabulary(D.documents(spark, sf), "text", VOCABULARY)
 
 
 @query
@@ -430,7 +431,7 @@ def build_vocabulary(spark, sf):
 
 
 def _encoded(spark, sf, max_length):
-    docs = D.table(spark, sf, "documents")
+    docs = D.documents(spark, sf)
     return E.encode_text(docs, "doc_id", "text", _vocabulary(spark, sf), VOCABULARY, max_length)
 
 
@@ -523,10 +524,8 @@ def embedding_lookup(spark, sf):
 @query
 def auc_pooled(spark, sf):
     """Ties count 0 (the default) and one half, side by side."""
-    # Positions play no part here, so the items are enough.
     scored = D.items(spark, sf, "test").select(F.col("clicked").alias("label"), D.hash_score().alias("score"))
-    strict = M.auc(scored).withColumn("ties", F.lit("strict"))
-    return strict.unionByName(M.auc(scored, ties="half").withColumn("ties", F.lit("half")))
+    return M.auc(scored, ties=("strict", "half"))
 
 
 @query
@@ -681,7 +680,7 @@ def _vectors(spark, sf):
 
 
 def _vector_rows(table, key, digits=8):
-    rows = table.where(F.col(key) != A.UNKNOWN_KEY).select(key, F.posexplode("vec").alias("dim", "value"))
+    rows = L.explode_rows(table.where(F.col(key) != A.UNKNOWN_KEY), [key], "vec", "dim", "value")
     return rows.select(key, F.col("dim").cast("bigint").alias("dim"), F.round("value", digits).alias("value"))
 
 
@@ -728,7 +727,7 @@ def predict_test(spark, sf):
         rows = D.candidates(spark, sf, "test", largest).select(ID, "pos", USER, ART)
         scored = A.click_scores(rows, users, articles, DIM).withColumn("score", F.round("score", 9))
         ranked = M.rank_within(scored, ID, "pos", "score", largest=largest)
-        lists = ranked.groupBy(ID).agg(F.array_sort(F.collect_list(F.struct("pos", "rank"))).alias("l"))
+        lists = ranked.groupBy(ID).agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("l"))
         lists = lists.select(ID, F.transform("l", lambda t: t["rank"]).alias("ranked_scores"))
     return lists.select(PF.prediction_line(F.col(ID), F.col("ranked_scores")).alias("line"))
 
@@ -752,7 +751,7 @@ def train_click_model(spark, sf):
             rows = D.items(spark, sf, split, largest).select(USER, ART, F.col("clicked").alias("label"))
             features = T.pair_features(rows, users, articles, DIM)
         scored = materialised(T.score_click_model(model, features).select("label", "score"), "scored")
-        quality = M.auc(scored, ties="half").select(
+        quality = M.auc(scored, ties=("half",)).select(
             "auc", M.accuracy_threshold(scored).scalar().alias("accuracy"), F.lit(split).alias("split")
         )
         report = quality if report is None else report.unionByName(quality)

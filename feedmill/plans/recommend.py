@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from feedmill import schema as S
-from feedmill.functions.lists import rank_by_score
+from feedmill.functions.lists import explode_rows, rank_by_score
 from feedmill.operators import attention as A
 from feedmill.operators import encoding as E
 from feedmill.operators import impressions as I
@@ -99,7 +99,7 @@ def ranked_predictions(
     Scores are rounded to ``digits`` so that candidates with the same text tie
     whatever the order of the floating-point sums.
     """
-    shown = behaviors.select(*key, S.USER_ID, F.posexplode(S.INVIEW).alias("pos", S.ARTICLE_ID))
+    shown = explode_rows(behaviors, [*key, S.USER_ID], S.INVIEW, "pos", S.ARTICLE_ID)
     scored = A.click_scores(shown, users, articles, dim)
     scored = scored.select(*key, "pos", F.round("score", digits).alias("score"))
     listed = I.attach_scores(behaviors, scored, key)

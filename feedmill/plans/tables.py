@@ -24,8 +24,25 @@ SPLITS = {
 }
 
 
+# Looked up once per session and path: the schema in a file footer, and the size
+# of the largest impression, which only decides between two exact ways.
+_SCHEMAS = {}
+_LARGEST = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+def documents(spark, sf_dir) -> DataFrame:
+    """The documents, spread over all cores when the files give fewer partitions than that."""
+    docs = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
 
 
 def in_split(time, split: str | None):
@@ -59,7 +76,10 @@ def _lines(spark, sf_dir) -> DataFrame:
 
 def largest_impression(spark, sf_dir) -> int:
     """Checked bound on the candidates of one impression: its lines before duplicates merge."""
-    return largest_group(_lines(spark, sf_dir), [S.IMPRESSION_ID])
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LARGEST:
+        _LARGEST[key] = largest_group(_lines(spark, sf_dir), [S.IMPRESSION_ID])
+    return _LARGEST[key]
 
 
 def items(spark, sf_dir, split=None, largest: int | None = None) -> DataFrame:
@@ -116,10 +136,11 @@ def behaviors(spark, sf_dir, split=None, largest: int | None = None) -> DataFram
         rows = candidates(spark, sf_dir, split, largest)
         rows = rows.withColumn("page", F.floor((F.col("pos") - 1) / page_rows).cast("bigint"))
         keys, order = [*keys, "page"], ["pos", S.ARTICLE_ID]
-    shown = F.array_sort(F.collect_list(F.struct(*order, "clicked"))).alias("_s")
+    shown = F.sort_array(F.collect_list(F.struct(*order, "clicked"))).alias("_s")
     page = [] if "page" in keys else [F.lit(0).cast("bigint").alias("page")]
     records = rows.groupBy(*keys).agg(shown, *page)
     clicked = F.transform(F.filter("_s", lambda t: t["clicked"] == 1), lambda t: t[S.ARTICLE_ID])
+    any_click = F.exists("_s", lambda t: t["clicked"] == 1)
     return records.select(
         S.IMPRESSION_ID,
         "page",
@@ -127,7 +148,7 @@ def behaviors(spark, sf_dir, split=None, largest: int | None = None) -> DataFram
         S.USER_ID,
         S.IMPRESSION_TIME,
         F.transform("_s", lambda t: t[S.ARTICLE_ID]).alias(S.INVIEW),
-        F.when(F.size(clicked) > 0, clicked).alias(S.CLICKED),
+        F.when(any_click, clicked).alias(S.CLICKED),
     )
 
 
@@ -156,7 +177,7 @@ def recent_history(spark, sf_dir, n: int) -> DataFrame:
     """
     newest = first_within(history_clicks(spark, sf_dir), [S.USER_ID], [F.desc(c) for c in _HISTORY_ORDER], n, "_r")
     records = newest.groupBy(S.USER_ID).agg(
-        F.reverse(F.array_sort(F.collect_list(F.struct("_r", S.ARTICLE_ID)))).alias("_l")
+        F.reverse(F.sort_array(F.collect_list(F.struct("_r", S.ARTICLE_ID)))).alias("_l")
     )
     return records.select(S.USER_ID, F.transform("_l", lambda t: t[S.ARTICLE_ID]).alias(S.HISTORY))
 
