@@ -13,8 +13,8 @@ class Limits:
     hot_min_rows: int = 200_000
     hot_share: float = 0.005
     # A lookup table within both bounds may be broadcast.
-    broadcast_max_rows: int = 200_000
-    broadcast_max_bytes: int = 256 * 1024 * 1024
+    broadcast_max_rows: int = 1_000_000
+    broadcast_max_bytes: int = 512 * 1024 * 1024
     # The largest group sorted or collected inside one task.
     group_max_rows: int = 1_000_000
 

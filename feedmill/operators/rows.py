@@ -27,39 +27,30 @@ def sample_exact(df: DataFrame, fraction: float, key: list[str], seed=DEFAULT_SE
     """Exactly floor(rows * fraction) rows: those with the smallest md5 of their unique key.
 
     A histogram over 65,536 hash buckets finds the bucket in which the sample
-    ends.  Rows in earlier buckets are kept as they are read; only the rows of
-    that one bucket, about 1 in 65,536, are ordered.
+    ends, and ordering that one bucket, about 1 row in 65,536, finds its last
+    row.  The sample itself is then a plain filter: no shuffle of the table.
     """
     columns = [F.col(k) for k in key]
     bucket = F.shiftright(seeded_int(seed, *columns), 16)
     histogram = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     total = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cut = (
-        histogram.select(
-            "_bucket",
-            "_n",
-            F.sum("_n").over(upto).alias("_upto"),
-            F.floor(F.sum("_n").over(total) * F.lit(fraction)).alias("_want"),
-        )
-        .where(F.col("_upto") > F.col("_want"))
-        .orderBy("_bucket")
-        .first()
+    sums = histogram.select(
+        "_bucket",
+        (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(upto).alias("_upto"),
+        F.floor(F.sum("_n").over(total) * F.lit(fraction)).alias("_want"),
     )
-    if cut is None:  # the whole table, or nothing to sample from
-        return df
-    whole = df.where(bucket < cut["_bucket"])
-    still = cut["_want"] - (cut["_upto"] - cut["_n"])
-    if still == 0:
-        return whole
-    ordered = Window.orderBy(seeded_md5(seed, *columns), *columns)
-    partial = (
-        df.where(bucket == cut["_bucket"])
-        .withColumn("_rank", F.row_number().over(ordered))
-        .where(F.col("_rank") <= still)
-        .drop("_rank")
+    end = sums.where((F.col("_before") < F.col("_want")) & (F.col("_upto") >= F.col("_want"))).first()
+    if end is None:  # nothing wanted
+        return df.where(F.lit(False))
+    place = F.struct(seeded_md5(seed, *columns).alias("h"), *columns)
+    numbered = df.where(bucket == end["_bucket"]).select(
+        F.row_number().over(Window.orderBy(place)).alias("_rank"), place.alias("_place")
     )
-    return whole.unionByName(partial)
+    last = numbered.where(F.col("_rank") == end["_want"] - end["_before"]).first()["_place"]
+    end_place = F.struct(*[F.lit(v) for v in last]).cast(numbered.schema["_place"].dataType)
+    return df.where(place <= end_place)
 
 
 def shuffle_rows(df: DataFrame, key: list[str], seed=DEFAULT_SEED, position: str = "shuffled_pos") -> DataFrame:
@@ -80,10 +71,12 @@ def assign_batches(df: DataFrame, order: list, size: int, batch: str = "batch_id
 
 
 def flag_known_users(
-    df: DataFrame, known: DataFrame, user_col: str = S.USER_ID, flag_col: str = S.KNOWN_USER
+    df: DataFrame, known: DataFrame | list, user_col: str = S.USER_ID, flag_col: str = S.KNOWN_USER
 ) -> DataFrame:
-    """True where the user occurs in ``known`` (a DataFrame with the same user column)."""
+    """True where the user occurs in ``known``: a DataFrame with that column, or a short list."""
     S.check_columns(df, [user_col])
+    if not isinstance(known, DataFrame):
+        return df.withColumn(flag_col, F.coalesce(F.col(user_col).isin(list(known)), F.lit(False)))
     # Written once, because the join looks at its size first.
     seen = materialised(known.select(user_col).distinct().withColumn(flag_col, F.lit(True)), "known-users")
     return lookup_join(df, seen, user_col, "left").withColumn(

@@ -39,6 +39,14 @@ def hot_keys(df: DataFrame, key: str) -> list:
     return [t["item"] for t in found["top"] if t["count"] > floor and t["item"] is not None]
 
 
+def join_tables(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """Any join type on equal columns, in one job: memory is bounded by spilling, not by slicing.
+
+    Use :func:`lookup_join` where the right side has one row per key.
+    """
+    return left.join(right, on, how)
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

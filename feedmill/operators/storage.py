@@ -6,19 +6,29 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``.
+_LOCAL_ROOTS = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``.
 
     Without that setting a local session gets a temporary folder; a cluster has
     no folder all executors see, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="feedmill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/feedmill/{name}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="feedmill-")
+    return _LOCAL_ROOTS[context.applicationId]
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{scratch_root(spark)}/feedmill/{name}-{uuid.uuid4().hex}"
 
 
 def materialised(df: DataFrame, name: str = "table") -> DataFrame:

@@ -296,6 +296,13 @@ _oracle("behaviors_with_history", "times recent", f"""
         SELECT user_id, string_agg(article_id::VARCHAR, ',' ORDER BY slot) AS history
         FROM recent GROUP BY user_id) h ON h.user_id = t.user_id""")
 
+_oracle("users_full_join", "times", f"""
+    SELECT coalesce(t.user_id, v.user_id) AS user_id, coalesce(n_train, 0) AS n_train,
+           coalesce(n_validation, 0) AS n_validation
+    FROM (SELECT user_id, count(*) AS n_train FROM times WHERE {_SPLIT_WHERE['train']} GROUP BY 1) t
+    FULL JOIN (SELECT user_id, count(*) AS n_validation FROM times WHERE {_SPLIT_WHERE['validation']}
+               GROUP BY 1) v ON v.user_id = t.user_id""")
+
 # --- list operators --------------------------------------------------------
 
 _oracle("binary_labels", "train", "SELECT impression_id, pos, article_id, clicked AS label FROM train")

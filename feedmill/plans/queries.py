@@ -13,7 +13,7 @@ from feedmill.operators import lookup as K
 from feedmill.operators import metrics as M
 from feedmill.operators import rows as R
 from feedmill.operators import training as T
-from feedmill.operators.skew import fits_a_task
+from feedmill.operators.skew import fits_a_task, join_tables
 from feedmill.operators.storage import materialised, scratch_path
 from feedmill.plans import recommend as P
 from feedmill.plans import tables as D
@@ -212,6 +212,17 @@ def behaviors_with_history(spark, sf):
     return joined.select(ID, USER, _joined(S.HISTORY).alias("history"))
 
 
+@query
+def users_full_join(spark, sf):
+    """Impressions per user in two splits; users of only one split are kept."""
+
+    def per_user(split, name):
+        return D.impression_times(spark, sf, split).groupBy(USER).agg(F.count(F.lit(1)).alias(name))
+
+    both = join_tables(per_user("train", "n_train"), per_user("validation", "n_validation"), USER, "full")
+    return both.fillna(0)
+
+
 # --- list operators --------------------------------------------------------
 
 
