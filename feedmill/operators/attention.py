@@ -179,19 +179,24 @@ def user_vectors(
     return encode_sequences(seqs, user, encoder, n)
 
 
-def with_pair_vectors(candidates: DataFrame, users: DataFrame, articles: DataFrame, dim: int) -> DataFrame:
+def with_pair_vectors(
+    candidates: DataFrame, users: DataFrame, articles: DataFrame, dim: int, hot_from: DataFrame | None = None
+) -> DataFrame:
     """Candidates with ``user_vec`` and ``article_vec``; unknown ids get the unknown vectors.
 
     Rows are still narrow when they meet the user table; the article table is
     broadcast when its checked size allows, so the wide rows are not shuffled.
+    ``hot_from`` is a cheaper table with the same two id columns, for finding hot
+    ids; by default the candidates themselves are read for that.
     """
     width = 16 + 8 * dim
     u = users.select(F.col(S.USER_ID), F.col("vec").alias("user_vec"))
     a = articles.select(F.col(S.ARTICLE_ID), F.col("vec").alias("article_vec"))
     no_user = u.where(F.col(S.USER_ID) == UNKNOWN_KEY).select("user_vec")
     no_article = a.where(F.col(S.ARTICLE_ID) == UNKNOWN_KEY).select("article_vec")
-    joined = lookup_join(candidates, u, S.USER_ID, "left", row_bytes=width)
-    joined = lookup_join(joined, a, S.ARTICLE_ID, "left", row_bytes=width)
+    ids = candidates if hot_from is None else hot_from
+    joined = lookup_join(candidates, u, S.USER_ID, "left", row_bytes=width, hot_from=ids)
+    joined = lookup_join(joined, a, S.ARTICLE_ID, "left", row_bytes=width, hot_from=ids)
     return joined.withColumns(
         {
             "user_vec": F.coalesce(F.col("user_vec"), no_user.scalar()),
@@ -201,10 +206,15 @@ def with_pair_vectors(candidates: DataFrame, users: DataFrame, articles: DataFra
 
 
 def click_scores(
-    candidates: DataFrame, users: DataFrame, articles: DataFrame, dim: int, name: str = "score"
+    candidates: DataFrame,
+    users: DataFrame,
+    articles: DataFrame,
+    dim: int,
+    name: str = "score",
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Dot product of user and article vector for every candidate."""
-    pairs = with_pair_vectors(candidates, users, articles, dim)
+    pairs = with_pair_vectors(candidates, users, articles, dim, hot_from)
     score = V.dot(F.col("user_vec"), F.col("article_vec"), dim)
     return pairs.withColumn(name, score).drop("user_vec", "article_vec")
 

@@ -152,11 +152,16 @@ def attach_scores(
     return df.join(collected, key, "left").withColumn(scores, checked).drop("_s")
 
 
-def join_history(behaviors: DataFrame, history: DataFrame, user=S.USER_ID, hot: list | None = None) -> DataFrame:
-    """Left join of impressions with the history record of their user."""
+def join_history(
+    behaviors: DataFrame, history: DataFrame, user=S.USER_ID, hot_from: DataFrame | None = None
+) -> DataFrame:
+    """Left join of impressions with the history record of their user.
+
+    ``hot_from``: see :func:`feedmill.operators.skew.lookup_join`.
+    """
     S.check_columns(behaviors, [user])
     S.check_columns(history, [user])
-    return lookup_join(behaviors, history, user, "left", row_bytes=512, hot=hot)
+    return lookup_join(behaviors, history, user, "left", row_bytes=512, hot_from=hot_from)
 
 
 def map_ids(

@@ -53,7 +53,7 @@ def lookup_join(
     on: str,
     how: str = "left",
     row_bytes: int = 64,
-    hot: list | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to a table with at most one row per key.
 
@@ -63,14 +63,14 @@ def lookup_join(
     (no more than ``hot_keys`` can give), so no task receives a hot key whole.
 
     ``right`` is counted first, so write an expensive one out with
-    ``storage.materialised``.  ``hot`` passes keys already known, to save the
-    pass over ``left`` that finds them.
+    ``storage.materialised``.  ``hot_from`` names a table with the keys in about
+    the same shares that is cheaper to read than ``left``, for finding hot keys.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
     if small_enough(right, row_bytes):
         return left.join(F.broadcast(right), on, how)
-    keys = hot_keys(left, on) if hot is None else hot
+    keys = hot_keys(left if hot_from is None else hot_from, on)
     if not keys:
         return left.join(right, on, how)
     is_hot = F.coalesce(F.col(on).isin(keys), F.lit(False))

@@ -66,7 +66,7 @@ _PARTS = {
         FROM test""",
     "pool": """
         SELECT impression_id, article_id,
-               row_number() OVER (PARTITION BY impression_id ORDER BY pos) - 1 AS at,
+               row_number() OVER (PARTITION BY impression_id ORDER BY pos) - 1 AS place,
                count(*) OVER (PARTITION BY impression_id) AS n
         FROM train WHERE clicked = 0""",
     "clicks": """
@@ -76,12 +76,18 @@ _PARTS = {
     "lists": f"""
         SELECT d.impression_id, d.click_pos, d.slot, p.article_id, 0 AS label
         FROM (SELECT c.impression_id, c.click_pos, s.slot,
-                     {_hash(_SEED, 'c.impression_id', 'c.click_pos', 's.slot')} % z.n AS at
+                     {_hash(_SEED, 'c.impression_id', 'c.click_pos', 's.slot')} % z.n AS place
               FROM clicks c CROSS JOIN (SELECT unnest(range(1, {NPRATIO} + 1)) AS slot) s
               LEFT JOIN (SELECT DISTINCT impression_id, n FROM pool) z ON z.impression_id = c.impression_id) d
-        LEFT JOIN pool p ON p.impression_id = d.impression_id AND p.at = d.at
+        LEFT JOIN pool p ON p.impression_id = d.impression_id AND p.place = d.place
         UNION ALL
         SELECT impression_id, click_pos, {NPRATIO} + 1, article_id, 1 FROM clicks""",
+    # the pool in seeded order, for impressions with at least NPRATIO unclicked ids
+    "mixed_pool": f"""
+        SELECT impression_id, article_id, n,
+               row_number() OVER (PARTITION BY impression_id
+                   ORDER BY {_md5(_SEED, 'impression_id', 'place + 1')}, place) - 1 AS place
+        FROM pool WHERE n >= {NPRATIO}""",
     "mixed": f"""
         SELECT impression_id, click_pos, article_id, label,
                row_number() OVER (PARTITION BY impression_id, click_pos
@@ -318,13 +324,23 @@ _oracle("sample_without_replacement", "train", f"""
     WHERE n >= 2 AND draw <= 2""")
 _oracle("sample_with_replacement", "train", f"""
     SELECT z.impression_id, z.draw, t.article_id FROM (
-        SELECT impression_id, draw, {_hash(_SEED, 'impression_id', 'draw')} % n + 1 AS at FROM (
+        SELECT impression_id, draw, {_hash(_SEED, 'impression_id', 'draw')} % n + 1 AS place FROM (
             SELECT impression_id, count(*) AS n FROM train GROUP BY 1)
         CROSS JOIN (SELECT unnest(range(1, 5)) AS draw)) z
-    JOIN train t ON t.impression_id = z.impression_id AND t.pos = z.at""")
+    JOIN train t ON t.impression_id = z.impression_id AND t.pos = z.place""")
 _LIST_COLUMNS = "impression_id, click_pos, slot, coalesce(article_id, -1) AS article_id, label"
 _oracle("negative_sampling", "lists", f"SELECT {_LIST_COLUMNS} FROM lists")
 _oracle("negative_sampling_shuffled", "mixed", f"SELECT {_LIST_COLUMNS} FROM mixed")
+_oracle("negative_sampling_distinct", "clicks mixed_pool", f"""
+    SELECT d.impression_id, d.click_pos, d.slot, p.article_id, 0 AS label
+    FROM (SELECT c.impression_id, c.click_pos, s.slot,
+                 ({_hash(_SEED, 'c.impression_id', 'c.click_pos')} + s.slot - 1) % z.n AS place
+          FROM clicks c CROSS JOIN (SELECT unnest(range(1, {NPRATIO} + 1)) AS slot) s
+          JOIN (SELECT DISTINCT impression_id, n FROM mixed_pool) z ON z.impression_id = c.impression_id) d
+    JOIN mixed_pool p ON p.impression_id = d.impression_id AND p.place = d.place
+    UNION ALL
+    SELECT impression_id, click_pos, {NPRATIO} + 1, article_id, 1 FROM clicks
+    WHERE impression_id IN (SELECT impression_id FROM mixed_pool)""")
 _oracle("shuffle_list", "train", f"""
     SELECT impression_id, article_id,
            row_number() OVER (PARTITION BY impression_id

@@ -164,7 +164,8 @@ def project_train_columns(spark, sf):
     """The training columns; lists are shown as rows (in-view) and text (history)."""
     recent = _recent(spark, sf)
     shown = D.behaviors(spark, sf, "train")
-    joined = P.impressions_with_history(shown, recent, HISTORY_SIZE)
+    times = D.impression_times(spark, sf, "train")
+    joined = P.impressions_with_history(shown, recent, HISTORY_SIZE, hot_from=times)
     train = joined.select(*S.TRAIN_COLUMNS, "first_pos").transform(I.add_labels)
     history = train.withColumn("history", _joined(S.HISTORY))
     return I.candidate_rows(history, [ID, USER, "history"], first_pos="first_pos")
@@ -284,17 +285,23 @@ def sample_with_replacement(spark, sf):
 def training_lists(spark, sf, shuffle, with_replacement=True):
     """(impression_id, click_pos, in-view list, label list): npratio + 1 ids per click.
 
+    Without replacement only impressions with enough unclicked ids take part.
     Drawn inside the impression record while every impression fits a task, else
     from rows; both give the same lists.
     """
     largest = D.largest_impression(spark, sf)
     if fits_a_task(largest):
         shown = D.behaviors(spark, sf, "train", largest).select(ID, S.INVIEW, S.CLICKED)
+        if not with_replacement:
+            shown = shown.where(F.size(L.without_clicked(F.col(S.INVIEW), F.col(S.CLICKED))) >= NPRATIO)
         lists = I.sample_negatives(shown, NPRATIO, shuffle, with_replacement, SEED).transform(I.add_labels)
     else:
+        shown = D.candidates(spark, sf, "train", largest)
+        if not with_replacement:
+            negatives = shown.groupBy(ID).agg(F.sum(1 - F.col("clicked")).alias("n"))
+            shown = shown.join(negatives.where(F.col("n") >= NPRATIO), ID, "left_semi")
         rows = C.sample_negatives_within(
-            D.candidates(spark, sf, "train", largest),
-            NPRATIO, ID, "pos", ART, "clicked", shuffle, with_replacement, SEED, largest,
+            shown, NPRATIO, ID, "pos", ART, "clicked", shuffle, with_replacement, SEED, largest
         )
         element = F.struct("slot", F.col(ART).alias("a"), F.col("label").cast("tinyint").alias("y"))
         grouped = rows.groupBy(ID, "click_pos").agg(F.sort_array(F.collect_list(element)).alias("l"))
@@ -325,6 +332,12 @@ def negative_sampling_shuffled(spark, sf):
     return _shown(training_rows(spark, sf, shuffle=True))
 
 
+@query
+def negative_sampling_distinct(spark, sf):
+    """Without replacement: a list never has the same unclicked position twice."""
+    return training_rows(spark, sf, shuffle=False, with_replacement=False)
+
+
 @query
 def shuffle_list(spark, sf):
     largest = D.largest_impression(spark, sf)
@@ -375,8 +388,9 @@ def candidate_counts(spark, sf):
 def candidate_rows(spark, sf):
     """Labelled candidates beside the padded history of their user."""
     recent = _recent(spark, sf)
+    times = D.impression_times(spark, sf, "validation")
     labelled = P.impressions_with_history(
-        D.behaviors(spark, sf, "validation"), recent, HISTORY_SIZE
+        D.behaviors(spark, sf, "validation"), recent, HISTORY_SIZE, hot_from=times
     ).transform(I.add_labels)
     history = labelled.withColumn("history", _joined(S.HISTORY))
     return I.candidate_rows(history, [ID, USER, "history"], first_pos="first_pos")
@@ -712,7 +726,7 @@ def user_vectors(spark, sf):
 def _clicks_scored(spark, sf, split):
     users, articles = _vectors(spark, sf)
     rows = D.candidates(spark, sf, split).select(ID, "pos", USER, ART, F.col("clicked").alias("label"))
-    return A.click_scores(rows, users, articles, DIM)
+    return A.click_scores(rows, users, articles, DIM, hot_from=D.id_pairs(spark, sf, split))
 
 
 @query
@@ -730,13 +744,15 @@ def click_probability(spark, sf):
 def predict_test(spark, sf):
     """The prediction line of every test impression."""
     users, articles = _vectors(spark, sf)
+    pairs = D.id_pairs(spark, sf, "test")
     largest = D.largest_impression(spark, sf)
     if fits_a_task(largest):
         shown = D.behaviors(spark, sf, "test", largest)
-        lists = P.ranked_predictions(shown, users, articles, DIM, [ID])
+        lists = P.ranked_predictions(shown, users, articles, DIM, [ID], hot_from=pairs)
     else:
         rows = D.candidates(spark, sf, "test", largest).select(ID, "pos", USER, ART)
-        scored = A.click_scores(rows, users, articles, DIM).withColumn("score", F.round("score", 9))
+        scored = A.click_scores(rows, users, articles, DIM, hot_from=pairs)
+        scored = scored.withColumn("score", F.round("score", 9))
         ranked = M.rank_within(scored, ID, "pos", "score", largest=largest)
         lists = ranked.groupBy(ID).agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("l"))
         lists = lists.select(ID, F.transform("l", lambda t: t["rank"]).alias("ranked_scores"))

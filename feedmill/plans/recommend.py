@@ -12,11 +12,15 @@ from feedmill.operators.storage import materialised
 
 
 def impressions_with_history(
-    behaviors: DataFrame, history: DataFrame, history_size: int, padding_value=0
+    behaviors: DataFrame,
+    history: DataFrame,
+    history_size: int,
+    padding_value=0,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Impressions beside the newest ``history_size`` clicks of their user, padded on the left."""
     recent = I.truncate_history(history.select(S.USER_ID, S.HISTORY), S.HISTORY, history_size, padding_value)
-    return I.join_history(behaviors, recent)
+    return I.join_history(behaviors, recent, hot_from=hot_from)
 
 
 def training_lists(
@@ -38,7 +42,7 @@ def training_lists(
     lists = lists.transform(I.add_labels)
     if fraction < 1.0:
         lists = R.sample_exact(lists, fraction, [S.IMPRESSION_ID, "click_pos"], seed)
-    joined = impressions_with_history(lists, history, history_size)
+    joined = impressions_with_history(lists, history, history_size, hot_from=behaviors)
     return joined.select(*S.TRAIN_COLUMNS, "click_pos", S.LABELS)
 
 
@@ -53,7 +57,7 @@ def labelled_impressions(
     kept = behaviors
     if fraction < 1.0:
         kept = R.sample_exact(kept, fraction, [S.IMPRESSION_ID], seed)
-    joined = impressions_with_history(kept, history, history_size)
+    joined = impressions_with_history(kept, history, history_size, hot_from=behaviors)
     return joined.select(*S.TRAIN_COLUMNS).transform(I.add_labels)
 
 
@@ -93,6 +97,7 @@ def ranked_predictions(
     dim: int,
     key: list[str],
     digits: int = 9,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Impressions with ``scores`` and ``ranked_scores`` lists.
 
@@ -100,7 +105,7 @@ def ranked_predictions(
     whatever the order of the floating-point sums.
     """
     shown = explode_rows(behaviors, [*key, S.USER_ID], S.INVIEW, "pos", S.ARTICLE_ID)
-    scored = A.click_scores(shown, users, articles, dim)
+    scored = A.click_scores(shown, users, articles, dim, hot_from=hot_from)
     scored = scored.select(*key, "pos", F.round("score", digits).alias("score"))
     listed = I.attach_scores(behaviors, scored, key)
     return listed.withColumn("ranked_scores", rank_by_score(F.col(S.SCORES)))

@@ -39,10 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    """The documents, spread over all cores when the files give fewer partitions than that."""
+    """The documents, spread over the cores when the files leave most of them idle."""
     docs = table(spark, sf_dir, "documents")
     cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+    return docs.repartition(cores, "doc_id") if 4 * docs.rdd.getNumPartitions() <= cores else docs
 
 
 def in_split(time, split: str | None):
@@ -74,6 +74,12 @@ def _lines(spark, sf_dir) -> DataFrame:
     )
 
 
+def id_pairs(spark, sf_dir, split=None) -> DataFrame:
+    """(user_id, article_id) of the lines, unmerged: where hot ids are looked for."""
+    lines = _lines(spark, sf_dir).select(S.IMPRESSION_ID, S.ARTICLE_ID)
+    return lines.join(impression_times(spark, sf_dir, split), S.IMPRESSION_ID).select(S.USER_ID, S.ARTICLE_ID)
+
+
 def largest_impression(spark, sf_dir) -> int:
     """Checked bound on the candidates of one impression: its lines before duplicates merge."""
     key = (spark.sparkContext.applicationId, sf_dir)

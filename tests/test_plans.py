@@ -89,7 +89,7 @@ def test_lookup_join_ways(spark, tiny_limits):
         tiny_limits.hot_min_rows, tiny_limits.hot_share = 500, 0.1
         split = skew.lookup_join(left, right, "k")
         assert "SortMergeJoin" in plan(split) and "BroadcastHashJoin" in plan(split)
-        assert "BroadcastHashJoin" not in plan(skew.lookup_join(left, right, "k", hot=[]))
+        assert "BroadcastHashJoin" not in plan(skew.lookup_join(left, right, "k", hot_from=right))
         tiny_limits.broadcast_max_rows = 5000
         small = skew.lookup_join(left, right, "k")
         assert "SortMergeJoin" not in plan(small)
