@@ -1,7 +1,8 @@
 """Operators on one list column, as expressions over a single row.
 
 They work unchanged on batch and streaming DataFrames and never shuffle.  A row
-is one record, so the list is as long as it was stored.
+is one record, so the list is as long as it was stored.  Membership tests scan
+the clicked list once per element: meant for lists up to some ten thousand ids.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -111,12 +112,18 @@ def label_position(labels: Column) -> Column:
 
 
 def chunked(items: Column, k: int) -> Column:
-    """Split a list into consecutive sublists of ``k``; the last may be shorter."""
-    n_chunks = F.ceil(F.size(items) / F.lit(k)).cast("int")
-    whole = F.transform(
-        F.sequence(F.lit(1), F.greatest(n_chunks, F.lit(1))),
-        lambda i: F.slice(items, (i - 1) * k + 1, F.lit(k)),
-    )
+    """Split a list into consecutive sublists of ``k``; the last may be shorter.
+
+    Elements are picked by position, since slicing copies the whole list each time.
+    """
+    size = F.size(items)
+    n_chunks = F.ceil(size / F.lit(k)).cast("int")
+
+    def chunk(c):
+        last = F.least((c + 1) * k, size) - 1
+        return F.transform(F.sequence(c * k, last), lambda i: F.get(items, i))
+
+    whole = F.transform(F.sequence(F.lit(0), F.greatest(n_chunks, F.lit(1)) - 1), chunk)
     return F.when(items.isNotNull(), F.slice(whole, F.lit(1), F.greatest(n_chunks, F.lit(0))))
 
 

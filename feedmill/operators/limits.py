@@ -15,8 +15,10 @@ class Limits:
     # A lookup table within both bounds may be broadcast.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 512 * 1024 * 1024
-    # The largest group sorted or collected inside one task.
+    # The largest group sorted inside one task.
     group_max_rows: int = 1_000_000
+    # The longest list built in one record; looking ids up in a list is linear in it.
+    list_max_items: int = 10_000
 
 
 LIMITS = Limits()

@@ -20,10 +20,15 @@ def small_enough(df: DataFrame, row_bytes: int = 64) -> bool:
 
 
 def fits_a_task(rows: int) -> bool:
-    """Whether a group of ``rows`` rows may be sorted or collected by one task."""
+    """Whether a group of ``rows`` rows may be sorted by one task."""
     return rows <= LIMITS.group_max_rows
 
 
+def fits_a_list(items: int) -> bool:
+    """Whether ``items`` values may be kept as a list in one record."""
+    return items <= LIMITS.list_max_items
+
+
 def hot_keys(df: DataFrame, key: str) -> list:
     """Keys holding more rows than LIMITS.hot_min_rows and LIMITS.hot_share of all rows.
 

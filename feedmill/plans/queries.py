@@ -13,7 +13,7 @@ from feedmill.operators import lookup as K
 from feedmill.operators import metrics as M
 from feedmill.operators import rows as R
 from feedmill.operators import training as T
-from feedmill.operators.skew import fits_a_task, join_tables
+from feedmill.operators.skew import fits_a_list, join_tables
 from feedmill.operators.storage import materialised, scratch_path
 from feedmill.plans import recommend as P
 from feedmill.plans import tables as D
@@ -265,7 +265,7 @@ def _numbered(df, column, name):
 @query
 def sample_without_replacement(spark, sf):
     largest = D.largest_impression(spark, sf)
-    if fits_a_task(largest):
+    if fits_a_list(largest):
         shown = D.behaviors(spark, sf, "train", largest).where(F.size(S.INVIEW) >= 2)
         return _numbered(I.sample_ids(shown, 2, [ID], seed=SEED), S.INVIEW, "draw")
     rows = _at_least(D.candidates(spark, sf, "train", largest), 2)
@@ -275,7 +275,7 @@ def sample_without_replacement(spark, sf):
 @query
 def sample_with_replacement(spark, sf):
     largest = D.largest_impression(spark, sf)
-    if fits_a_task(largest):
+    if fits_a_list(largest):
         shown = D.behaviors(spark, sf, "train", largest)
         return _numbered(I.sample_ids(shown, 4, [ID], True, SEED), S.INVIEW, "draw")
     rows = D.candidates(spark, sf, "train", largest)
@@ -286,11 +286,11 @@ def training_lists(spark, sf, shuffle, with_replacement=True):
     """(impression_id, click_pos, in-view list, label list): npratio + 1 ids per click.
 
     Without replacement only impressions with enough unclicked ids take part.
-    Drawn inside the impression record while every impression fits a task, else
+    Drawn inside the impression record while every impression fits a list, else
     from rows; both give the same lists.
     """
     largest = D.largest_impression(spark, sf)
-    if fits_a_task(largest):
+    if fits_a_list(largest):
         shown = D.behaviors(spark, sf, "train", largest).select(ID, S.INVIEW, S.CLICKED)
         if not with_replacement:
             shown = shown.where(F.size(L.without_clicked(F.col(S.INVIEW), F.col(S.CLICKED))) >= NPRATIO)
@@ -341,7 +341,7 @@ def negative_sampling_distinct(spark, sf):
 @query
 def shuffle_list(spark, sf):
     largest = D.largest_impression(spark, sf)
-    if fits_a_task(largest):
+    if fits_a_list(largest):
         shown = D.behaviors(spark, sf, "train", largest)
         return _numbered(I.shuffle_list(shown, S.INVIEW, [ID], SEED), S.INVIEW, "shuffled_pos")
     rows = D.candidates(spark, sf, "train", largest)
@@ -746,7 +746,7 @@ def predict_test(spark, sf):
     users, articles = _vectors(spark, sf)
     pairs = D.id_pairs(spark, sf, "test")
     largest = D.largest_impression(spark, sf)
-    if fits_a_task(largest):
+    if fits_a_list(largest):
         shown = D.behaviors(spark, sf, "test", largest)
         lists = P.ranked_predictions(shown, users, articles, DIM, [ID], hot_from=pairs)
     else:

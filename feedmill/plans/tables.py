@@ -12,7 +12,7 @@ from feedmill.functions.hashing import seeded_int
 from feedmill.functions.text import joined_with_space
 from feedmill.operators.limits import LIMITS
 from feedmill.operators.ordering import first_within, number_within
-from feedmill.operators.skew import fits_a_task, hot_keys, largest_group, small_enough
+from feedmill.operators.skew import fits_a_list, hot_keys, largest_group, small_enough
 from feedmill.operators.storage import materialised
 
 # [start, end) of the impression time per split.
@@ -91,10 +91,10 @@ def largest_impression(spark, sf_dir) -> int:
 def items(spark, sf_dir, split=None, largest: int | None = None) -> DataFrame:
     """One row per (impression, article): first line number, clicked 0/1.
 
-    While every impression fits a task, the lines are placed by impression once
-    and everything per impression happens there.  Otherwise duplicates are merged
-    per (impression, article) before the shuffle, and impressions that are hot
-    are joined to their order by broadcast.
+    While no impression is hot, the lines are placed by impression once and
+    everything per impression happens there.  Otherwise hot impressions are joined
+    to their order by broadcast, and duplicates are merged per (impression,
+    article) before the shuffle.
     """
     if largest is None:
         largest = largest_impression(spark, sf_dir)
@@ -128,14 +128,14 @@ def behaviors(spark, sf_dir, split=None, largest: int | None = None) -> DataFram
     """Impression records with in-view and clicked lists; no click gives a null list.
 
     ``page`` and ``first_pos`` are 0 and 1 for an impression that fits one record.
-    If some impression has too many candidates for a task, records hold at most
-    LIMITS.group_max_rows each and a long impression has several pages.
+    If some impression has too many candidates for a list, records hold at most
+    LIMITS.list_max_items each and a long impression has several pages.
     """
     if largest is None:
         largest = largest_impression(spark, sf_dir)
     keys = [S.IMPRESSION_ID, S.USER_ID, S.IMPRESSION_TIME]
-    page_rows = LIMITS.group_max_rows
-    if fits_a_task(largest):
+    page_rows = LIMITS.list_max_items
+    if fits_a_list(largest):
         rows = items(spark, sf_dir, split, largest)
         order = ["ln", S.ARTICLE_ID]
     else:

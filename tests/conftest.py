@@ -32,6 +32,7 @@ def tiny_limits(monkeypatch):
     from feedmill.operators.limits import LIMITS
 
     monkeypatch.setattr(LIMITS, "group_max_rows", 3)
+    monkeypatch.setattr(LIMITS, "list_max_items", 3)
     monkeypatch.setattr(LIMITS, "hot_min_rows", 5)
     monkeypatch.setattr(LIMITS, "hot_share", 0.002)
     monkeypatch.setattr(LIMITS, "broadcast_max_rows", 20)

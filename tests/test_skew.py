@@ -53,7 +53,7 @@ def test_hot_keys_are_found(spark, skewed, tiny_limits):
      "auc_pooled", "click_scores", "article_lookup"],
 )
 def test_query_on_skewed_tables(spark, skewed, tiny_limits, name):
-    tiny_limits.group_max_rows = 50
+    tiny_limits.group_max_rows = tiny_limits.list_max_items = 50
     assert_same(QUERIES[name](spark, skewed), connect(skewed), ORACLES[name])
 
 
