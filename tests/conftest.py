@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

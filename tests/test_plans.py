@@ -112,7 +112,7 @@ def test_results_do_not_depend_on_partitioning(spark):
     try:
         assert run() == before
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_scratch_tables_go_to_the_shared_folder(spark):
