@@ -39,10 +39,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    """The documents, spread over the cores when the files leave most of them idle."""
+    """The documents, spread over the cores when the scan has fewer partitions than there are cores."""
     docs = table(spark, sf_dir, "documents")
     cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores, "doc_id") if 4 * docs.rdd.getNumPartitions() <= cores else docs
+    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
 
 
 def in_split(time, split: str | None):
