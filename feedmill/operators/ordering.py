@@ -8,8 +8,8 @@ from feedmill.operators.storage import materialised
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
-def _ranged(df: DataFrame, order: list) -> DataFrame:
-    """``df`` range partitioned and sorted by ``order``, with its partition and row number.
+def ranged(df: DataFrame, order: list) -> DataFrame:
+    """``df`` range partitioned and sorted by ``order``, with its partition ``_part`` and row ``_row`` in it.
 
     Written out, because the range bounds are sampled: the two readers below must
     see one and the same layout.
@@ -32,7 +32,7 @@ def dense_index(df: DataFrame, order: list, name: str, start: int = 0) -> DataFr
     Two levels: a row number within each range partition, plus the number of rows
     in the partitions before it.  Only the per-partition counts meet in one task.
     """
-    ranged = _ranged(df, order)
+    ranged = ranged(df, order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_part")
@@ -48,7 +48,7 @@ def dense_index(df: DataFrame, order: list, name: str, start: int = 0) -> DataFr
 
 def running_sum(df: DataFrame, order: list, value: str, name: str) -> DataFrame:
     """Sum of ``value`` over all earlier rows in ``order`` (unique), the row itself excluded."""
-    ranged = _ranged(df, order)
+    ranged = ranged(df, order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("_part")
@@ -85,7 +85,7 @@ def number_within(
     if fits_a_task(largest):
         numbered = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         return df.withColumn(name, (numbered + shift).cast("bigint"))
-    ranged = _ranged(df, [F.col(g) for g in group] + list(order))
+    ranged = ranged(df, [F.col(g) for g in group] + list(order))
     pieces = ranged.groupBy("_part", *group).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")
     )

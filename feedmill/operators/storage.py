@@ -1,34 +1,23 @@
 """Intermediate tables in the shared folder of the cluster."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_LOCAL_ROOTS = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder of this session's intermediate tables, for every master alike.
 
-    Without that setting a local session gets a temporary folder; a cluster has
-    no folder all executors see, so that is an error.
+    It lies in the folder named by ``spark.checkpoint.dir`` or, without that
+    setting, in the session's warehouse: both are reachable by every executor.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if context.applicationId not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="feedmill-")
-    return _LOCAL_ROOTS[context.applicationId]
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/feedmill-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{scratch_root(spark)}/feedmill/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def materialised(df: DataFrame, name: str = "table") -> DataFrame:
@@ -41,3 +30,10 @@ def materialised(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete every intermediate table of this session; results still to be computed from them are lost."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
