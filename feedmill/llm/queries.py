@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from feedmill.llm.exact import exact_duplicates
+from feedmill.llm.lines import drop_repeated_lines
 from feedmill.llm.tables import read, whole
 
 QUERIES, ORACLES = {}, {}
@@ -13,6 +14,35 @@ def query(function):
     return function
 
 
+@query
+def op2_line_dedup(spark, sf_dir):
+    docs = drop_repeated_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
+        F.sha2("_kept_text", 256).alias("kept_sha256"),
+    )
+
+
+_STRIPPED = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+ORACLES["op2_line_dedup"] = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT doc_id, pos, line, translate(trim(line, {_STRIPPED}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines
+), repeated AS (
+  SELECT k, max(doc_id) AS stays FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT doc_id, pos, line, stays IS NOT NULL AND stays <> doc_id AS dropped FROM keyed LEFT JOIN repeated USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
