@@ -18,10 +18,10 @@ def ranged(df: DataFrame, order: list) -> DataFrame:
     laid_out = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_id", row_id)
-        .withColumn("_part", F.shiftright("_id", _ROW_BITS))
-        .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-        .drop("_id")
+        .withColumn("_place", row_id)
+        .withColumn("_part", F.shiftright("_place", _ROW_BITS))
+        .withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+        .drop("_place")
     )
     return materialised(laid_out, "ranged")
 
@@ -32,15 +32,15 @@ def dense_index(df: DataFrame, order: list, name: str, start: int = 0) -> DataFr
     Two levels: a row number within each range partition, plus the number of rows
     in the partitions before it.  Only the per-partition counts meet in one task.
     """
-    ranged = ranged(df, order)
+    laid_out = ranged(df, order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_part")
+        laid_out.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     return (
-        ranged.join(F.broadcast(offsets), "_part")
+        laid_out.join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_row") + F.col("_before") + F.lit(start).cast("bigint"))
         .drop("_part", "_row", "_before")
     )
@@ -48,16 +48,16 @@ def dense_index(df: DataFrame, order: list, name: str, start: int = 0) -> DataFr
 
 def running_sum(df: DataFrame, order: list, value: str, name: str) -> DataFrame:
     """Sum of ``value`` over all earlier rows in ``order`` (unique), the row itself excluded."""
-    ranged = ranged(df, order)
+    laid_out = ranged(df, order)
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_part")
+        laid_out.groupBy("_part")
         .agg(F.sum(value).alias("_s"))
         .select("_part", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_before"))
     )
     inside = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        ranged.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+        laid_out.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_inside") + F.col("_before"))
         .drop("_part", "_row", "_inside", "_before")
@@ -85,15 +85,15 @@ def number_within(
     if fits_a_task(largest):
         numbered = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         return df.withColumn(name, (numbered + shift).cast("bigint"))
-    ranged = ranged(df, [F.col(g) for g in group] + list(order))
-    pieces = ranged.groupBy("_part", *group).agg(
+    laid_out = ranged(df, [F.col(g) for g in group] + list(order))
+    pieces = laid_out.groupBy("_part", *group).agg(
         F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")
     )
     before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     keys = ["_part", *group]
     return (
-        ranged.join(offsets, keys)
+        laid_out.join(offsets, keys)
         .withColumn(name, (F.col("_row") - F.col("_first") + F.col("_before") + 1 + shift).cast("bigint"))
         .drop("_part", "_row", "_first", "_before")
     )
