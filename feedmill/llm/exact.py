@@ -37,8 +37,12 @@ def exact_duplicates(
     text = whole(text_col)
     length, start = F.octet_length(text).cast("bigint").alias("_len"), F.xxhash64(F.substring(text, 1, PREFIX_CHARS)).alias("_start")
     narrow = materialised(docs.select(length, start), "exact-starts")
-    in_company = narrow.join(_with_company(narrow, ["_len"]), "_len", "left_semi")
-    starts = materialised(_with_company(in_company, ["_len", "_start"]), "exact-survivors")
+    # Lengths with company are broadcast within a checked size, so that a very common length
+    # is not gathered; beyond it the next step looks at all rows, with the same result.
+    lengths = materialised(_with_company(narrow, ["_len"]), "exact-lengths")
+    if bytes_of(lengths, F.lit(32)) <= LIMITS.broadcast_max_bytes // 8:
+        narrow = narrow.join(F.broadcast(lengths), "_len", "left_semi")
+    starts = materialised(_with_company(narrow, ["_len", "_start"]), "exact-survivors")
 
     columns = [F.col(id_col).alias("_id"), length, start, text.alias("_text"), *[c.alias(f"_x{i}") for i, c in enumerate(extra.values())]]
     rows = docs.select(*columns)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from feedmill.llm.exact import exact_duplicates
 from feedmill.llm.lines import drop_repeated_lines
+from feedmill.llm.mixing import mix
 from feedmill.llm.tables import read, whole
 
 QUERIES, ORACLES = {}, {}
@@ -14,6 +15,11 @@ def query(function):
     return function
 
 
+@query
+def op1_mix_sources(spark, sf_dir):
+    return mix(read(spark, sf_dir, "documents")).drop("copies")
+
+
 @query
 def op2_line_dedup(spark, sf_dir):
     docs = drop_repeated_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
