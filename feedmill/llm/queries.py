@@ -1,13 +1,17 @@
 """One query per corpus operator, over its whole table, and its SQL where SQL can say it."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from feedmill.llm.bpe import decode, encode
 from feedmill.llm.exact import exact_duplicates
 from feedmill.llm.lines import drop_repeated_lines
 from feedmill.llm.mixing import mix
 from feedmill.llm.tables import read, whole
+from feedmill.llm.token_files import through_files
 
 QUERIES, ORACLES = {}, {}
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(function):
@@ -49,6 +53,20 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op6_bpe(spark, sf_dir):
+    docs = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
+    docs = decode(docs.select("doc_id", "ids"), VOCABULARY)
+    n_tokens = F.expr("octet_length(ids) div 4").alias("n_tokens")
+    return docs.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op9_token_files(spark, sf_dir):
+    tokens = through_files(read(spark, sf_dir, "documents"), VOCABULARY)
+    return tokens.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
