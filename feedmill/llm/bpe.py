@@ -11,16 +11,16 @@ import re
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
+from feedmill.llm.arrow import with_columns
+
 # The word pattern of the byte-level vocabulary.
 _SPACE = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{White_Space}})|{_SPACE}+"
 # White space that a cut before a single space would tear apart.
 _SPACE_RUN = re.compile(r"\s \s|  |\s $")
-_ROWS = 2_000  # rows held as Python objects at a time
 # What a worker remembers between batches; beyond it, the same values are computed again.
 _KNOWN_PIECES, _KNOWN_PAIRS = 200_000, 1_000_000
 
@@ -147,23 +147,6 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def _slices(batch: pa.RecordBatch, rows: int):
-    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
-
-
-def _with_column(df: DataFrame, name: str, kind: T.DataType, source: str, arrow: pa.DataType, values) -> DataFrame:
-    """``df`` with ``name`` after its columns: ``values`` maps the values of ``source`` in a batch."""
-    place = df.columns.index(source)
-
-    def run(batches):
-        for batch in batches:
-            for part in _slices(batch, _ROWS):
-                new = pa.array(values(part.column(place).to_pylist()), arrow)
-                yield pa.RecordBatch.from_arrays([*part.columns, new], [*part.schema.names, name])
-
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
-
-
 def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids") -> DataFrame:
     """``docs`` with ``name``: the ids of the whole text, packed as little-endian unsigned 32-bit integers.
 
@@ -173,13 +156,9 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids"
     must not be a column of ``docs`` yet.  Rows are encoded where they are read, in
     batches of a fixed number of rows; words are remembered between batches up to a fixed number.
     """
-    return _with_column(
-        docs, name, T.BinaryType(), text_col, pa.binary(), lambda texts: vocabulary(path).encode([t or "" for t in texts])
-    )
+    return with_columns(docs, text_col, {name: T.BinaryType()}, lambda texts: [vocabulary(path).encode([t or "" for t in texts])])
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
     """``docs`` with ``name``: the text of packed ids, special tokens included; null ids give an empty text."""
-    return _with_column(
-        docs, name, T.StringType(), ids_col, pa.string(), lambda lists: [vocabulary(path).decode(ids or b"") for ids in lists]
-    )
+    return with_columns(docs, ids_col, {name: T.StringType()}, lambda lists: [[vocabulary(path).decode(i or b"") for i in lists]])

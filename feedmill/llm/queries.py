@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feedmill.llm.bpe import decode, encode
 from feedmill.llm.exact import exact_duplicates
+from feedmill.llm.language import held_out, identify, train
 from feedmill.llm.lines import drop_repeated_lines
 from feedmill.llm.mixing import mix
 from feedmill.llm.tables import read, whole
@@ -53,6 +54,14 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op4_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = train(docs.where(~held_out()))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
 @query
 def op6_bpe(spark, sf_dir):
     docs = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
