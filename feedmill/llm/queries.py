@@ -8,6 +8,7 @@ from feedmill.llm.exact import exact_duplicates
 from feedmill.llm.language import held_out, identify, train
 from feedmill.llm.lines import drop_repeated_lines
 from feedmill.llm.mixing import mix
+from feedmill.llm.sharding import shard_rows
 from feedmill.llm.tables import read, whole
 from feedmill.llm.token_files import through_files
 
@@ -62,6 +63,11 @@ def op4_language_id(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
 
 
+@query
+def op5_shard(spark, sf_dir):
+    return shard_rows(read(spark, sf_dir, "documents")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 @query
 def op6_bpe(spark, sf_dir):
     docs = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
