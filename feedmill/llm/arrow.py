@@ -27,3 +27,16 @@ def with_columns(df: DataFrame, source: str, new: dict[str, T.DataType], values,
                 yield pa.RecordBatch.from_arrays([*part.columns, *arrays], [*part.schema.names, *names])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *[T.StructField(n, t) for n, t in new.items()]]))
+
+
+def by_size(texts: list[str | None], chars: int = 1 << 19):
+    """Consecutive texts, about ``chars`` characters or one text at a time."""
+    group, held = [], 0
+    for text in texts:
+        group.append(text or "")
+        held += len(group[-1])
+        if held >= chars:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group

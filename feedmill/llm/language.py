@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from feedmill.llm.arrow import slices, with_columns
+from feedmill.llm.arrow import by_size, slices, with_columns
 
 ORDER = 4
 UNDETERMINED = "und"
@@ -155,7 +155,7 @@ class Model:
     def identify(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
         """(language, score, accepted) of each text."""
         languages, scores, accepted = [], [], []
-        for group in _by_size(texts):
+        for group in by_size(texts):
             letters, entropy = self.entropies(group)
             best = entropy.argmin(axis=1)
             lowest = entropy[np.arange(len(group)), best]
@@ -169,19 +169,6 @@ class Model:
         return languages, scores, accepted
 
 
-def _by_size(texts: list[str | None], chars: int = 1 << 19):
-    """Consecutive texts, about ``chars`` characters or one text at a time."""
-    group, held = [], 0
-    for text in texts:
-        group.append(text or "")
-        held += len(group[-1])
-        if held >= chars:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
-
-
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model of the languages of ``labelled``; None without any labelled text.
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feedmill.llm.bpe import decode, encode
 from feedmill.llm.exact import exact_duplicates
+from feedmill.llm.jaccard import near_groups
 from feedmill.llm.language import held_out, identify, train
 from feedmill.llm.lines import drop_repeated_lines
 from feedmill.llm.mixing import mix
@@ -76,6 +77,11 @@ def op6_bpe(spark, sf_dir):
     return docs.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op7_ngram_jaccard(spark, sf_dir):
+    return near_groups(read(spark, sf_dir, "documents")).drop("text_hash")
+
+
 @query
 def op9_token_files(spark, sf_dir):
     tokens = through_files(read(spark, sf_dir, "documents"), VOCABULARY)
