@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from feedmill.llm.bpe import decode, encode
 from feedmill.llm.exact import exact_duplicates
+from feedmill.llm.fingerprints import fingerprints
 from feedmill.llm.jaccard import near_groups
 from feedmill.llm.language import held_out, identify, train
 from feedmill.llm.lines import drop_repeated_lines
@@ -56,6 +57,11 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op3_fingerprints(spark, sf_dir):
+    return fingerprints(read(spark, sf_dir, "documents"))
+
+
 @query
 def op4_language_id(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
