@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from feedmill.llm.bpe import decode, encode
 from feedmill.llm.exact import exact_duplicates
 from feedmill.llm.fingerprints import fingerprints
+from feedmill.llm.html_text import extract
 from feedmill.llm.jaccard import near_groups
 from feedmill.llm.language import held_out, identify, train
 from feedmill.llm.lines import drop_repeated_lines
@@ -88,6 +89,12 @@ def op7_ngram_jaccard(spark, sf_dir):
     return near_groups(read(spark, sf_dir, "documents")).drop("text_hash")
 
 
+@query
+def op8_html_text(spark, sf_dir):
+    pages = extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op9_token_files(spark, sf_dir):
     tokens = through_files(read(spark, sf_dir, "documents"), VOCABULARY)
