@@ -9,7 +9,8 @@ each one aggregation over a histogram of sizes.  Rates then become whole copies.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedmill.llm.tables import WORD, whole
+from feedmill.llm.tables import WORD, bytes_of, text_hash, whole
+from feedmill.operators.limits import LIMITS
 from feedmill.operators.ordering import dense_index, ranged
 from feedmill.operators.storage import materialised
 
@@ -123,7 +124,7 @@ def _rounded(cells: DataFrame, solved: DataFrame, most: int) -> DataFrame:
 def mix(
     docs: DataFrame, id_col="doc_id", source_col="source", text_col="text", weights=WEIGHTS, share=SHARE, most=MOST_COPIES
 ) -> DataFrame:
-    """One row per row of ``docs``: ``id_col``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
+    """One row per row of ``docs``: ``id_col``, ``text_hash``, ``size``, ``source_size``, ``target``, ``copies``, ``taken``.
 
     ``size`` is the number of words (null or empty text: 0), ``target`` the words to
     take from the source (see :func:`targets`), ``copies`` how often the document is
@@ -140,6 +141,7 @@ def mix(
         docs.select(
             F.col(id_col).alias("_id"), F.col(source_col).isNull().alias("_none"),
             F.coalesce(F.col(source_col), F.lit("")).alias("_source"), word_count(whole(text_col)).alias("_size"),
+            text_hash(whole(text_col), 3).alias("_th"),
         ),
         "mix-sizes",
     )
@@ -149,7 +151,7 @@ def mix(
     sources = targets(cells.groupBy(*_SOURCE).agg(total, F.sum("_n").alias("_docs")), weights, share, most)
     copies = _rounded(cells, _solved(cells, sources, most), most)
 
-    laid_out = ranged(rows, [*cell, "_id"])
+    laid_out = ranged(rows, [*cell, "_id", "_th"])
     pieces = laid_out.groupBy("_part", *cell).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_here"))
     earlier = Window.partitionBy(*cell).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_here").over(earlier), F.lit(0))).drop("_here")
@@ -160,5 +162,23 @@ def mix(
     numbered = numbered.withColumn("copies", upto[1] - upto[0])
     taken = (F.col("copies") * F.col("_size")).alias("taken")
     return numbered.select(
-        F.col("_id").alias(id_col), F.col("_size").alias("size"), "source_size", F.col("_target").alias("target"), "copies", taken
-    )
+        F.col("_id").alias(id_col), F.col("_th").alias("text_hash"), F.col("_size").alias("size"), "source_size",
+        F.col("_target").alias("target"), "copies", taken,
+    )
+
+
+def mixed_documents(docs: DataFrame, id_col="doc_id", source_col="source", text_col="text", **mixture) -> DataFrame:
+    """``docs`` with every row as often as :func:`mix` takes it, perhaps not at all; all columns stay as they are.
+
+    Rows that share id and text count as one document here, taken as often as the one taken most.
+    """
+    copies = mix(docs, id_col, source_col, text_col, **mixture).where("copies > 0")
+    copies = copies.groupBy(F.col(id_col).alias("_id"), "text_hash").agg(F.max("copies").cast("int").alias("copies"))
+    copies = materialised(copies, "mix-taken")
+    if bytes_of(copies, F.lit(48)) <= LIMITS.broadcast_max_bytes // 8:
+        copies = F.broadcast(copies)
+    hashed = text_hash(F.coalesce(docs[f"`{text_col}`"], F.lit("")), 3)
+    taken = docs.join(copies, docs[f"`{id_col}`"].eqNullSafe(copies["_id"]) & (hashed == copies["text_hash"]))
+    each = [docs[f"`{c}`"] for c in docs.columns]
+    repeated = taken.select(*each, F.explode(F.array_repeat(F.lit(0), copies["copies"])).alias("_again"))
+    return repeated.select(*[repeated[i] for i in range(len(each))])

@@ -26,7 +26,7 @@ def query(function):
 
 @query
 def op1_mix_sources(spark, sf_dir):
-    return mix(read(spark, sf_dir, "documents")).drop("copies")
+    return mix(read(spark, sf_dir, "documents")).drop("copies", "text_hash")
 
 
 @query
