@@ -7,30 +7,20 @@ both together gives just these two.  A word's ids are read backwards along its p
 """
 
 import json
-import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from feedmill.llm.arrow import with_columns
+from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out, packed_array
 
 # The word pattern of the byte-level vocabulary.
 _SPACE = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{White_Space}})|{_SPACE}+"
-# White space that a cut before a single space would tear apart.
-_SPACE_RUN = re.compile(r"\s \s|  |\s $")
-# What a worker remembers between batches; beyond it, the same values are computed again.
-_KNOWN_PIECES, _KNOWN_PAIRS = 200_000, 1_000_000
-
-
-def cut_at_spaces(text: str) -> list[str] | None:
-    """``text`` cut before each space, or None where white space in a row forbids it: no word crosses a cut."""
-    if _SPACE_RUN.search(text):
-        return None
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + r for r in rest]
+_KNOWN_PAIRS = 500_000  # answers a worker remembers; beyond it, the same ones are found again
 
 
 def _byte_letters() -> dict[str, int]:
@@ -64,7 +54,11 @@ class ByteBpe:
         names = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.packed = [i.to_bytes(4, "little") for i in range(len(self.bytes_of))]
-        self.pairs, self.known = {}, {}
+        self.pairs = {}
+        self.encoder = PieceEncoder(self._encode_strings, names)
+        self.sizes = np.array([len(t) for t in self.bytes_of], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.pool = np.frombuffer(b"".join(self.bytes_of), np.uint8)
 
     def merged(self, data: bytes) -> list[int]:
         """Encoding by the merge list itself; used on the few bytes of one or two tokens."""
@@ -89,56 +83,53 @@ class ByteBpe:
         """The packed ids of each word, computing each shared prefix once.
 
         Sorted words are the trie in depth-first order.  ``last[d]`` is the last token
-        of the encoding of the path's first ``d`` bytes; a word goes on from the depth
-        it shares with the word before.
+        of the encoding of the path's first ``d`` bytes and ``begin[d]`` where it starts; a
+        word goes on from the depth it shares with the word before.
         """
-        encoded, path, last = {}, b"", [-1]
-        id_of, longest, pairs, follows = self.id_of, self.longest, self.pairs, self._follows
-        for data, word in sorted((w.encode(), w) for w in words):
+        encoded, path, last, begin = {}, b"", [-1], [0]
+        id_of, longest, pairs, follows, packed = self.id_of, self.longest, self.pairs, self._follows, self.packed
+        for data, word in sorted([(w.encode(), w) for w in words]):
             shared = next((i for i, (a, b) in enumerate(zip(path, data)) if a != b), min(len(path), len(data)))
-            del last[shared + 1 :]
+            del last[shared + 1 :], begin[shared + 1 :]
             for depth in range(shared + 1, len(data) + 1):
-                for start in range(max(0, depth - longest), depth):
-                    token = id_of.get(data[start:depth])
-                    if token is not None:
-                        pair = (last[start], token)
-                        if pairs[pair] if pair in pairs else follows(*pair):
-                            last.append(token)
-                            break
+                # Just one token can be the last; most often it goes on from the one before.
+                start = begin[-1]
+                token = id_of.get(data[start:depth])
+                if token is not None:
+                    pair = (last[start], token)
+                    if not (pairs[pair] if pair in pairs else follows(*pair)):
+                        token = None
+                if token is None:
+                    for start in range(depth - 1, max(-1, depth - longest - 1), -1):
+                        token = id_of.get(data[start:depth])
+                        if token is not None:
+                            pair = (last[start], token)
+                            if pairs[pair] if pair in pairs else follows(*pair):
+                                break
+                last.append(token)
+                begin.append(start)
             path, ids, depth = data, [], len(data)
             while depth:
-                ids.append(self.packed[last[depth]])
-                depth -= len(self.bytes_of[last[depth]])
-            encoded[word] = b"".join(reversed(ids))
+                ids.append(packed[last[depth]])
+                depth = begin[depth]
+            ids.reverse()
+            encoded[word] = b"".join(ids)
         return encoded
 
-    def _pieces(self, text: str) -> list[str]:
-        pieces = cut_at_spaces(text)
-        return self.word.findall(text) if pieces is None else pieces
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, packed as little-endian unsigned 32-bit integers."""
-        cut = []
-        for text in texts:
-            if self.special and self.special.search(text):
-                parts = enumerate(self.special.split(text))  # every other part is a special token
-                cut.append([p for i, part in parts for p in ([(part,)] if i % 2 else self._pieces(part))])
-            else:
-                cut.append(self._pieces(text))
-        new = set().union(*cut) - self.known.keys()
-        specials = {p for p in new if isinstance(p, tuple)}
-        words = {p: self.word.findall(p) for p in new - specials}
-        encoded = self.encode_words(set().union(*words.values()))
-        found = {p: b"".join([encoded[w] for w in ws]) for p, ws in words.items()}
-        found |= {p: self.packed[self.added[p[0]]] for p in specials}
-        if len(self.known) < _KNOWN_PIECES:
-            self.known |= found
-            return [b"".join([self.known[p] for p in pieces]) for pieces in cut]
-        known = self.known
-        return [b"".join([known[p] if p in known else found[p] for p in pieces]) for pieces in cut]
-
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    def _encode_strings(self, strings: list[str]) -> list[bytes]:
+        """The packed ids of each string: special tokens apart, then word by word."""
+        parts = [self.special.split(x) if self.special else [x] for x in strings]
+        words = [[self.word.findall(p) if i % 2 == 0 else (p,) for i, p in enumerate(ps)] for ps in parts]
+        encoded = self.encode_words({w for ws in words for i, found in enumerate(ws) if i % 2 == 0 for w in found})
+        tokens = {(t,): self.packed[i] for t, i in self.added.items()}
+        return [b"".join([tokens[f] if i % 2 else b"".join([encoded[w] for w in f]) for i, f in enumerate(ws)]) for ws in words]
+
+    def decode(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(UTF-8 bytes of all texts behind one another, number of bytes of each)."""
+        sizes = self.sizes[ids]
+        data = laid_out(self.pool, self.starts[ids], sizes)
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(lengths)])]
+        return data, np.diff(ends)
 
 
 @lru_cache(maxsize=4)
@@ -154,11 +145,49 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids"
     tokens added; a special token's own text is encoded as that token.  A null or
     empty text has no ids.  ``path`` must be readable by every executor; ``name``
     must not be a column of ``docs`` yet.  Rows are encoded where they are read, in
-    batches of a fixed number of rows; words are remembered between batches up to a fixed number.
+    slices of bounded size; words are remembered between them up to a fixed number.
     """
-    return with_columns(docs, text_col, {name: T.BinaryType()}, lambda texts: [vocabulary(path).encode([t or "" for t in texts])])
+
+    def values(texts):
+        return packed_array(*vocabulary(path).encoder.encode(texts))
+
+    return _with_array(docs, text_col, name, T.BinaryType(), values, SLICE_BYTES)
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
-    """``docs`` with ``name``: the text of packed ids, special tokens included; null ids give an empty text."""
-    return with_columns(docs, ids_col, {name: T.StringType()}, lambda lists: [[vocabulary(path).decode(i or b"") for i in lists]])
+    """``docs`` with ``name``: the text of packed ids, special tokens included; null ids give an empty text.
+
+    Ids that do not make valid UTF-8 give replacement characters, as the library does.
+    """
+
+    def values(lists):
+        lists = pc.fill_null(lists, b"")
+        n = pc.binary_length(lists).to_numpy(zero_copy_only=False).astype(np.int64) >> 2
+        ids = np.frombuffer(b"".join(lists.to_pylist()), "<u4")
+        data, sizes = vocabulary(path).decode(ids, n)
+        ends = np.cumsum(sizes)
+        first = data[(ends - sizes)[sizes > 0]]
+        raw = data.tobytes()
+        try:
+            raw.decode()
+            valid = not ((first >= 0x80) & (first < 0xC0)).any()
+        except UnicodeDecodeError:
+            valid = False
+        if not valid:
+            return pa.array([raw[e - s : e].decode("utf-8", "replace") for e, s in zip(ends, sizes)], pa.string())
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        return pa.Array.from_buffers(pa.string(), len(n), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
+
+    return _with_array(docs, ids_col, name, T.StringType(), values, SLICE_BYTES)
+
+
+def _with_array(df: DataFrame, source: str, name: str, kind: T.DataType, values, limit: int) -> DataFrame:
+    """``df`` with ``name`` after its columns: ``values`` maps the array of ``source`` in a slice of bounded bytes."""
+    place = df.columns.index(source)
+
+    def run(batches):
+        for batch in batches:
+            for part in byte_slices(batch, place, limit):
+                yield pa.RecordBatch.from_arrays([*part.columns, values(part.column(place))], [*part.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))

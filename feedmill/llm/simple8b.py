@@ -14,14 +14,14 @@ BLOCK = 1024
 COUNTS = (1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 _PAYLOAD = np.uint64(60)
-_POWERS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, first word of each block, escaped ids) of an array of unsigned 64-bit ids."""
     n = len(ids)
     blocks = -(-n // BLOCK)
-    escaped = ids >> _PAYLOAD != 0
+    width = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)  # bits, or one more beyond what a float holds
+    escaped = width > 60
     table = ids[escaped]
     grid = np.zeros((blocks, BLOCK + COUNTS[1]), np.uint64)
     flat = np.zeros(blocks * BLOCK, np.uint64)
@@ -30,17 +30,20 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.minimum(n - np.arange(blocks) * BLOCK, BLOCK)
 
     # The selector that packs most ids from each place on; an escape stands alone.
-    width = np.zeros(grid.shape, np.uint8)
-    width[:, :BLOCK] = np.searchsorted(_POWERS, flat, side="right").reshape(blocks, BLOCK)
-    stops = np.zeros(blocks * BLOCK, bool)
-    stops[:n] = escaped
-    stops = stops.reshape(blocks, BLOCK)
-    width[:, :BLOCK][stops] = 64
+    widths = np.zeros(grid.shape, np.uint8)
+    narrow = np.zeros(blocks * BLOCK, np.uint8)
+    narrow[:n] = width
+    widths[:, :BLOCK] = narrow.reshape(blocks, BLOCK)
+    stops = widths[:, :BLOCK] > 60
     selector = np.full((blocks, BLOCK), len(BITS) - 1, np.uint8)
     done = np.zeros((blocks, BLOCK), bool)
     wide = np.zeros((blocks, grid.shape[1] + 1), np.int16)
     for s in range(1, len(BITS) - 1):
-        np.cumsum(width > BITS[s], axis=1, out=wide[:, 1:])
+        too_wide = widths > BITS[s]
+        gaps = np.diff(np.flatnonzero(too_wide), prepend=-1, append=too_wide.size)
+        if gaps.max() <= COUNTS[s]:
+            continue
+        np.cumsum(too_wide, axis=1, out=wide[:, 1:])
         fits = (wide[:, COUNTS[s] : COUNTS[s] + BLOCK] == wide[:, :BLOCK]) & ~done
         selector[fits] = s
         done |= fits

@@ -8,6 +8,8 @@ writer commits it and a lost task is written again.  Chunks are read and decoded
 independently of each other.
 """
 
+import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -17,14 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from feedmill.llm import simple8b
-from feedmill.llm.bpe import cut_at_spaces
+from feedmill.llm.pieces import PieceEncoder, byte_slices
 from feedmill.llm.tables import text_hash, whole
 from feedmill.operators.storage import scratch_path
 
 END_ID = 2
-_CHUNK_IDS = 1 << 17  # a chunk is closed by the document that reaches this
-_ROWS = 1_000  # rows held as Python objects at a time
-_KNOWN_PIECES = 300_000  # pieces whose ids a worker remembers; others are encoded again
+_CHUNK_IDS = 1 << 18  # a chunk is closed by the document that reaches this
 
 SCHEMA = (
     "part int, chunk int, ids_before bigint, n_ids bigint, doc_ids array<bigint>, lengths array<bigint>,"
@@ -32,35 +32,18 @@ SCHEMA = (
 )
 
 
-class PieceEncoder:
-    """Encodes texts with the tokenizers library, each distinct piece between spaces once."""
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of each text.  A text that cannot be cut safely goes to the library whole."""
-        cut = [None if any(s in t for s in self.special) else cut_at_spaces(t) for t in texts]
-        cut = [[t] if pieces is None else pieces for t, pieces in zip(texts, cut)]
-        new = list(set().union(*cut) - self.known.keys())
-        found = dict(zip(new, self._ids(new)))
-        if len(self.known) < _KNOWN_PIECES:
-            self.known |= {p: ids for p, ids in found.items() if len(p) < 64}
-        known = self.known
-        return [b"".join([known[p] if p in known else found[p] for p in pieces]) for pieces in cut]
-
-
 @lru_cache(maxsize=4)
 def _encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+    """An encoder for a vocabulary file with the tokenizers library, loaded once per worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+
+    def encode_new(texts):
+        return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    return PieceEncoder(encode_new, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
 
 
 def write_token_files(
@@ -75,33 +58,41 @@ def write_token_files(
     order = [F.col("_id"), text_hash(F.col("_text"), 1)]
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), whole(text_col).alias("_text"))
     rows = rows.repartitionByRange("_id").sortWithinPartitions(*order)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         part, chunk, before = TaskContext.get().partitionId(), 0, 0
-        ids, lists, held = [], [], 0
+        held = []  # (document ids, lengths, ids) not written yet
 
-        def closed():
-            flat = np.frombuffer(b"".join(lists), "<u4").astype(np.uint64)
-            words, offsets, escapes = simple8b.encode(flat)
+        def closed(docs, lengths, ids):
+            words, offsets, escapes = simple8b.encode(ids.astype(np.uint64))
             columns = [
-                [part], [chunk], [before], [len(flat)], [ids], [[len(x) // 4 for x in lists]],
+                [part], [chunk], [before], [len(ids)], [docs], [lengths],
                 [offsets.tolist()], [words.astype("<u8").tobytes()], [[int(e) for e in escapes]],
             ]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ARROW.types)], schema=_ARROW)
 
+        def joined():
+            docs, lengths, ids = zip(*held)
+            return [d for some in docs for d in some], np.concatenate(lengths), np.concatenate(ids)
+
         for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                piece = batch.slice(at, _ROWS)
-                for doc, packed in zip(piece.column(0).to_pylist(), _encoder(vocabulary).encode(piece.column(1).to_pylist())):
-                    ids.append(doc)
-                    lists.append(packed + end)
-                    held += len(packed) // 4 + 1
-                    if held >= _CHUNK_IDS:
-                        yield closed()
-                        chunk, before, ids, lists, held = chunk + 1, before + held, [], [], 0
-        if ids:
-            yield closed()
+            for piece in byte_slices(batch, 1):
+                ids, lengths = _encoder(vocabulary).encode(piece.column(1))
+                held.append((piece.column(0).to_pylist(), lengths + 1, np.insert(ids, np.cumsum(lengths), end_id)))
+                docs, lengths, ids = joined()
+                ends = np.cumsum(lengths)
+                at = done = 0
+                while ends[-1] - done >= _CHUNK_IDS:
+                    upto = int(np.searchsorted(ends, done + _CHUNK_IDS)) + 1
+                    last = int(ends[upto - 1])
+                    yield closed(docs[at:upto], lengths[at:upto].tolist(), ids[done:last])
+                    chunk, before, at, done = chunk + 1, before + last - done, upto, last
+                    if at == len(ends):
+                        break
+                held = [(docs[at:], lengths[at:], ids[done:])] if at < len(ends) else []
+        if held:
+            docs, lengths, ids = joined()
+            yield closed(docs, lengths.tolist(), ids)
 
     rows.mapInArrow(run, SCHEMA).write.option("compression", "none").parquet(path)
 
