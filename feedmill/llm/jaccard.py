@@ -30,6 +30,8 @@ UNION_SHARE = 75
 SAMPLE_DOCS, COMMON_IN, MOST_COMMON = 5_000, 8, 100_000
 # Rounds in which one member of a signature's group is compared with the others.
 STAR_ROUNDS = 3
+# Sets in groups of a signature with more members are compared by finer ones.
+LARGE_GROUP = 32
 _SMALLEST_BAND = 3  # sets of fewer than 2^3 shingles share the first band
 
 
@@ -216,46 +218,32 @@ def _signed(rows: DataFrame, fine: frozenset[int], common_shingles: np.ndarray)
     return rows.select("_id", "_text").mapInArrow(run, "sig bigint, node bigint, n int")
 
 
-_POSTINGS = pa.schema([("sig", pa.int64()), ("rank", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("center", pa.int64()), ("center_n", pa.int32())])
-
-
 def _shared_signatures(signed: DataFrame) -> DataFrame:
-    """(sig, rank, node, n, center, center_n) of the signatures that several sets have.
+    """The rows of ``signed`` whose signature another row has too.
 
-    Rows arrive sorted by signature and are passed on as a stream: of a group only its
-    first member, the center, and the number of members so far are held.
+    Rows arrive sorted by signature and are passed on as a stream; only the last one is held back.
     """
 
     def run(batches):
-        held = None  # the last group: signature, first member, rows so far, and whether that member is still to be passed on
+        held, shared = None, False  # the last row, and whether its signature was seen before it
         for batch in batches:
             sig, node, n = [c.to_numpy() for c in batch.columns]
             if not len(sig):
                 continue
-            goes_on = held is not None and not held["waits"] and sig[0] == held["sig"]
-            if held is not None and held["waits"]:
-                sig, node, n = (np.concatenate([[held[k]], c]) for k, c in (("sig", sig), ("node", node), ("n", n)))
-            first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-            size = np.diff(np.concatenate([first, [len(sig)]]))
-            group = np.repeat(np.arange(len(first)), size)
-            rank = np.arange(len(sig)) - first[group]
-            center, center_n, total = node[first], n[first], size.copy()
-            if goes_on:
-                rank[: size[0]] += held["rows"]
-                center[0], center_n[0], total[0] = held["node"], held["n"], size[0] + held["rows"]
-            held = {"sig": sig[-1], "node": center[-1], "n": center_n[-1], "rows": int(total[-1]), "waits": total[-1] == 1}
-            keep = total[group] > 1
-            yield _batch(_POSTINGS, *[c[keep] for c in (sig, rank, node, n.astype(np.int32), center[group], center_n[group].astype(np.int32))])
-
-    sorted_rows = signed.repartition("sig").sortWithinPartitions("sig", "node")
-    return sorted_rows.mapInArrow(run, "sig bigint, rank bigint, node bigint, n int, center bigint, center_n int")
+            if held is not None:
+                sig, node, n = (np.concatenate([h, c]) for h, c in zip(held, (sig, node, n)))
+            same = sig[1:] == sig[:-1]
+            keep = np.concatenate([[shared], same]) | np.concatenate([same, [False]])
+            held, shared = (sig[-1:], node[-1:], n[-1:]), bool(keep[-1])
+            keep[-1] = False
+            yield _batch(_SIGNED, sig[keep], node[keep], n[keep])
+        if shared:
+            yield _batch(_SIGNED, *held)
 
+    return signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(run, "sig bigint, node bigint, n int")
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-
-def _sizes_allow(a: str, b: str):
-    return F.least(a, b) * 100 >= F.greatest(a, b) * UNION_SHARE
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -286,40 +274,100 @@ def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return materialised(joined.mapInArrow(run, "a bigint, b bigint"), "jaccard-links")
 
 
-def _pairs(rows: DataFrame, a: str, b: str) -> DataFrame:
-    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+def _refined(postings: DataFrame, rows: DataFrame) -> DataFrame:
+    """(sig, node, n, rare): postings in which large groups of a signature are replaced by finer ones.
+
+    The sets in large groups are compared by single shingles, ordered by the number of these sets
+    that hold them: the rarest of a set, one more than a similar set can lack, include one that any
+    similar set among them takes as well.  ``rare`` counts a set's shingles that at most LARGE_GROUP of them hold;
+    it stands where a group is larger and is null elsewhere.  Two sets that share a rare shingle and are
+    similar meet in a group of one; two that share none differ in all of theirs.
+    """
+    large = postings.groupBy("sig").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > LARGE_GROUP).select("sig")
+    large = materialised(large, "jaccard-large")
+    if bytes_of(large, F.lit(16)) <= LIMITS.broadcast_max_bytes // 8:
+        large = F.broadcast(large)
+    small = postings.join(large, "sig", "left_anti").withColumn("rare", F.lit(None).cast("int"))
+    nodes = materialised(postings.join(large, "sig", "left_semi").select(F.col("node").alias("_id")).distinct(), "jaccard-nodes")
+    if bytes_of(nodes, F.lit(32)) <= LIMITS.broadcast_max_bytes // 8:
+        nodes = F.broadcast(nodes)
+    texts = rows.select("_id", "_th", "_text").join(nodes, "_id", "left_semi")
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 500):
+                ids, hashes, strings = [c.to_pylist() for c in part.columns]
+                sets = [s for group in by_size(strings) for s in shingle_sets(group)]
+                many = [len(s) for s in sets]
+                columns = (np.concatenate(sets).astype(np.int64), np.repeat(ids, many), np.repeat(hashes, many), np.repeat(many, many))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "node", "_th", "n"])
+
+    shingles = materialised(texts.mapInArrow(run, "sig bigint, node bigint, _th bigint, n bigint"), "jaccard-shingles")
+    holders = shingles.groupBy("sig").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1")
+    counted = shingles.join(holders, "sig", "left").withColumn("_m", F.coalesce("_m", F.lit(1)))
+    order = F.sort_array(F.collect_list(F.struct("_m", F.xxhash64("sig").alias("_h"), "sig"))).alias("_all")
+    sets = counted.groupBy("node", "_th", "n").agg(order, F.count_if(F.col("_m") <= LARGE_GROUP).cast("int").alias("rare"))
+    need = F.expr("cast((n + n * 4 div 3) div 7 + 1 as int)")
+    rarest = F.explode(F.filter(F.slice("_all", F.lit(1), need), lambda t: t["_m"] > 1)).alias("_t")
+    rare = F.when(F.col("_t._m") > LARGE_GROUP, F.col("rare")).alias("rare")
+    fine = sets.select(F.col("n").cast("int").alias("n"), "node", "rare", rarest).select(F.col("_t.sig").alias("sig"), "node", "n", rare)
+    return small.select("sig", "node", "n", "rare").unionByName(fine)
+
+
+def _possible(a: str, b: str):
+    """Whether two sets of sizes n can be similar, as far as sizes and rare shingles tell.
+
+    In a large group they have no rare shingle in common, or meet elsewhere as well.
+    """
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    most = F.least(n - F.col(f"{a}rare"), m - F.col(f"{b}rare"))  # null where a group is small
+    enough = most * (100 + UNION_SHARE) >= UNION_SHARE * (n + m)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * UNION_SHARE) & F.coalesce(enough, F.lit(True))
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    rows = rows.where(_possible("", "c_") & (F.col("node") != F.col("c_node")))
+    return rows.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
 
 
 def _linked(postings: DataFrame, rows: DataFrame) -> DataFrame:
     """(node, component) of all nodes that have a link.
 
-    In each group of a signature the first member is compared with all others.  What is
-    then connected needs no further look; where a group still has several components, the next
-    member is compared with those of other components, and after some rounds all that is left.
+    In each group of a signature one member, the center, is compared with all others.  What is
+    then connected needs no further look, nor do members that cannot be similar to any
+    other left.  Where a group still has several components, the next center takes its
+    turn, and after some rounds all pairs left of different components.
     """
-    stars = postings.where((F.col("node") != F.col("center")) & _sizes_allow("n", "center_n"))
-    pairs = materialised(_pairs(stars, "node", "center"), "jaccard-pairs")
-    checked, links = pairs, _verified(pairs, rows)
-    found = materialised(components(links), "jaccard-components")
-    for turn in range(1, STAR_ROUNDS + 1):
-        placed = postings.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        groups = placed.groupBy("sig").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.max("rank").alias("_top"))
-        groups = groups.where((F.col("_lo") < F.col("_hi")) & (F.col("_top") > turn)).select("sig")
-        members = placed.where(F.col("rank") >= turn).join(groups, "sig", "left_semi").select("sig", "rank", "node", "n", "component")
-        members = materialised(members, "jaccard-open")
+    members = materialised(_refined(postings, rows).withColumn("component", F.col("node")), "jaccard-open")
+    columns = ["node", "n", "rare", "component"]
+    checked, links, found = None, None, None
+    for turn in range(STAR_ROUNDS + 1):
+        if turn < STAR_ROUNDS:
+            # The nearest to all others has the smallest share of rare shingles.
+            nearest = F.struct((F.coalesce("rare", F.lit(0)) / F.col("n")).alias("share"), *columns)
+            centers = members.groupBy("sig").agg(F.min(nearest).alias("_c"))
+            centers = centers.select("sig", *[F.col(f"_c.{c}").alias(f"c_{c}") for c in columns])
+            joined = members.join(centers, "sig")
+        else:
+            joined = members.join(members.select("sig", *[F.col(c).alias(f"c_{c}") for c in columns]), "sig").where("node < c_node")
+        pairs = _pairs(joined.where("component <> c_component"))
+        pairs = materialised(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "jaccard-pairs")
+        if not pairs.isEmpty():
+            more = _verified(pairs, rows)
+            checked = pairs if checked is None else checked.unionByName(pairs)
+            links = more if links is None else links.unionByName(more)
+            found = materialised(components(links), "jaccard-components")
+        if turn == STAR_ROUNDS or found is None:
+            break
+        left = joined.where("node <> c_node").select("sig", "node", "n", "rare").join(found, "node", "left")
+        left = left.withColumn("component", F.coalesce("component", "node"))
+        groups = left.groupBy("sig").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+        hopeful = F.coalesce(F.col("rare") * 100 <= F.col("n") * (100 - UNION_SHARE), F.lit(True))
+        left = left.join(groups.where("_lo < _hi"), "sig").where(hopeful).select("sig", *columns)
+        members = materialised(left, "jaccard-open")
         if members.isEmpty():
             break
-        one = members if turn == STAR_ROUNDS else members.where(F.col("rank") == turn)
-        one = one.select("sig", *[F.col(c).alias(f"{c}_1") for c in ("rank", "node", "n", "component")])
-        both = members.join(one, "sig").where("rank > rank_1 AND component <> component_1 AND node <> node_1")
-        fresh = _pairs(both.where(_sizes_allow("n", "n_1")), "node", "node_1").join(checked, ["a", "b"], "left_anti")
-        fresh = materialised(fresh, "jaccard-pairs")
-        if fresh.isEmpty():
-            continue
-        more = _verified(fresh, rows)
-        checked, links = checked.unionByName(fresh), links.unionByName(more)
-        found = materialised(components(links), "jaccard-components")
-    return found
+    return found if found is not None else postings.select("node", F.col("node").alias("component")).limit(0)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
