@@ -13,6 +13,7 @@ from feedmill import schema as S
 from feedmill.functions import lists as L
 from feedmill.functions import vectors as V
 from feedmill.operators.skew import lookup_join
+from feedmill.operators.storage import materialised
 
 # Key of the vector that stands for unknown articles and users without history.
 UNKNOWN_KEY = -1
@@ -75,18 +76,22 @@ def attention_pool(
 
     tanh keeps every score within the sum of |q|, so that constant takes the
     place of the group maximum in the softmax and the pooled vector is a ratio of
-    plain sums: one combined shuffle, whatever the size of a group.  Rows where
+    plain sums: one combined shuffle, whatever the size of a group.  Where that sum
+    is too large for an exponent, the maximum of each group is found first and joined.  Rows where
     ``mask`` is false get no weight; a group without any other row gives nulls.
     """
     bound = float(np.abs(q).sum())
-    if bound > _SAFE_EXPONENT:
-        raise ValueError("the weights in q are too large for a softmax without a group maximum")
     score = V.attention_score_udf(np.asarray(w), np.asarray(b), np.asarray(q))(F.col(vector))
-    weight = F.exp(score - F.lit(bound))
-    if mask is not None:
-        weight = F.when(mask, weight).otherwise(F.lit(0.0))
     dim = np.asarray(w).shape[0]
-    weighted = df.select(group, vector, weight.alias("_w"))
+    counts = F.lit(True) if mask is None else F.coalesce(mask, F.lit(False))
+    if bound <= _SAFE_EXPONENT:
+        weight = F.when(counts, F.exp(score - F.lit(bound))).otherwise(F.lit(0.0))
+        weighted = df.select(group, vector, weight.alias("_w"))
+    else:
+        scored = materialised(df.select(group, vector, F.when(counts, score).alias("_s")), "scores")
+        highest = scored.groupBy(group).agg(F.max("_s").alias("_top"))
+        weight = F.coalesce(F.exp(F.col("_s") - F.col("_top")), F.lit(0.0))
+        weighted = lookup_join(scored, highest, group, "left").select(group, vector, weight.alias("_w"))
     sums = weighted.groupBy(group).agg(
         F.sum("_w").alias("_total"),
         *[F.sum(F.get(F.col(vector), F.lit(d)).cast("double") * F.col("_w")).alias(f"_{d}") for d in range(dim)],
@@ -108,7 +113,7 @@ def sequences(
     S.check_columns(df, [key, ids])
     rows = L.explode_rows(df, [key], ids, "_i", "_id")
     vectors = table.select(F.col(table_key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
-    found = lookup_join(rows, vectors, "_id", "left", row_bytes=16 + 8 * dim)
+    found = lookup_join(rows, vectors, "_id", "left")
     unknown = vectors.where(F.col("_id") == UNKNOWN_KEY).select("_v")
     filled = found.withColumn("_v", F.coalesce(F.col("_v"), unknown.scalar()))
     collected = filled.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", "_v"))).alias("_l"))
@@ -153,13 +158,20 @@ def article_vectors(
 ) -> DataFrame:
     """(key, vec) per article, plus UNKNOWN_KEY: the vector of a text that is all padding.
 
-    ``encoded`` has token id lists padded to ``n``; ``embeddings`` is (vec_id, embedding).
+    ``encoded`` has token id lists padded to ``n``; ``embeddings`` is (vec_id, embedding).  A token
+    without an embedding has the zeros of row 0 of the lookup matrix.
     """
     blank = encoded.sparkSession.range(1).select(
         F.lit(UNKNOWN_KEY).cast("bigint").alias(key), F.array_repeat(F.lit(0).cast("bigint"), n).alias(ids)
     )
     lists = encoded.select(F.col(key).cast("bigint").alias(key), ids).unionByName(blank)
-    seqs = sequences(lists, key, ids, embeddings, "vec_id", "embedding", encoder.dim_in)
+    known = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    zeros = encoded.sparkSession.range(1).select(
+        F.lit(UNKNOWN_KEY).cast(known.schema["vec_id"].dataType).alias("vec_id"),
+        F.array_repeat(F.lit(0.0), encoder.dim_in).alias("embedding"),
+    )
+    table = known.where(F.col("vec_id") != UNKNOWN_KEY).unionByName(zeros)
+    seqs = sequences(lists, key, ids, table, "vec_id", "embedding", encoder.dim_in)
     return encode_sequences(seqs, key, encoder, n)
 
 
@@ -189,14 +201,13 @@ def with_pair_vectors(
     ``hot_from`` is a cheaper table with the same two id columns, for finding hot
     ids; by default the candidates themselves are read for that.
     """
-    width = 16 + 8 * dim
     u = users.select(F.col(S.USER_ID), F.col("vec").alias("user_vec"))
     a = articles.select(F.col(S.ARTICLE_ID), F.col("vec").alias("article_vec"))
     no_user = u.where(F.col(S.USER_ID) == UNKNOWN_KEY).select("user_vec")
     no_article = a.where(F.col(S.ARTICLE_ID) == UNKNOWN_KEY).select("article_vec")
     ids = candidates if hot_from is None else hot_from
-    joined = lookup_join(candidates, u, S.USER_ID, "left", row_bytes=width, hot_from=ids)
-    joined = lookup_join(joined, a, S.ARTICLE_ID, "left", row_bytes=width, hot_from=ids)
+    joined = lookup_join(candidates, u, S.USER_ID, "left", hot_from=ids)
+    joined = lookup_join(joined, a, S.ARTICLE_ID, "left", hot_from=ids)
     return joined.withColumns(
         {
             "user_vec": F.coalesce(F.col("user_vec"), no_user.scalar()),

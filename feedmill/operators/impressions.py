@@ -13,6 +13,12 @@ from feedmill.operators.rows import DEFAULT_SEED
 from feedmill.operators.skew import lookup_join
 
 
+def _whole(df: DataFrame) -> None:
+    """Random choices are made over whole impressions; a page is only a part of one."""
+    if "page" in df.columns:
+        raise ValueError("paged impressions hold parts of lists: use the row operators in feedmill.operators.candidates")
+
+
 def add_labels(df: DataFrame, inview=S.INVIEW, clicked=S.CLICKED, label=S.LABELS) -> DataFrame:
     """0/1 list beside the in-view list: was this candidate clicked."""
     S.check_columns(df, [inview, clicked])
@@ -48,6 +54,7 @@ def add_candidate_count(df: DataFrame, inview=S.INVIEW, name=S.N_SAMPLES) -> Dat
 
 def shuffle_list(df: DataFrame, column: str, key: list[str], seed=DEFAULT_SEED) -> DataFrame:
     S.check_columns(df, [column, *key])
+    _whole(df)
     return df.withColumn(column, L.shuffled(F.col(column), seed, *[F.col(k) for k in key]))
 
 
@@ -64,6 +71,7 @@ def sample_ids(
     Without replacement a shorter list is an error; with it an empty list gives nulls.
     """
     S.check_columns(df, [inview, *key])
+    _whole(df)
     draw = L.sampled_with_replacement if with_replacement else L.sampled_without_replacement
     return df.withColumn(inview, draw(F.col(inview), n, seed, *[F.col(k) for k in key]))
 
@@ -87,6 +95,7 @@ def sample_negatives(
     worked out once per record, never copied per click.
     """
     S.check_columns(df, [key, inview, clicked])
+    _whole(df)
     if npratio < 0:
         raise ValueError("npratio must not be negative")
     row_key = F.col(key)
@@ -139,7 +148,8 @@ def attach_scores(
     """Add the list of scores of each record, in the order of its candidates.
 
     ``scored`` has one row per (key, position).  Fails when a record's scores are
-    too many or too few.
+    too many or too few.  To score the candidates of the records themselves, see
+    :func:`score_lists`, which needs no join.
     """
     S.check_columns(df, [inview, *key])
     S.check_columns(scored, [*key, pos, score])
@@ -152,6 +162,21 @@ def attach_scores(
     return df.join(collected, key, "left").withColumn(scores, checked).drop("_s")
 
 
+def score_lists(df: DataFrame, key: list[str], score, keep: list[str] = (), inview=S.INVIEW, scores=S.SCORES) -> DataFrame:
+    """``key``, ``keep``, the in-view list and its list of scores, from one pass over the records.
+
+    ``score`` maps the exploded candidates (key, keep, ``pos`` from 1, ``article_id``) to the same
+    rows with a column ``score``; they are collected once.  Records without candidates give no row.
+    """
+    S.check_columns(df, [inview, *key, *keep])
+    rows = L.explode_rows(df, [*key, *keep], inview, "_i", S.ARTICLE_ID).withColumn("pos", (F.col("_i") + 1).cast("bigint"))
+    element = F.struct("pos", F.col(S.ARTICLE_ID).alias("a"), F.col("score").alias("s"))
+    lists = score(rows.drop("_i")).groupBy(*key, *keep).agg(F.sort_array(F.collect_list(element)).alias("_l"))
+    return lists.select(
+        *key, *keep, F.transform("_l", lambda t: t["a"]).alias(inview), F.transform("_l", lambda t: t["s"]).alias(scores)
+    )
+
+
 def join_history(
     behaviors: DataFrame, history: DataFrame, user=S.USER_ID, hot_from: DataFrame | None = None
 ) -> DataFrame:
@@ -161,7 +186,7 @@ def join_history(
     """
     S.check_columns(behaviors, [user])
     S.check_columns(history, [user])
-    return lookup_join(behaviors, history, user, "left", row_bytes=512, hot_from=hot_from)
+    return lookup_join(behaviors, history, user, "left", hot_from=hot_from)
 
 
 def map_ids(

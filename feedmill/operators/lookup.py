@@ -60,6 +60,6 @@ def embed(df: DataFrame, column: str, matrix: DataFrame, key: str, vector: str,
     S.check_columns(df, [column])
     known = matrix.where(F.col("idx") > 0).select(F.col(key).alias(column), "idx", vector)
     row0 = matrix.where(F.col("idx") == 0).select(vector)
-    return lookup_join(df, known, column, "left", row_bytes=16 + 8 * dim).withColumns(
+    return lookup_join(df, known, column, "left").withColumns(
         {"idx": F.coalesce("idx", F.lit(0).cast("bigint")), vector: F.coalesce(F.col(vector), row0.scalar())}
     )

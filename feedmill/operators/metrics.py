@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from feedmill import schema as S
 from feedmill.functions import lists as L
 from feedmill.operators.ordering import number_within, running_sum
-from feedmill.operators.rows import assign_batches
 from feedmill.operators.skew import fits_a_task, largest_group, lookup_join
+from feedmill.operators.storage import materialised
 
 
 def rank_within(df: DataFrame, group: str, pos: str, score: str, name: str = "rank", largest=None) -> DataFrame:
@@ -114,9 +114,16 @@ def loss_listwise(
     df: DataFrame, order: list, batch_size: int, scores: str = S.SCORES, labels: str = S.LABELS
 ) -> DataFrame:
     """Cross-entropy of the click against its training list: batch means, then their mean."""
+    # All batches but the last are full, so only the last lists in order need to be told apart.
     loss = L.list_cross_entropy(F.col(scores), L.label_position(F.col(labels)))
-    batches = assign_batches(df.select(*order, loss.alias("_loss")), order, batch_size)
-    return batches.groupBy("batch_id").agg(F.avg("_loss").alias("_l")).agg(F.avg("_l").alias("loss"))
+    keys = [c.alias(f"_o{i}") for i, c in enumerate(order)]
+    losses = materialised(df.select(*keys, loss.alias("_loss")), "losses")
+    total = losses.agg(F.count("_loss").alias("n"), F.sum("_loss").alias("sum")).first()
+    full, rest = divmod(total["n"], batch_size)
+    newest = [F.desc(f"_o{i}") for i in range(len(order))]
+    last = losses.orderBy(*newest).limit(rest).agg(F.coalesce(F.sum("_loss"), F.lit(0.0)).alias("last"))
+    means = (F.lit(total["sum"]) - F.col("last")) / batch_size + F.col("last") / max(rest, 1)
+    return last.select(F.when(F.lit(total["n"] > 0), means / max(full + (rest > 0), 1)).alias("loss"))
 
 
 def loss_batch(df: DataFrame, batch: str, label: str = "label", score: str = "score") -> DataFrame:

@@ -5,12 +5,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from feedmill import schema as S
 from feedmill.functions.hashing import seeded_int, seeded_md5
 from feedmill.operators.ordering import dense_index
-from feedmill.operators.skew import lookup_join
+from feedmill.operators.skew import fits_a_task, lookup_join
 from feedmill.operators.storage import materialised
 
 DEFAULT_SEED = 123
 _HASH_SPACE = 1 << 32
-_BUCKETS = 1 << 16
+_DIGITS = 4  # hex digits of a histogram: 65,536 buckets
 
 
 def head(df: DataFrame, n: int, order: list) -> DataFrame:
@@ -26,31 +26,31 @@ def sample_by_hash(df: DataFrame, fraction: float, key: list[str], seed=DEFAULT_
 def sample_exact(df: DataFrame, fraction: float, key: list[str], seed=DEFAULT_SEED) -> DataFrame:
     """Exactly floor(rows * fraction) rows: those with the smallest md5 of their unique key.
 
-    A histogram over 65,536 hash buckets finds the bucket in which the sample
-    ends, and ordering that one bucket, about 1 row in 65,536, finds its last
-    row.  The sample itself is then a plain filter: no shuffle of the table.
+    The keys are written once.  A histogram over the first hex digits of the hash finds where the
+    sample ends; the bucket it ends in is refined by more digits until it fits a task, and
+    ordering that finds the last row.  The sample itself is then a plain filter: no shuffle of the table.
     """
     columns = [F.col(k) for k in key]
-    bucket = F.shiftright(seeded_int(seed, *columns), 16)
-    histogram = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    total = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sums = histogram.select(
-        "_bucket",
-        (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(upto).alias("_upto"),
-        F.floor(F.sum("_n").over(total) * F.lit(fraction)).alias("_want"),
-    )
-    end = sums.where((F.col("_before") < F.col("_want")) & (F.col("_upto") >= F.col("_want"))).first()
-    if end is None:  # nothing wanted
+    keys = materialised(df.select(seeded_md5(seed, *columns).alias("_h"), *columns), "sample-keys")
+    want = int(keys.count() * fraction)
+    if want == 0:
         return df.where(F.lit(False))
-    place = F.struct(seeded_md5(seed, *columns).alias("h"), *columns)
-    numbered = df.where(bucket == end["_bucket"]).select(
-        F.row_number().over(Window.orderBy(place)).alias("_rank"), place.alias("_place")
-    )
-    last = numbered.where(F.col("_rank") == end["_want"] - end["_before"]).first()["_place"]
-    end_place = F.struct(*[F.lit(v) for v in last]).cast(numbered.schema["_place"].dataType)
-    return df.where(place <= end_place)
+    prefix, digits = "", 0
+    while True:
+        digits = min(digits + _DIGITS, 32)
+        inside = keys.where(F.col("_h").startswith(prefix))
+        counts = inside.groupBy(F.substring("_h", 1, digits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # at most 16 ** _DIGITS rows
+        end = counts.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") >= want).orderBy("b").first()
+        want, prefix = want - (end["upto"] - end["n"]), end["b"]
+        if fits_a_task(end["n"]) or digits == 32:
+            break
+    place = F.struct(F.col("_h").alias("h"), *columns)
+    last = keys.where(F.col("_h").startswith(prefix)).select(place.alias("p")).orderBy("p").limit(want)
+    end_place = last.agg(F.max("p").alias("p"))
+    row, kind = end_place.first()["p"], end_place.schema["p"].dataType
+    end_place = F.struct(*[F.lit(v) for v in row]).cast(kind)
+    return df.where(F.struct(seeded_md5(seed, *columns).alias("h"), *columns) <= end_place)
 
 
 def shuffle_rows(df: DataFrame, key: list[str], seed=DEFAULT_SEED, position: str = "shuffled_pos") -> DataFrame:

@@ -1,6 +1,6 @@
 """Joins and checks that hold when one key carries a large share of the rows."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedmill.operators.limits import LIMITS
 
@@ -11,12 +11,27 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return row["n"] or 0
 
 
-def small_enough(df: DataFrame, row_bytes: int = 64) -> bool:
-    """Checked size bound for a broadcast of ``df``, given the width of a row.
+def value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes that a value takes in memory, about; texts and lists by their real lengths."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value) + 16
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+        size = F.size(value) * 8 + 16
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(value.alias("v")))) + 16
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("bigint"), F.lit(8).cast("bigint"))
 
-    A distributed count: it reads no columns and moves one number per task.
+
+def small_enough(df: DataFrame) -> bool:
+    """Checked size bound for a broadcast of ``df``: its rows and the sum of their real widths.
+
+    One distributed aggregation that moves two numbers per task.
     """
-    return df.count() <= min(LIMITS.broadcast_max_rows, LIMITS.broadcast_max_bytes // row_bytes)
+    width = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(16).cast("bigint"))
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    return found["n"] <= LIMITS.broadcast_max_rows and (found["bytes"] or 0) <= LIMITS.broadcast_max_bytes
 
 
 def fits_a_task(rows: int) -> bool:
@@ -57,7 +72,6 @@ def lookup_join(
     right: DataFrame,
     on: str,
     how: str = "left",
-    row_bytes: int = 64,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to a table with at most one row per key.
@@ -65,7 +79,8 @@ def lookup_join(
     A right side within the checked broadcast bound is broadcast, so ``left`` is
     not shuffled at all.  A larger one is shuffled; keys that are hot in ``left``
     are split off first and joined by broadcasting just their rows of ``right``
-    (no more than ``hot_keys`` can give), so no task receives a hot key whole.
+    (no more than ``hot_keys`` can give), so no task receives a hot key whole.  Rows
+    without a key match nothing: they are never shuffled.
 
     ``right`` is counted first, so write an expensive one out with
     ``storage.materialised``.  ``hot_from`` names a table with the keys in about
@@ -73,12 +88,14 @@ def lookup_join(
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
-    if small_enough(right, row_bytes):
+    if small_enough(right):
         return left.join(F.broadcast(right), on, how)
     keys = hot_keys(left if hot_from is None else hot_from, on)
-    if not keys:
-        return left.join(right, on, how)
-    is_hot = F.coalesce(F.col(on).isin(keys), F.lit(False))
-    spread = left.where(~is_hot).join(right, on, how)
-    split = left.where(is_hot).join(F.broadcast(right.where(F.col(on).isin(keys))), on, how)
-    return spread.unionByName(split)
+    is_hot = F.col(on).isin(keys) if keys else F.lit(False)
+    joined = left.where(F.col(on).isNotNull() & ~is_hot).join(right, on, how)
+    if keys:
+        joined = joined.unionByName(left.where(is_hot).join(F.broadcast(right.where(F.col(on).isin(keys))), on, how))
+    if how == "inner":
+        return joined
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in right.schema if f.name != on}
+    return joined.unionByName(left.where(F.col(on).isNull()).withColumns(missing).select(*joined.columns))

@@ -15,13 +15,14 @@ _SPLIT_WHERE = {
 }
 
 
-def _hash(*parts):
-    """A bigint in [0, 2^32) from the md5 of the parts joined by '|'."""
-    return f"('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8))::BIGINT"
+def _md5(*parts):
+    marked = ", ".join(f"coalesce(({p})::VARCHAR, 'null')" for p in parts)
+    return f"md5(concat_ws('|', {marked}))"
 
 
-def _md5(*parts):
-    return f"md5(concat_ws('|', {', '.join(parts)}))"
+def _hash(*parts):
+    """A bigint in [0, 2^32) from the md5 of the parts joined by '|'."""
+    return f"('0x' || substr({_md5(*parts)}, 1, 8))::BIGINT"
 
 
 _SEED = f"'{SEED}'"
@@ -241,15 +242,17 @@ def _oracle(name, parts, body, extra=None):
 # --- scans, sources, sinks -------------------------------------------------
 
 _TIME = "strftime(impression_time, '%Y-%m-%d %H:%M:%S') AS impression_time"
-_oracle("scan_history", "hist", "SELECT user_id, hist_pos, article_id FROM hist")
-_oracle("scan_behaviors", "cand", f"SELECT impression_id, user_id, {_TIME}, pos, article_id FROM cand")
+for _name in ("scan_history", "history_positions"):
+    _oracle(_name, "hist", "SELECT user_id, hist_pos, article_id FROM hist")
+for _name in ("scan_behaviors", "paged_behaviors"):
+    _oracle(_name, "cand", f"SELECT impression_id, user_id, {_TIME}, pos, article_id FROM cand")
 _oracle("scan_articles", "", """
     SELECT p_partkey AS article_id, p_name AS title, p_type AS subtitle, p_brand AS category FROM part""")
 _oracle("split_counts", "items", f"""
-    SELECT CASE WHEN {_SPLIT_WHERE['history']} THEN 'history' WHEN {_SPLIT_WHERE['train']} THEN 'train'
+    SELECT CASE WHEN {_SPLIT_WHERE['train']} THEN 'train'
                 WHEN {_SPLIT_WHERE['validation']} THEN 'validation' ELSE 'test' END AS split,
            count(DISTINCT impression_id) AS impressions, count(*) AS candidates, sum(clicked)::BIGINT AS clicks
-    FROM items GROUP BY 1""")
+    FROM items WHERE NOT ({_SPLIT_WHERE['history']}) GROUP BY 1""")
 
 
 def _monthly(split, first_year):
@@ -274,8 +277,8 @@ for _name in ("prediction_roundtrip", "prediction_gzip_roundtrip", "rank_scores"
 _oracle("project_train_columns", "train padded_text", """
     SELECT t.impression_id, t.user_id, h.history, t.pos, t.article_id, t.clicked AS label
     FROM train t LEFT JOIN padded_text h ON h.user_id = t.user_id""")
-_oracle("filter_min_candidates", "train", f"""
-    SELECT impression_id, count(*) AS n_candidates FROM train GROUP BY 1 HAVING count(*) > {NPRATIO} + 1""")
+_oracle("filter_min_candidates", "items", f"""
+    SELECT impression_id, count(*) AS n_candidates FROM items GROUP BY 1 HAVING count(*) > {NPRATIO} + 1""")
 _oracle("known_user_flag", "times", f"""
     SELECT impression_id, user_id,
            user_id IN (SELECT user_id FROM times WHERE {_SPLIT_WHERE['train']}) AS is_known_user
@@ -293,14 +296,14 @@ _oracle("sample_fraction_hash", "times", f"""
 _oracle("shuffle_rows", "times", f"""
     SELECT impression_id, user_id,
            row_number() OVER (ORDER BY {_md5(_SEED, 'impression_id')}, impression_id) - 1 AS shuffled_pos
-    FROM ({_TRAIN_IDS})""")
+    FROM times""")
 
 # --- joins -----------------------------------------------------------------
 
-_oracle("behaviors_with_history", "times recent", f"""
+_oracle("behaviors_with_history", "times hist", f"""
     SELECT t.impression_id, t.user_id, h.history FROM ({_TRAIN_IDS}) t LEFT JOIN (
-        SELECT user_id, string_agg(article_id::VARCHAR, ',' ORDER BY slot) AS history
-        FROM recent GROUP BY user_id) h ON h.user_id = t.user_id""")
+        SELECT user_id, string_agg(article_id::VARCHAR, ',' ORDER BY hist_pos) AS history
+        FROM hist GROUP BY user_id) h ON h.user_id = t.user_id""")
 
 _oracle("users_full_join", "times", f"""
     SELECT coalesce(t.user_id, v.user_id) AS user_id, coalesce(n_train, 0) AS n_train,
@@ -311,23 +314,23 @@ _oracle("users_full_join", "times", f"""
 
 # --- list operators --------------------------------------------------------
 
-_oracle("binary_labels", "train", "SELECT impression_id, pos, article_id, clicked AS label FROM train")
-_oracle("remove_positives", "train", "SELECT impression_id, article_id FROM train WHERE clicked = 0")
+_oracle("binary_labels", "cand", "SELECT impression_id, pos, article_id, clicked AS label FROM cand")
+_oracle("remove_positives", "items", "SELECT impression_id, article_id FROM items WHERE clicked = 0")
 _oracle("truncate_history", "recent", """
     SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY slot) AS hist_pos, article_id FROM recent""")
 _oracle("truncate_pad_history", "padded_text", "SELECT user_id, history FROM padded_text")
-_oracle("sample_without_replacement", "train", f"""
+_oracle("sample_without_replacement", "cand", f"""
     SELECT impression_id, draw, article_id FROM (
         SELECT impression_id, article_id, count(*) OVER (PARTITION BY impression_id) AS n,
                row_number() OVER (PARTITION BY impression_id
-                   ORDER BY {_md5(_SEED, 'impression_id', 'pos')}, pos) AS draw FROM train)
+                   ORDER BY {_md5(_SEED, 'impression_id', 'pos')}, pos) AS draw FROM cand)
     WHERE n >= 2 AND draw <= 2""")
-_oracle("sample_with_replacement", "train", f"""
+_oracle("sample_with_replacement", "cand", f"""
     SELECT z.impression_id, z.draw, t.article_id FROM (
         SELECT impression_id, draw, {_hash(_SEED, 'impression_id', 'draw')} % n + 1 AS place FROM (
-            SELECT impression_id, count(*) AS n FROM train GROUP BY 1)
+            SELECT impression_id, count(*) AS n FROM cand GROUP BY 1)
         CROSS JOIN (SELECT unnest(range(1, 5)) AS draw)) z
-    JOIN train t ON t.impression_id = z.impression_id AND t.pos = z.place""")
+    JOIN cand t ON t.impression_id = z.impression_id AND t.pos = z.place""")
 _LIST_COLUMNS = "impression_id, click_pos, slot, coalesce(article_id, -1) AS article_id, label"
 _oracle("negative_sampling", "lists", f"SELECT {_LIST_COLUMNS} FROM lists")
 _oracle("negative_sampling_shuffled", "mixed", f"SELECT {_LIST_COLUMNS} FROM mixed")
@@ -341,24 +344,26 @@ _oracle("negative_sampling_distinct", "clicks mixed_pool", f"""
     UNION ALL
     SELECT impression_id, click_pos, {NPRATIO} + 1, article_id, 1 FROM clicks
     WHERE impression_id IN (SELECT impression_id FROM mixed_pool)""")
-_oracle("shuffle_list", "train", f"""
+_oracle("shuffle_list", "cand", f"""
     SELECT impression_id, article_id,
            row_number() OVER (PARTITION BY impression_id
-               ORDER BY {_md5(_SEED, 'impression_id', 'pos')}, pos) AS shuffled_pos FROM train""")
+               ORDER BY {_md5(_SEED, 'impression_id', 'pos')}, pos) AS shuffled_pos FROM cand""")
 
 
 def _map_ids(element, keep="TRUE"):
     return f"""
         SELECT c.c_custkey AS user_id,
-               string_agg({element}, ',' ORDER BY r.slot) FILTER (WHERE {keep}) AS labels
-        FROM customer c LEFT JOIN recent r ON r.user_id = c.c_custkey
+               string_agg({element}, ',' ORDER BY r.hist_pos) FILTER (WHERE {keep}) AS labels
+        FROM customer c LEFT JOIN hist r ON r.user_id = c.c_custkey
         LEFT JOIN embeddings e ON e.vec_id = r.article_id GROUP BY 1"""
 
 
-_oracle("map_ids_fill", "recent", _map_ids("coalesce(e.label, -1)::VARCHAR"))
-_oracle("map_ids_drop", "recent", _map_ids("e.label::VARCHAR", "e.label IS NOT NULL"))
-_oracle("map_ids_keep", "recent", _map_ids("coalesce(e.label::VARCHAR, 'null')"))
-_oracle("candidate_counts", "validation", "SELECT impression_id, count(*) AS n_samples FROM validation GROUP BY 1")
+_oracle("map_ids_fill", "hist", _map_ids("coalesce(e.label, -1)::VARCHAR"))
+_oracle("map_ids_drop", "hist", _map_ids("e.label::VARCHAR", "e.label IS NOT NULL"))
+_oracle("map_ids_keep", "hist", _map_ids("coalesce(e.label::VARCHAR, 'null')"))
+_oracle("candidate_counts", "times items", """
+    SELECT t.impression_id, count(i.article_id) AS n_samples
+    FROM times t LEFT JOIN items i ON i.impression_id = t.impression_id GROUP BY 1""")
 _oracle("candidate_rows", "validation padded_text", """
     SELECT t.impression_id, t.user_id, h.history, t.pos, t.article_id, t.clicked AS label
     FROM validation t LEFT JOIN padded_text h ON h.user_id = t.user_id""")
@@ -417,11 +422,11 @@ def _matrix(row0):
 
 _oracle("lookup_matrix_zeros", "emb", _matrix("0::DOUBLE"))
 _oracle("lookup_matrix_mean", "emb", _matrix("avg(x)::FLOAT::DOUBLE"))
-_oracle("embedding_lookup", "validation", f"""
+_oracle("embedding_lookup", "cand", f"""
     SELECT v.impression_id, v.pos, v.article_id, coalesce(e.idx, 0) AS idx,
            round(coalesce(e.embedding[1], 0)::DOUBLE, 6) AS first_value,
            round(coalesce(e.embedding[{EMBEDDING_DIM}], 0)::DOUBLE, 6) AS last_value
-    FROM validation v LEFT JOIN (
+    FROM cand v LEFT JOIN (
         SELECT vec_id, embedding, row_number() OVER (ORDER BY vec_id) AS idx FROM embeddings) e
       ON e.vec_id = v.article_id""")
 
@@ -455,25 +460,25 @@ _oracle("loss_batch", "validation", f"""
             SELECT clicked, {_SCORE} AS score,
                    (dense_rank() OVER (ORDER BY impression_id) - 1) // {BATCH} AS batch_id FROM validation)
         GROUP BY batch_id)""")
-_oracle("softmax_scores", "ranked", """
+_oracle("softmax_scores", "cand", f"""
     SELECT impression_id, pos, article_id,
-           round(exp(score) / sum(exp(score)) OVER (PARTITION BY impression_id), 9) AS prob FROM ranked""")
-_oracle("npratio", "train", """
-    SELECT round(sum(1 - clicked)::DOUBLE / sum(clicked)::DOUBLE, 9) AS npratio FROM train""")
-_oracle("row_drop_report", "train", f"""
+           round(exp(score) / sum(exp(score)) OVER (PARTITION BY impression_id), 9) AS prob
+    FROM (SELECT *, {_SCORE} AS score FROM cand)""")
+_oracle("npratio", "items", """
+    SELECT round(sum(1 - clicked)::DOUBLE / sum(clicked)::DOUBLE, 9) AS npratio FROM items""")
+_oracle("row_drop_report", "items", f"""
     SELECT rows_before, rows_after, round((rows_before - rows_after)::DOUBLE / rows_before * 100, 2) AS pct_dropped
     FROM (SELECT count(*) AS rows_before, count(*) FILTER (WHERE n > {NPRATIO} + 1) AS rows_after
-          FROM (SELECT impression_id, count(*) AS n FROM train GROUP BY 1))""")
+          FROM (SELECT impression_id, count(*) AS n FROM items GROUP BY 1))""")
 
 # --- ranking, ordering, batches --------------------------------------------
 
 _oracle("top_article", "ranked", "SELECT impression_id, article_id, score FROM ranked WHERE rank = 1")
 _oracle("ordered_impressions", "times", f"""
-    SELECT impression_id, user_id, {_TIME} FROM times WHERE {_SPLIT_WHERE['validation']}
-    ORDER BY impression_id""")
+    SELECT impression_id, user_id, {_TIME} FROM times ORDER BY impression_id""")
 _oracle("batch_assignment", "times", f"""
     SELECT impression_id, user_id, i // {BATCH} AS batch_id, i % {BATCH} AS slot FROM (
-        SELECT *, row_number() OVER (ORDER BY impression_id) - 1 AS i FROM ({_TRAIN_IDS}))""")
+        SELECT *, row_number() OVER (ORDER BY impression_id) - 1 AS i FROM times)""")
 
 # --- attention, vectors, scores --------------------------------------------
 
@@ -502,3 +507,45 @@ _oracle("predict_test", "model_test", f"""
         SELECT impression_id, pos, row_number() OVER (
             PARTITION BY impression_id ORDER BY round(score, 9) DESC, pos DESC) AS rank FROM model_test)
     GROUP BY impression_id""")
+
+# --- the chains that training and evaluation run -----------------------------
+
+_CHAIN = {
+    "article_index": "SELECT p_partkey AS article_id, row_number() OVER (ORDER BY p_partkey) AS idx FROM part",
+    "index_text": """
+        SELECT p.user_id, string_agg(coalesce(i.idx, 0)::VARCHAR, ',' ORDER BY p.slot) AS history
+        FROM padded p LEFT JOIN article_index i ON i.article_id = p.article_id GROUP BY 1""",
+}
+
+
+def _fifth(keys, table):
+    order = ", ".join(keys)
+    return f"""
+        SELECT {order} FROM (
+            SELECT *, row_number() OVER (ORDER BY {_md5(_SEED, *keys)}, {order}) AS r, count(*) OVER () AS n
+            FROM (SELECT DISTINCT {order} FROM {table}))
+        WHERE r <= floor(n * {FRACTION}::DOUBLE)"""
+
+
+def _chain_sql(keys, table, kept, position):
+    """Rows of the kept records: articles and histories as places in the article index."""
+    order = ", ".join(f"r.{k}" for k in keys)
+    same = " AND ".join(f"k.{k} = r.{k}" for k in keys)
+    return f"""
+        SELECT {order}, r.{position}, coalesce(i.idx, 0) AS article_index, r.label, coalesce(h.history, '0') AS history
+        FROM {table} r JOIN {kept} k ON {same}
+        JOIN times t ON t.impression_id = r.impression_id
+        LEFT JOIN article_index i ON i.article_id = r.article_id
+        LEFT JOIN index_text h ON h.user_id = t.user_id"""
+
+
+_LISTED, _SHOWN = ["impression_id", "click_pos"], ["impression_id"]
+_oracle("train_rows", "mixed times index_text", _chain_sql(_LISTED, "mixed", "kept_lists", "slot"),
+        _CHAIN | {"kept_lists": _fifth(_LISTED, "mixed")})
+_oracle("validation_rows", "validation times index_text", _chain_sql(
+    _SHOWN, "(SELECT *, clicked AS label FROM validation)", "kept_impressions", "pos"),
+    _CHAIN | {"kept_impressions": _fifth(_SHOWN, "validation")})
+_oracle("click_model_optimality", "lists", f"""
+    SELECT d.dim, 0.0::DOUBLE AS gradient, l.n_rows, l.n_clicks
+    FROM (SELECT unnest(range(-1, {DIM})) AS dim) d
+    CROSS JOIN (SELECT count(*) AS n_rows, sum(label)::BIGINT AS n_clicks FROM lists) l""")

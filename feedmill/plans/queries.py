@@ -19,6 +19,7 @@ from feedmill.plans import recommend as P
 from feedmill.plans import tables as D
 from feedmill.sources import metric_log as ML
 from feedmill.sources import predictions as PF
+from feedmill.sources import tables as ST
 
 SEED = 123
 NPRATIO = 4
@@ -55,8 +56,34 @@ def _joined(column):
 # --- scans, sources, sinks -------------------------------------------------
 
 
+def _layout(spark, sf, splits=(), history=True):
+    """The tables in the layout of the click logs, written to the shared folder.
+
+    Each split has its impressions (``None``: those of all times) and the histories.
+    """
+    root = scratch_path(spark, "click-log")
+    past = _written(D.histories(spark, sf), f"{root}/histories") if history else None
+    for split in splits:
+        D.behaviors(spark, sf, split).write.parquet(f"{root}/{split or 'train'}/behaviors.parquet")
+        if history:
+            past.write.parquet(f"{root}/{split or 'train'}/history.parquet")
+    return root
+
+
+def _written(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @query
 def scan_history(spark, sf):
+    records = ST.scan_history(spark, f"{_layout(spark, sf, [None])}/train")
+    rows = L.explode_rows(records, [USER], S.HISTORY, "i", ART)
+    return rows.select(USER, (F.col("i") + 1).cast("bigint").alias("hist_pos"), ART)
+
+
+@query
+def history_positions(spark, sf):
     return D.history_rows(spark, sf)
 
 
@@ -66,28 +93,36 @@ def _time_text(df):
 
 @query
 def scan_behaviors(spark, sf):
-    shown = D.behaviors(spark, sf)
-    return _time_text(I.candidate_rows(shown, [ID, USER, S.IMPRESSION_TIME], first_pos="first_pos"))
+    shown = ST.scan_behaviors(spark, f"{_layout(spark, sf, [None], history=False)}/train")
+    return _time_text(I.candidate_rows(shown, [ID, USER, S.IMPRESSION_TIME]))
+
+
+@query
+def paged_behaviors(spark, sf):
+    return _time_text(I.candidate_rows(D.pages(spark, sf), [ID, USER, S.IMPRESSION_TIME], first_pos="first_pos"))
 
 
 @query
 def scan_articles(spark, sf):
-    return D.articles(spark, sf)
+    root = scratch_path(spark, "click-log")
+    D.articles(spark, sf).write.parquet(f"{root}/articles.parquet")
+    return ST.scan_articles(spark, root)
 
 
 @query
 def split_counts(spark, sf):
-    rows = D.items(spark, sf)
-    split = F.lit("history")
-    for name in ("train", "validation", "test"):
-        split = F.when(F.col(S.IMPRESSION_TIME) >= F.lit(D.SPLITS[name][0]).cast("timestamp_ntz"), name).otherwise(split)
-    # One row per impression first: the distinct count is then a plain count.
-    per_impression = rows.groupBy(ID, split.alias("split")).agg(
-        F.count(F.lit(1)).alias("c"), F.sum("clicked").alias("k")
-    )
-    return per_impression.groupBy("split").agg(
-        F.count(F.lit(1)).alias("impressions"), F.sum("c").alias("candidates"), F.sum("k").alias("clicks")
-    )
+    root = _layout(spark, sf, ST.SPLITS)
+    counts = None
+    for split in ST.SPLITS:
+        shown, _ = ST.read_split(spark, root, split)
+        clicks = F.coalesce(F.size(S.CLICKED), F.lit(0))
+        row = shown.agg(
+            F.count(F.lit(1)).alias("impressions"),
+            F.sum(F.size(S.INVIEW)).alias("candidates"),
+            F.sum(F.when(F.col(S.CLICKED).isNotNull(), clicks).otherwise(0)).alias("clicks"),
+        ).select(F.lit(split).alias("split"), "*")
+        counts = row if counts is None else counts.unionByName(row)
+    return counts
 
 
 def _monthly_log(spark, sf, split):
@@ -163,7 +198,7 @@ def prediction_gzip_roundtrip(spark, sf):
 def project_train_columns(spark, sf):
     """The training columns; lists are shown as rows (in-view) and text (history)."""
     recent = _recent(spark, sf)
-    shown = D.behaviors(spark, sf, "train")
+    shown = D.pages(spark, sf, "train")
     times = D.impression_times(spark, sf, "train")
     joined = P.impressions_with_history(shown, recent, HISTORY_SIZE, hot_from=times)
     train = joined.select(*S.TRAIN_COLUMNS, "first_pos").transform(I.add_labels)
@@ -173,7 +208,11 @@ def project_train_columns(spark, sf):
 
 @query
 def filter_min_candidates(spark, sf):
-    counts = D.items(spark, sf, "train").groupBy(ID).agg(F.count(F.lit(1)).alias("n_candidates"))
+    largest = D.largest_impression(spark, sf)
+    if fits_a_list(largest):
+        kept = I.keep_min_candidates(D.behaviors(spark, sf, None, largest), NPRATIO)
+        return kept.select(ID, F.size(S.INVIEW).cast("bigint").alias("n_candidates"))
+    counts = D.items(spark, sf).groupBy(ID).agg(F.count(F.lit(1)).alias("n_candidates"))
     return counts.where(F.col("n_candidates") > NPRATIO + 1)
 
 
@@ -200,7 +239,7 @@ def sample_fraction_hash(spark, sf):
 
 @query
 def shuffle_rows(spark, sf):
-    return R.shuffle_rows(D.impression_times(spark, sf, "train").select(ID, USER), [ID], SEED)
+    return R.shuffle_rows(D.impression_times(spark, sf).select(ID, USER), [ID], SEED)
 
 
 # --- joins -----------------------------------------------------------------
@@ -208,8 +247,8 @@ def shuffle_rows(spark, sf):
 
 @query
 def behaviors_with_history(spark, sf):
-    recent = _recent(spark, sf)
-    joined = I.join_history(D.impression_times(spark, sf, "train"), recent)
+    past = materialised(D.histories(spark, sf), "histories")
+    joined = I.join_history(D.impression_times(spark, sf, "train"), past)
     return joined.select(ID, USER, _joined(S.HISTORY).alias("history"))
 
 
@@ -229,18 +268,18 @@ def users_full_join(spark, sf):
 
 @query
 def binary_labels(spark, sf):
-    return I.candidate_rows(D.behaviors(spark, sf, "train").transform(I.add_labels), [ID], first_pos="first_pos")
+    return I.candidate_rows(D.pages(spark, sf).transform(I.add_labels), [ID], first_pos="first_pos")
 
 
 @query
 def remove_positives(spark, sf):
-    left = D.behaviors(spark, sf, "train").transform(I.remove_positives)
+    left = D.pages(spark, sf).transform(I.remove_positives)
     return L.explode_rows(left, [ID], S.INVIEW, "i", ART).drop("i")
 
 
 @query
 def truncate_history(spark, sf):
-    recent = I.truncate_history(D.recent_history(spark, sf, HISTORY_SIZE), S.HISTORY, HISTORY_SIZE)
+    recent = I.truncate_history(D.recent_history(spark, sf, HISTORY_SIZE + 3), S.HISTORY, HISTORY_SIZE)
     return L.explode_rows(recent, [USER], S.HISTORY, "i", ART).select(
         USER, (F.col("i") + 1).cast("bigint").alias("hist_pos"), ART
     )
@@ -248,7 +287,7 @@ def truncate_history(spark, sf):
 
 @query
 def truncate_pad_history(spark, sf):
-    padded = I.truncate_history(D.recent_history(spark, sf, HISTORY_SIZE), S.HISTORY, HISTORY_SIZE, 0)
+    padded = I.truncate_history(D.recent_history(spark, sf, HISTORY_SIZE + 3), S.HISTORY, HISTORY_SIZE, 0)
     return padded.select(USER, _joined(S.HISTORY).alias("history"))
 
 
@@ -266,9 +305,9 @@ def _numbered(df, column, name):
 def sample_without_replacement(spark, sf):
     largest = D.largest_impression(spark, sf)
     if fits_a_list(largest):
-        shown = D.behaviors(spark, sf, "train", largest).where(F.size(S.INVIEW) >= 2)
+        shown = D.behaviors(spark, sf, None, largest).where(F.size(S.INVIEW) >= 2)
         return _numbered(I.sample_ids(shown, 2, [ID], seed=SEED), S.INVIEW, "draw")
-    rows = _at_least(D.candidates(spark, sf, "train", largest), 2)
+    rows = _at_least(D.candidates(spark, sf, None, largest), 2)
     return C.sample_within(rows, ID, "pos", 2, seed=SEED).select(ID, "draw", ART)
 
 
@@ -276,9 +315,9 @@ def sample_without_replacement(spark, sf):
 def sample_with_replacement(spark, sf):
     largest = D.largest_impression(spark, sf)
     if fits_a_list(largest):
-        shown = D.behaviors(spark, sf, "train", largest)
+        shown = D.behaviors(spark, sf, None, largest)
         return _numbered(I.sample_ids(shown, 4, [ID], True, SEED), S.INVIEW, "draw")
-    rows = D.candidates(spark, sf, "train", largest)
+    rows = D.candidates(spark, sf, None, largest)
     return C.sample_within_replacing(rows, ID, "pos", ART, 4, seed=SEED)
 
 
@@ -342,16 +381,16 @@ def negative_sampling_distinct(spark, sf):
 def shuffle_list(spark, sf):
     largest = D.largest_impression(spark, sf)
     if fits_a_list(largest):
-        shown = D.behaviors(spark, sf, "train", largest)
+        shown = D.behaviors(spark, sf, None, largest)
         return _numbered(I.shuffle_list(shown, S.INVIEW, [ID], SEED), S.INVIEW, "shuffled_pos")
-    rows = D.candidates(spark, sf, "train", largest)
+    rows = D.candidates(spark, sf, None, largest)
     return C.shuffle_within(rows, ID, "pos", "shuffled_pos", SEED, largest).select(ID, "shuffled_pos", ART)
 
 
 def _histories(spark, sf):
-    """Every customer with the newest clicks; null without any."""
+    """Every customer with all clicks; null without any."""
     users = D.table(spark, sf, "customer").select(F.col("c_custkey").alias(USER))
-    return I.join_history(users, _recent(spark, sf))
+    return I.join_history(users, materialised(D.histories(spark, sf), "histories"))
 
 
 def _article_labels(spark, sf):
@@ -380,8 +419,10 @@ def map_ids_keep(spark, sf):
 
 @query
 def candidate_counts(spark, sf):
-    pages = I.add_candidate_count(D.behaviors(spark, sf, "validation"))
-    return pages.groupBy(ID).agg(F.sum(S.N_SAMPLES).alias(S.N_SAMPLES))
+    """One row per order; 0 for those without lines."""
+    pages = I.add_candidate_count(D.pages(spark, sf))
+    counts = pages.groupBy(ID).agg(F.sum(S.N_SAMPLES).alias(S.N_SAMPLES))
+    return D.impression_times(spark, sf).select(ID).join(counts, ID, "left").fillna(0, [S.N_SAMPLES])
 
 
 @query
@@ -390,7 +431,7 @@ def candidate_rows(spark, sf):
     recent = _recent(spark, sf)
     times = D.impression_times(spark, sf, "validation")
     labelled = P.impressions_with_history(
-        D.behaviors(spark, sf, "validation"), recent, HISTORY_SIZE, hot_from=times
+        D.pages(spark, sf, "validation"), recent, HISTORY_SIZE, hot_from=times
     ).transform(I.add_labels)
     history = labelled.withColumn("history", _joined(S.HISTORY))
     return I.candidate_rows(history, [ID, USER, "history"], first_pos="first_pos")
@@ -398,10 +439,8 @@ def candidate_rows(spark, sf):
 
 @query
 def attach_scores(spark, sf):
-    shown = D.behaviors(spark, sf, "test")
-    scored = L.explode_rows(shown, [ID, "page"], S.INVIEW, "pos", ART)
-    scored = scored.withColumn("score", D.hash_score())
-    listed = I.attach_scores(shown, scored, [ID, "page"])
+    shown = D.pages(spark, sf, "test")
+    listed = I.score_lists(shown, [ID, "page"], lambda rows: rows.withColumn("score", D.hash_score()), keep=["first_pos"])
     rows = L.explode_rows(listed, [ID, "first_pos"], F.arrays_zip(S.INVIEW, S.SCORES), "i", "z")
     return rows.select(
         ID,
@@ -534,7 +573,7 @@ def lookup_matrix_mean(spark, sf):
 @query
 def embedding_lookup(spark, sf):
     matrix = K.lookup_matrix(D.embeddings(spark, sf), "vec_id", "embedding", "zeros")
-    rows = D.candidates(spark, sf, "validation").select(ID, "pos", ART)
+    rows = D.candidates(spark, sf).select(ID, "pos", ART)
     found = K.embed(rows, ART, matrix, "vec_id", "embedding", EMBEDDING_DIM)
     return found.select(
         ID, "pos", ART, "idx",
@@ -585,19 +624,19 @@ def loss_batch(spark, sf):
 @query
 def softmax_scores(spark, sf):
     largest = D.largest_impression(spark, sf)
-    probs = M.softmax_within(_scored(spark, sf, "test", largest), ID, "score", largest=largest)
+    probs = M.softmax_within(_scored(spark, sf, None, largest), ID, "score", largest=largest)
     return probs.select(ID, "pos", ART, F.round("prob", 9).alias("prob"))
 
 
 @query
 def npratio(spark, sf):
-    return M.npratio(D.items(spark, sf, "train"), "clicked").select(F.round("npratio", 9).alias("npratio"))
+    return M.npratio(D.items(spark, sf), "clicked").select(F.round("npratio", 9).alias("npratio"))
 
 
 @query
 def row_drop_report(spark, sf):
     """Impressions before and after those with too few candidates are dropped."""
-    counts = D.items(spark, sf, "train").groupBy(ID).agg(F.count(F.lit(1)).alias("n"))
+    counts = D.items(spark, sf).groupBy(ID).agg(F.count(F.lit(1)).alias("n"))
     return R.row_drop_report(counts, counts.where(F.col("n") > NPRATIO + 1))
 
 
@@ -618,12 +657,12 @@ def top_article(spark, sf):
 
 @query
 def ordered_impressions(spark, sf):
-    return _time_text(D.impression_times(spark, sf, "validation")).orderBy(ID)
+    return _time_text(D.impression_times(spark, sf)).orderBy(ID)
 
 
 @query
 def batch_assignment(spark, sf):
-    return R.assign_batches(D.impression_times(spark, sf, "train").select(ID, USER), [F.col(ID)], BATCH)
+    return R.assign_batches(D.impression_times(spark, sf).select(ID, USER), [F.col(ID)], BATCH)
 
 
 # --- attention, vectors, scores --------------------------------------------
@@ -746,29 +785,71 @@ def predict_test(spark, sf):
     users, articles = _vectors(spark, sf)
     pairs = D.id_pairs(spark, sf, "test")
     largest = D.largest_impression(spark, sf)
-    if fits_a_list(largest):
-        shown = D.behaviors(spark, sf, "test", largest)
-        lists = P.ranked_predictions(shown, users, articles, DIM, [ID], hot_from=pairs)
-    else:
-        rows = D.candidates(spark, sf, "test", largest).select(ID, "pos", USER, ART)
-        scored = A.click_scores(rows, users, articles, DIM, hot_from=pairs)
-        scored = scored.withColumn("score", F.round("score", 9))
-        ranked = M.rank_within(scored, ID, "pos", "score", largest=largest)
-        lists = ranked.groupBy(ID).agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("l"))
-        lists = lists.select(ID, F.transform("l", lambda t: t["rank"]).alias("ranked_scores"))
-    return lists.select(PF.prediction_line(F.col(ID), F.col("ranked_scores")).alias("line"))
+    rows = D.candidates(spark, sf, "test", largest).select(ID, "pos", USER, ART)
+    scored = A.click_scores(rows, users, articles, DIM, hot_from=pairs)
+    # Candidates with the same text tie, whatever the order of the floating-point sums.
+    scored = scored.withColumn("score", F.round("score", 9))
+    ranked = M.rank_within(scored, ID, "pos", "score", largest=largest)
+    lists = ranked.groupBy(ID).agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("l"))
+    ranks = F.transform("l", lambda t: t["rank"])
+    return lists.select(PF.prediction_line(F.col(ID), ranks).alias("line"))
+
+
+# --- the chains that training and evaluation run -----------------------------
+
+
+def _indexed(rows, spark, sf, key):
+    """Both list columns as places in the article index, 0 for unknown ids; one row per candidate."""
+    index = materialised(K.dense_ids(D.articles(spark, sf), ART, "value", start=1), "article-index").withColumnRenamed("key", ART)
+    index = index.select(F.col(ART).alias("key"), "value")
+    for column in (S.INVIEW, S.HISTORY):
+        rows = I.map_ids(rows, column, index, key, fill_nulls=0)
+    rows = rows.withColumn("history", _joined(S.HISTORY))
+    return I.candidate_rows(rows, [*key, "history"]).withColumnRenamed(ART, "article_index")
 
 
 @query
-def train_click_model(spark, sf):
-    """AUC and accuracy per split of a click model fitted on the training lists."""
+def train_rows(spark, sf):
+    """A seeded fifth of the training lists, read from the split layout."""
+    shown, past = ST.read_split(spark, _layout(spark, sf, ["train"]), "train")
+    lists = materialised(P.training_lists(shown, past, HISTORY_SIZE, NPRATIO, FRACTION, SEED, A.UNKNOWN_KEY), "training-lists")
+    return _indexed(lists, spark, sf, [ID, "click_pos"]).withColumnRenamed("pos", "slot")
+
+
+@query
+def validation_rows(spark, sf):
+    """A seeded fifth of the validation impressions, read from the split layout."""
+    shown, past = ST.read_split(spark, _layout(spark, sf, ["validation"]), "validation")
+    kept = materialised(P.labelled_impressions(shown, past, HISTORY_SIZE, FRACTION, SEED, A.UNKNOWN_KEY), "labelled")
+    return _indexed(kept, spark, sf, [ID])
+
+
+def _click_features(spark, sf):
     users, articles = _vectors(spark, sf)
-    largest = D.largest_impression(spark, sf)
     times = D.impression_times(spark, sf, "train").select(ID, USER)
     lists = R.lookup_join(training_rows(spark, sf, shuffle=False), times, ID, "inner")
     train = T.pair_features(lists.select(USER, ART, "label"), users, articles, DIM)
     # Read once per iteration of the learner.
-    train = materialised(train.select("features", "label"), "click-features")
+    return users, articles, materialised(train.select("features", "label"), "click-features")
+
+
+@query
+def click_model_optimality(spark, sf):
+    """At the fitted weights the mean gradient is nothing beside that at zero weights."""
+    _, _, train = _click_features(spark, sf)
+    model = T.fit_click_model(train)
+    start = T.mean_gradient(train, [0.0] * DIM, 0.0).agg(F.max(F.abs("gradient"))).first()[0]
+    at_end = T.mean_gradient(train, model.coefficients.toArray().tolist(), model.intercept)
+    used = train.agg(F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("k")).first()
+    share = F.abs(F.round(F.col("gradient") / start, 3)).alias("gradient")
+    return at_end.select("dim", share, F.lit(used["n"]).cast("bigint").alias("n_rows"), F.lit(used["k"]).cast("bigint").alias("n_clicks"))
+
+
+@query
+def train_click_model(spark, sf):
+    """AUC and accuracy per split of a click model fitted on the training lists."""
+    users, articles, train = _click_features(spark, sf)
+    largest = D.largest_impression(spark, sf)
     model = T.fit_click_model(train)
     report = None
     for split in ("train", "validation", "test"):

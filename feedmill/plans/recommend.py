@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from feedmill import schema as S
-from feedmill.functions.lists import explode_rows, rank_by_score
+from feedmill.functions.lists import rank_by_score
 from feedmill.operators import attention as A
 from feedmill.operators import encoding as E
 from feedmill.operators import impressions as I
@@ -30,6 +30,7 @@ def training_lists(
     npratio: int = 4,
     fraction: float = 1.0,
     seed=R.DEFAULT_SEED,
+    padding_value=0,
 ) -> DataFrame:
     """Shuffled lists of one click and ``npratio`` unclicked ids, with labels and history.
 
@@ -42,7 +43,7 @@ def training_lists(
     lists = lists.transform(I.add_labels)
     if fraction < 1.0:
         lists = R.sample_exact(lists, fraction, [S.IMPRESSION_ID, "click_pos"], seed)
-    joined = impressions_with_history(lists, history, history_size, hot_from=behaviors)
+    joined = impressions_with_history(lists, history, history_size, padding_value, hot_from=behaviors)
     return joined.select(*S.TRAIN_COLUMNS, "click_pos", S.LABELS)
 
 
@@ -52,12 +53,13 @@ def labelled_impressions(
     history_size: int = 20,
     fraction: float = 1.0,
     seed=R.DEFAULT_SEED,
+    padding_value=0,
 ) -> DataFrame:
     """Whole impressions with labels and history, for evaluation."""
     kept = behaviors
     if fraction < 1.0:
         kept = R.sample_exact(kept, fraction, [S.IMPRESSION_ID], seed)
-    joined = impressions_with_history(kept, history, history_size, hot_from=behaviors)
+    joined = impressions_with_history(kept, history, history_size, padding_value, hot_from=behaviors)
     return joined.select(*S.TRAIN_COLUMNS).transform(I.add_labels)
 
 
@@ -96,16 +98,16 @@ def ranked_predictions(
     articles: DataFrame,
     dim: int,
     key: list[str],
-    digits: int = 9,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Impressions with ``scores`` and ``ranked_scores`` lists.
+    """(key, user, in-view list, ``scores``, ``ranked_scores``) of impressions with candidates.
 
-    Scores are rounded to ``digits`` so that candidates with the same text tie
-    whatever the order of the floating-point sums.
+    The records are read once.  Scores are ranked as they are; round them before if
+    candidates that differ only by the order of floating-point sums shall tie.
     """
-    shown = explode_rows(behaviors, [*key, S.USER_ID], S.INVIEW, "pos", S.ARTICLE_ID)
-    scored = A.click_scores(shown, users, articles, dim, hot_from=hot_from)
-    scored = scored.select(*key, "pos", F.round("score", digits).alias("score"))
-    listed = I.attach_scores(behaviors, scored, key)
+
+    def score(rows):
+        return A.click_scores(rows, users, articles, dim, hot_from=hot_from)
+
+    listed = I.score_lists(behaviors, key, score, keep=[S.USER_ID])
     return listed.withColumn("ranked_scores", rank_by_score(F.col(S.SCORES)))

@@ -13,7 +13,6 @@ from feedmill.functions.text import joined_with_space
 from feedmill.operators.limits import LIMITS
 from feedmill.operators.ordering import first_within, number_within
 from feedmill.operators.skew import fits_a_list, hot_keys, largest_group, small_enough
-from feedmill.operators.storage import materialised
 
 # [start, end) of the impression time per split.
 SPLITS = {
@@ -24,25 +23,38 @@ SPLITS = {
 }
 
 
-# Looked up once per session and path: the schema in a file footer, and the size
-# of the largest impression, which only decides between two exact ways.
+# Looked up once per session and state of a table: the schema in a file footer, and the
+# size of the largest impression, which only decides between two exact ways.
 _SCHEMAS = {}
 _LARGEST = {}
+# A core should have so much of a file at least before a scan is left as it is.
+_BYTES_PER_CORE = 16 << 20
+
+
+def _state(spark: SparkSession, path: str) -> tuple:
+    """Session, path, time of the last change and bytes of a table: another state after it was written anew."""
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(context._jsc.hadoopConfiguration())
+    found = files.getContentSummary(root)
+    newest = max([f.getModificationTime() for f in files.listStatus(root)], default=0)
+    return context.applicationId, path, newest, found.getLength()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = _state(spark, path)
     if key not in _SCHEMAS:
         _SCHEMAS[key] = spark.read.parquet(path).schema
     return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    """The documents, spread over the cores when the scan has fewer partitions than there are cores."""
+    """The documents, spread over the cores when their files are small."""
     docs = table(spark, sf_dir, "documents")
     cores = spark.sparkContext.defaultParallelism
-    return docs.repartition(cores, "doc_id") if docs.rdd.getNumPartitions() < cores else docs
+    size = _state(spark, f"{sf_dir}/documents.parquet")[-1]
+    return docs.repartition(cores, "doc_id") if size < cores * _BYTES_PER_CORE else docs
 
 
 def in_split(time, split: str | None):
@@ -82,7 +94,7 @@ def id_pairs(spark, sf_dir, split=None) -> DataFrame:
 
 def largest_impression(spark, sf_dir) -> int:
     """Checked bound on the candidates of one impression: its lines before duplicates merge."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = _state(spark, f"{sf_dir}/lineitem.parquet")
     if key not in _LARGEST:
         _LARGEST[key] = largest_group(_lines(spark, sf_dir), [S.IMPRESSION_ID])
     return _LARGEST[key]
@@ -127,6 +139,26 @@ def candidates(spark, sf_dir, split=None, largest: int | None = None) -> DataFra
 def behaviors(spark, sf_dir, split=None, largest: int | None = None) -> DataFrame:
     """Impression records with in-view and clicked lists; no click gives a null list.
 
+    One record per impression.  If some impression has too many candidates for a
+    record this is an error; :func:`pages` and :func:`candidates` have no such limit.
+    """
+    if largest is None:
+        largest = largest_impression(spark, sf_dir)
+    if not fits_a_list(largest):
+        raise ValueError(f"an impression has up to {largest} candidates, too many for one record: use pages() or candidates()")
+    return pages(spark, sf_dir, split, largest).drop("page", "first_pos")
+
+
+def histories(spark, sf_dir) -> DataFrame:
+    """History records with all clicks of a user, oldest first."""
+    listed = F.sort_array(F.collect_list(F.struct(*_HISTORY_ORDER))).alias("_l")
+    records = history_clicks(spark, sf_dir).groupBy(S.USER_ID).agg(listed)
+    return records.select(S.USER_ID, F.transform("_l", lambda t: t[S.ARTICLE_ID]).alias(S.HISTORY))
+
+
+def pages(spark, sf_dir, split=None, largest: int | None = None) -> DataFrame:
+    """Impression records for operators that look at each candidate by itself.
+
     ``page`` and ``first_pos`` are 0 and 1 for an impression that fits one record.
     If some impression has too many candidates for a list, records hold at most
     LIMITS.list_max_items each and a long impression has several pages.
@@ -169,8 +201,10 @@ def history_clicks(spark, sf_dir) -> DataFrame:
 def history_rows(spark, sf_dir) -> DataFrame:
     """(user_id, hist_pos, article_id), oldest click first."""
     order = [F.col(c) for c in _HISTORY_ORDER]
-    clicks = materialised(history_clicks(spark, sf_dir), "history-clicks")  # read for the sizes, then numbered
-    return number_within(clicks, [S.USER_ID], order, "hist_pos").select(
+    clicks = history_clicks(spark, sf_dir)
+    # A user has no more clicks than lines: the bound needs two narrow columns.
+    largest = largest_group(id_pairs(spark, sf_dir, "history"), [S.USER_ID])
+    return number_within(clicks, [S.USER_ID], order, "hist_pos", largest=largest).select(
         S.USER_ID, "hist_pos", S.ARTICLE_ID
     )
 

@@ -2,14 +2,21 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from feedmill.functions.lists import fail
+
 # The codecs Spark's text writer knows.
 CODECS = ("none", "gzip", "bzip2", "lz4", "snappy", "deflate")
 
 
 def prediction_line(impression_id: Column, values: Column) -> Column:
-    return F.concat(
-        impression_id.cast("string"), F.lit(" ["), F.array_join(values.cast("array<string>"), ","), F.lit("]")
-    )
+    """``<impression id> [v1,v2,...]``; a missing value or list is an error that names the impression.
+
+    The format wants all values of an impression in one line, so they are one record.
+    """
+    name = impression_id.cast("string")
+    line = F.concat(name, F.lit(" ["), F.array_join(values.cast("array<string>"), ","), F.lit("]"))
+    complete = values.isNotNull() & ~F.exists(values, lambda v: v.isNull())
+    return F.when(complete, line).otherwise(fail(F.lit("a prediction is missing for impression "), F.coalesce(name, F.lit("null"))))
 
 
 def write_predictions(

@@ -5,14 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from feedmill.plans.queries import QUERIES
 from feedmill.operators import rows as R
 from feedmill.operators import skew
 from feedmill.operators.storage import scratch_path
 from feedmill.plans import tables as D
 from tests.conftest import SMALL
 
-QUERIES = entry.queries()
 VECTOR_QUERIES = {
     "attention_pool", "attention_pool_masked", "self_attention", "self_attention_causal",
     "self_attention_lengths", "article_vectors",

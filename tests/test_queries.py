@@ -3,14 +3,14 @@
 import pytest
 
 import __spark_entry__ as entry
+from feedmill.plans.oracles import ORACLES
+from feedmill.plans.queries import QUERIES
 from tests.compare import assert_same, connect
 from tests.conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-
 # Queries whose plan has a second way beyond a size bound; one for each such way.
 TWO_WAYS = [
-    "scan_behaviors", "sample_without_replacement", "sample_with_replacement", "negative_sampling_shuffled",
+    "paged_behaviors", "sample_without_replacement", "sample_with_replacement", "negative_sampling_shuffled",
     "negative_sampling_distinct", "shuffle_list", "map_ids_keep", "candidate_rows", "attach_scores",
     "softmax_scores", "predict_test",
 ]

@@ -3,12 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from feedmill.plans.oracles import ORACLES
+from feedmill.plans.queries import QUERIES
 from feedmill.operators import skew
 from tests.compare import assert_same, connect
 from tests.conftest import SMALL
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 TABLES = ["customer", "part", "embeddings", "documents", "events"]
 
 HOT_USER, HOT_PART = 7, 9
