@@ -159,11 +159,34 @@ def _batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
 
-_SETS = pa.schema([("_id", pa.int64()), ("_th", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("short", pa.list_(pa.int32()))])
+def sketch(shingles: np.ndarray) -> bytes:
+    """How many shingles fall into each of about a fourth as many buckets, at most 255 each."""
+    buckets = max(16, (1 << band(len(shingles))) // 2)
+    place = (mix(shingles, 77) >> np.uint64(40)).astype(np.int64) * buckets >> 24
+    return np.minimum(np.bincount(place, minlength=buckets), 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(n: int, m: int, a: bytes, b: bytes) -> bool:
+    """False only for sets that differ too much: counts of buckets differ by no more than the sets do."""
+    x, y = np.frombuffer(a, np.uint8).astype(np.int32), np.frombuffer(b, np.uint8).astype(np.int32)
+    if len(x) != len(y):
+        if max(x.max(), y.max()) == 255:
+            return True  # capped counts cannot be added up
+        width = min(len(x), len(y))
+        x, y = x.reshape(width, -1).sum(axis=1), y.reshape(width, -1).sum(axis=1)
+    return 7 * int(np.abs(x - y).sum()) <= n + m
+
+
+_SETS = pa.schema(
+    [
+        ("_id", pa.int64()), ("_th", pa.int64()), ("n", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
+        ("short", pa.list_(pa.int32())), ("sketch", pa.binary()),
+    ]
+)
 
 
 def _described(rows: DataFrame) -> DataFrame:
-    """(_id, _th, n, k1, k2, short): size and identity of each row's set, and the schemes too coarse for it."""
+    """(_id, _th, n, k1, k2, short, sketch): size and identity of each row's set, and the schemes too coarse for it."""
 
     def run(batches):
         for batch in batches:
@@ -172,9 +195,10 @@ def _described(rows: DataFrame) -> DataFrame:
                 sets = [s for group in by_size(texts) for s in shingle_sets(group)]
                 keys = [set_key(s) for s in sets]
                 short = [[k for k in schemes(len(s)) if is_short(s, k)] if len(s) else [] for s in sets]
-                yield _batch(_SETS, ids, hashes, [len(s) for s in sets], [k[0] for k in keys], [k[1] for k in keys], short)
+                sizes, sketches = [len(s) for s in sets], [sketch(s) for s in sets]
+                yield _batch(_SETS, ids, hashes, sizes, [k[0] for k in keys], [k[1] for k in keys], short, sketches)
 
-    return rows.mapInArrow(run, "_id bigint, _th bigint, n bigint, k1 bigint, k2 bigint, short array<int>")
+    return rows.mapInArrow(run, "_id bigint, _th bigint, n bigint, k1 bigint, k2 bigint, short array<int>, sketch binary")
 
 
 def _common_shingles(rows: DataFrame, n_rows: int) -> np.ndarray:
@@ -218,36 +242,72 @@ def _signed(rows: DataFrame, fine: frozenset[int], common_shingles: np.ndarray)
     return rows.select("_id", "_text").mapInArrow(run, "sig bigint, node bigint, n int")
 
 
+_POSTINGS = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("c_node", pa.int64()), ("c_n", pa.int32()), ("members", pa.int32())])
+
+
 def _shared_signatures(signed: DataFrame) -> DataFrame:
-    """The rows of ``signed`` whose signature another row has too.
+    """(sig, node, n, c_node, c_n, members) of the signatures that several sets have.
 
-    Rows arrive sorted by signature and are passed on as a stream; only the last one is held back.
+    Rows arrive sorted by signature and are passed on as a stream.  The first member of a group is its
+    center; ``members`` counts the group, or is one more than LARGE_GROUP for every larger group.  Of a
+    group so many rows are held at most.
     """
 
     def run(batches):
-        held, shared = None, False  # the last row, and whether its signature was seen before it
+        held, large = None, None  # rows of the last group while it is small; else its signature and center
         for batch in batches:
             sig, node, n = [c.to_numpy() for c in batch.columns]
-            if not len(sig):
-                continue
             if held is not None:
                 sig, node, n = (np.concatenate([h, c]) for h, c in zip(held, (sig, node, n)))
-            same = sig[1:] == sig[:-1]
-            keep = np.concatenate([[shared], same]) | np.concatenate([same, [False]])
-            held, shared = (sig[-1:], node[-1:], n[-1:]), bool(keep[-1])
-            keep[-1] = False
-            yield _batch(_SIGNED, sig[keep], node[keep], n[keep])
-        if shared:
-            yield _batch(_SIGNED, *held)
-
-    return signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(run, "sig bigint, node bigint, n int")
+            if not len(sig):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+            size = np.diff(np.concatenate([first, [len(sig)]]))
+            group = np.repeat(np.arange(len(first)), size)
+            c_node, c_n, members = node[first], n[first], np.minimum(size, LARGE_GROUP + 1)
+            if large is not None and large[0] == sig[0]:
+                c_node[0], c_n[0], members[0] = large[1], large[2], LARGE_GROUP + 1
+            is_large = members[-1] > LARGE_GROUP
+            large = (sig[-1], c_node[-1], c_n[-1]) if is_large else None
+            held = None if is_large else tuple(c[first[-1] :] for c in (sig, node, n))
+            keep = members[group] > 1
+            if not is_large:
+                keep[first[-1] :] = False  # they wait for the rest of their group
+            columns = (sig, node, n, c_node[group], c_n[group], members[group].astype(np.int32))
+            yield _batch(_POSTINGS, *[c[keep] for c in columns])
+        if held is not None and len(held[0]) > 1:
+            sig, node, n = held
+            m = len(sig)
+            yield _batch(_POSTINGS, sig, node, n, np.repeat(node[0], m), np.repeat(n[0], m), np.full(m, m, np.int32))
+
+    return signed.repartition("sig").sortWithinPartitions("sig").mapInArrow(
+        run, "sig bigint, node bigint, n int, c_node bigint, c_n int, members int"
+    )
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def _plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sketches do not differ too much; narrow rows decide before texts move."""
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 10_000):
+                a, b, n, m, x, y = [c.to_pylist() for c in part.columns]
+                keep = [i for i in range(len(a)) if may_be_similar(n[i], m[i], x[i], y[i])]
+                yield _batch(_PAIRS, [a[i] for i in keep], [b[i] for i in keep])
+
+    def side(name, n, value):
+        return sketches.select(F.col("node").alias(name), F.col("n").alias(n), F.col("sketch").alias(value))
+
+    both = pairs.join(side("a", "n", "x"), "a").join(side("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
+    return both.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar enough."""
+    pairs = materialised(_plausible(pairs, sketches), "jaccard-plausible")
     nodes = materialised(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "jaccard-nodes")
     if bytes_of(nodes, F.lit(32)) <= LIMITS.broadcast_max_bytes // 8:
         nodes = F.broadcast(nodes)
@@ -271,24 +331,20 @@ def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
                 yield _batch(_PAIRS, [a[i] for i in found], [b[i] for i in found])
 
     joined = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "_a", "_b")
-    return materialised(joined.mapInArrow(run, "a bigint, b bigint"), "jaccard-links")
+    return materialised(joined.mapInArrow(run, "a bigint, b bigint").distinct(), "jaccard-links")
 
 
 def _refined(postings: DataFrame, rows: DataFrame) -> DataFrame:
-    """(sig, node, n, rare): postings in which large groups of a signature are replaced by finer ones.
+    """(sig, node, n, rare): finer postings in place of the large groups of a signature.
 
     The sets in large groups are compared by single shingles, ordered by the number of these sets
     that hold them: the rarest of a set, one more than a similar set can lack, include one that any
     similar set among them takes as well.  ``rare`` counts a set's shingles that at most LARGE_GROUP of them hold;
-    it stands where a group is larger and is null elsewhere.  Two sets that share a rare shingle and are
+    it stands where a group is larger and is null in small groups.  Two sets that share a rare shingle and are
     similar meet in a group of one; two that share none differ in all of theirs.
     """
-    large = postings.groupBy("sig").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > LARGE_GROUP).select("sig")
-    large = materialised(large, "jaccard-large")
-    if bytes_of(large, F.lit(16)) <= LIMITS.broadcast_max_bytes // 8:
-        large = F.broadcast(large)
-    small = postings.join(large, "sig", "left_anti").withColumn("rare", F.lit(None).cast("int"))
-    nodes = materialised(postings.join(large, "sig", "left_semi").select(F.col("node").alias("_id")).distinct(), "jaccard-nodes")
+    nodes = postings.where(F.col("members") > LARGE_GROUP).select(F.col("node").alias("_id")).distinct()
+    nodes = materialised(nodes, "jaccard-nodes")
     if bytes_of(nodes, F.lit(32)) <= LIMITS.broadcast_max_bytes // 8:
         nodes = F.broadcast(nodes)
     texts = rows.select("_id", "_th", "_text").join(nodes, "_id", "left_semi")
@@ -310,8 +366,7 @@ def _refined(postings: DataFrame, rows: DataFrame) -> DataFrame:
     need = F.expr("cast((n + n * 4 div 3) div 7 + 1 as int)")
     rarest = F.explode(F.filter(F.slice("_all", F.lit(1), need), lambda t: t["_m"] > 1)).alias("_t")
     rare = F.when(F.col("_t._m") > LARGE_GROUP, F.col("rare")).alias("rare")
-    fine = sets.select(F.col("n").cast("int").alias("n"), "node", "rare", rarest).select(F.col("_t.sig").alias("sig"), "node", "n", rare)
-    return small.select("sig", "node", "n", "rare").unionByName(fine)
+    return sets.select(F.col("n").cast("int").alias("n"), "node", "rare", rarest).select(F.col("_t.sig").alias("sig"), "node", "n", rare)
 
 
 def _possible(a: str, b: str):
@@ -330,7 +385,7 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
 
 
-def _linked(postings: DataFrame, rows: DataFrame) -> DataFrame:
+def _linked(postings: DataFrame, rows: DataFrame, sketches: DataFrame) -> DataFrame:
     """(node, component) of all nodes that have a link.
 
     In each group of a signature one member, the center, is compared with all others.  What is
@@ -338,9 +393,11 @@ def _linked(postings: DataFrame, rows: DataFrame) -> DataFrame:
     other left.  Where a group still has several components, the next center takes its
     turn, and after some rounds all pairs left of different components.
     """
-    members = materialised(_refined(postings, rows).withColumn("component", F.col("node")), "jaccard-open")
     columns = ["node", "n", "rare", "component"]
-    checked, links, found = None, None, None
+    small = postings.where(F.col("members") <= LARGE_GROUP)
+    small = small.withColumns({"rare": F.lit(None).cast("int"), "c_rare": F.lit(None).cast("int")})
+    fine = materialised(_refined(postings, rows).withColumn("component", F.col("node")), "jaccard-fine")
+    members, checked, links, found = fine, None, None, None
     for turn in range(STAR_ROUNDS + 1):
         if turn < STAR_ROUNDS:
             # The nearest to all others has the smallest share of rare shingles.
@@ -351,16 +408,20 @@ def _linked(postings: DataFrame, rows: DataFrame) -> DataFrame:
         else:
             joined = members.join(members.select("sig", *[F.col(c).alias(f"c_{c}") for c in columns]), "sig").where("node < c_node")
         pairs = _pairs(joined.where("component <> c_component"))
+        if turn == 0:  # the centers of small groups are known from the stream
+            pairs = pairs.unionByName(_pairs(small)).distinct()
         pairs = materialised(pairs if checked is None else pairs.join(checked, ["a", "b"], "left_anti"), "jaccard-pairs")
         if not pairs.isEmpty():
-            more = _verified(pairs, rows)
+            more = _verified(pairs, rows, sketches)
             checked = pairs if checked is None else checked.unionByName(pairs)
             links = more if links is None else links.unionByName(more)
             found = materialised(components(links), "jaccard-components")
         if turn == STAR_ROUNDS or found is None:
             break
-        left = joined.where("node <> c_node").select("sig", "node", "n", "rare").join(found, "node", "left")
-        left = left.withColumn("component", F.coalesce("component", "node"))
+        left = joined.where("node <> c_node").select("sig", "node", "n", "rare")
+        if turn == 0:  # pairs are done
+            left = left.unionByName(small.where("members > 2 AND node <> c_node").select("sig", "node", "n", "rare"))
+        left = left.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         groups = left.groupBy("sig").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
         hopeful = F.coalesce(F.col("rare") * 100 <= F.col("n") * (100 - UNION_SHARE), F.lit(True))
         left = left.join(groups.where("_lo < _hi"), "sig").where(hopeful).select("sig", *columns)
@@ -399,7 +460,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     fine = frozenset(r[0] for r in sets.select(F.explode("short")).distinct().collect())
     signed = _signed(leaders, fine, _common_shingles(rows, sets.count()))
-    found = _linked(materialised(_shared_signatures(signed), "jaccard-postings"), leaders)
+    sketches = sets.where("n > 0").select(F.col("_id").alias("node"), "n", "sketch")
+    found = _linked(materialised(_shared_signatures(signed), "jaccard-postings"), leaders, sketches)
 
     placed = sets.join(classes, ["k1", "k2"], "left").withColumn("node", F.coalesce("_first._id", "_id")).join(found, "node", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("_id"))
