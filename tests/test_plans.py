@@ -116,3 +116,36 @@ def test_results_do_not_depend_on_partitioning(spark):
 
 def test_scratch_tables_go_to_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_rows_without_a_key_are_not_shuffled(spark, tiny_limits):
+    """Three of four keys are missing: every partition of the join gets its share of the others alone."""
+    left = spark.range(4000).select(F.when(F.col("id") % 4 == 0, F.col("id")).alias("k"), "id")
+    right = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    tiny_limits.hot_min_rows = 1 << 30
+    for key, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(key, value)
+    try:
+        joined = skew.lookup_join(left, right, "k")
+        assert "SortMergeJoin" in plan(joined)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) <= 800
+        assert joined.where("k is null and v is not null").count() == 0
+        assert joined.where("v = k * 2").count() == 1000
+        assert skew.lookup_join(left, right, "k", "inner").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_wide_rows_are_measured_before_a_broadcast(spark, monkeypatch):
+    histories = spark.range(50).select("id", F.sequence(F.lit(1), F.lit(20_000)).alias("ids"))
+    monkeypatch.setattr(skew.LIMITS, "broadcast_max_bytes", 4 << 20)
+    assert not skew.small_enough(histories) and skew.small_enough(histories.select("id"))
+    assert not skew.small_enough(spark.range(50).select(F.repeat(F.lit("x"), 200_000).alias("t")))
+
+
+def test_predictions_read_the_lines_once(spark):
+    text = plan(QUERIES["attach_scores"](spark, SMALL))
+    assert len(re.findall(r"FileScan parquet \[l_orderkey", text)) == 1
+    assert "rangepartitioning" not in plan(QUERIES["loss_listwise"](spark, SMALL))
