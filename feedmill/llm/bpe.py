@@ -20,7 +20,8 @@ from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out
 # The word pattern of the byte-level vocabulary.
 _SPACE = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{White_Space}})|{_SPACE}+"
-_KNOWN_PAIRS = 500_000  # answers a worker remembers; beyond it, the same ones are found again
+# What a worker remembers; beyond it, the same answers are found again.
+_KNOWN_PAIRS, _KNOWN_PIECES = 300_000, 250_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -55,7 +56,7 @@ class ByteBpe:
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.packed = [i.to_bytes(4, "little") for i in range(len(self.bytes_of))]
         self.pairs = {}
-        self.encoder = PieceEncoder(self._encode_strings, names)
+        self.encoder = PieceEncoder(self._encode_strings, names, _KNOWN_PIECES)
         self.sizes = np.array([len(t) for t in self.bytes_of], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.pool = np.frombuffer(b"".join(self.bytes_of), np.uint8)

@@ -12,8 +12,6 @@ import pyarrow.compute as pc
 # White space in a row around a space, where such a cut would tear a word apart.
 _SPACE = r"[\s\v\x{1c}-\x{1f}\x{85}\p{Z}]"
 _TORN = rf"{_SPACE} {_SPACE}|  |{_SPACE} \z"
-# Distinct pieces a worker remembers; beyond it, the same ids are computed again.
-KNOWN_PIECES = 800_000
 SLICE_BYTES = 8 << 20
 
 
@@ -41,10 +39,13 @@ def laid_out(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 
 
 class PieceEncoder:
-    """Encodes arrays of texts; ``encode_new`` gives the packed ids of a list of strings."""
+    """Encodes arrays of texts; ``encode_new`` gives the packed ids of a list of strings.
 
-    def __init__(self, encode_new, special: list[str]):
-        self.encode_new, self.special, self.known = encode_new, special, {}
+    Up to ``remembered`` pieces keep their ids between calls; those of others are found again.
+    """
+
+    def __init__(self, encode_new, special: list[str], remembered: int):
+        self.encode_new, self.special, self.remembered, self.known = encode_new, special, remembered, {}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts behind one another, number of ids of each); null counts as empty."""
@@ -90,7 +91,7 @@ class PieceEncoder:
         new = [i for i, found in enumerate(ids) if found is None]
         for i, found in zip(new, self.encode_new([" " + pieces[i] for i in new])):
             ids[i] = found
-            if len(known) < KNOWN_PIECES and len(found) < 64:
+            if len(known) < self.remembered and len(found) < 64:
                 known[pieces[i]] = found
         return ids
 

@@ -39,11 +39,10 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     done = np.zeros((blocks, BLOCK), bool)
     wide = np.zeros((blocks, grid.shape[1] + 1), np.int16)
     for s in range(1, len(BITS) - 1):
-        too_wide = widths > BITS[s]
-        gaps = np.diff(np.flatnonzero(too_wide), prepend=-1, append=too_wide.size)
+        gaps = np.diff(np.flatnonzero(width > BITS[s]), prepend=-1, append=n)
         if gaps.max() <= COUNTS[s]:
-            continue
-        np.cumsum(too_wide, axis=1, out=wide[:, 1:])
+            continue  # no run is long enough
+        np.cumsum(widths > BITS[s], axis=1, out=wide[:, 1:])
         fits = (wide[:, COUNTS[s] : COUNTS[s] + BLOCK] == wide[:, :BLOCK]) & ~done
         selector[fits] = s
         done |= fits

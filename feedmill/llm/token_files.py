@@ -24,6 +24,7 @@ from feedmill.llm.tables import text_hash, whole
 from feedmill.operators.storage import scratch_path
 
 END_ID = 2
+_KNOWN_PIECES = 600_000  # pieces whose ids a worker remembers
 _CHUNK_IDS = 1 << 18  # a chunk is closed by the document that reaches this
 
 SCHEMA = (
@@ -43,7 +44,7 @@ def _encoder(path: str) -> PieceEncoder:
     def encode_new(texts):
         return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return PieceEncoder(encode_new, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
+    return PieceEncoder(encode_new, [t.content for t in tokenizer.get_added_tokens_decoder().values()], _KNOWN_PIECES)
 
 
 def write_token_files(
