@@ -153,7 +153,7 @@ def test_mixture(spark, documents):
             got = (size * np.minimum(2, np.exp(np.minimum(middle * size / size.mean(), 40)))).sum()
             low, high = (middle, high) if got < target else (low, middle)
         rates = np.minimum(2, np.exp(np.minimum(low * size / size.mean(), 40)))
-        assert (np.abs(own.copies - rates) < 1.001).mean() > 0.95  # all but repairs are a rounding
+        assert (np.abs(own.copies - rates) > 1.001).sum() <= 2  # all but two repairs are a rounding
 
 
 def test_mixture_of_odd_rows(spark):
@@ -201,16 +201,11 @@ def brute_fingerprint(text):
         bins[b] = min(bins.get(b, h), h)
     filled = []
     for b in range(BINS):
-        nearest = b if b in bins else min(bins, key=lambda o: (chain32(b, o), bins[o] & 255))
+        nearest = b if b in bins else min(bins, key=lambda o: hashlib.md5(f"{b}-{o}".encode()).digest())
         filled.append(bins[nearest] & 255)
     return "".join(f"{v:02X}" for v in filled)
 
 
-def chain32(b, other):
-    """xxhash64 of an int and a bigint, as Spark does it."""
-    return signed(spark_hash(other, xxhash.xxh64_intdigest(b.to_bytes(4, "little"), seed=42)))
-
-
 def test_fingerprints(spark, documents):
     rows = rows_of(spark, SMALL)
     found = {r.doc_id: r for r in fingerprints(documents).collect()}

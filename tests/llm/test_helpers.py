@@ -16,7 +16,7 @@ from feedmill.llm.bpe import vocabulary
 from feedmill.llm.components import components
 from feedmill.llm.html_text import TreeModel, extract, labelled_pages
 from feedmill.llm.html_tree import PageTree
-from feedmill.llm.jaccard import allocation, band, borne, is_link, is_short, schemes, signatures
+from feedmill.llm.jaccard import allocation, band, borne, is_link, is_short, may_be_similar, schemes, signatures, sketch
 from feedmill.llm.language import ORDER, Model, _codes, _row_hashes
 from feedmill.llm.pieces import byte_slices
 from feedmill.llm.shingles import common, set_key, shingle_sets
@@ -113,7 +113,7 @@ def test_similar_sets_share_a_signature(size):
     rng = np.random.default_rng(size)
     for turn in range(150 if size < 200 else 25):
         a, b = similar_pair(rng, size)
-        assert is_link(len(a), len(b), common(a, b))
+        assert is_link(len(a), len(b), common(a, b)) and may_be_similar(len(a), len(b), sketch(a), sketch(b))
         fine = frozenset(k for s in (a, b) for k in schemes(len(s)) if is_short(s, k))
         everyday = np.sort(a[: len(a) // 2]) if turn % 2 else np.zeros(0, np.uint64)
         for way in (fine, frozenset(range(64))):
@@ -134,13 +134,20 @@ def test_neighbourhoods_find_similar_sets(monkeypatch):
             assert len(np.intersect1d(signatures(a, fine, none), signatures(b, fine, none)))
 
 
+def test_sketches_tell_different_sets_apart():
+    rng = np.random.default_rng(6)
+    for n in (60, 500, 3000):
+        a, b = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for _ in range(2))
+        assert not may_be_similar(len(a), len(b), sketch(a), sketch(b))
+
+
 def test_schemes_meet():
     for small in range(1, 400):
         for large in range(small, small * 4 // 3 + 1):
             shared = set(schemes(small)) & set(schemes(large))
             assert band(small) in shared
             assert min(borne(small, band(small)), borne(large, band(small))) > (small + large) // 7
-    assert any(allocation(k).segments for k in range(3, 18))
+    assert any(allocation(k).segments for k in range(3, 18)) and any(allocation(k).deleting for k in range(3, 18))
 
 
 @settings(deadline=None, max_examples=100)
