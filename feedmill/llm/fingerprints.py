@@ -6,14 +6,21 @@ takes the value of the first filled bin in an order of its own, which is the sam
 for all texts (optimal densification).  Likeness counts equal bins, corrected for bits that agree by chance.
 """
 
+import hashlib
+import json
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from feedmill.llm.tables import text_hash, whole
+from feedmill.llm.tables import WHITE_SPACE, text_hash, whole
 from feedmill.operators.ordering import dense_index
 from feedmill.operators.skew import lookup_join
 
 BINS, BITS, WORDS = 128, 8, 5
 _TOP = 64 - (BINS - 1).bit_length()
+# Each bin's own order of all bins, drawn by rule.
+_ORDERS = [sorted(range(BINS), key=lambda other: hashlib.md5(f"{own}-{other}".encode()).digest()) for own in range(BINS)]
+_PROBES = 4
 _BLOCK_BITS = 10  # ids that share all but so many low bits are put in order together
 
 
@@ -22,7 +29,8 @@ def _shingles(df: DataFrame, text: str, name: str) -> DataFrame:
 
     Fewer words than a shingle has are one shingle; a text without words has none.
     """
-    words = F.filter(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    trimmed = F.btrim(F.lower(text), F.lit(WHITE_SPACE))
+    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"[\x20\x09-\x0D]+"))
     df = df.withColumn("_w", F.transform(words, lambda w: F.xxhash64(w)))
     # Each element looks ahead: five hashes make a shingle.
     ahead = F.transform(
@@ -43,17 +51,29 @@ def _bins(df: DataFrame, shingles: str, name: str) -> DataFrame:
     minima = F.filter(all_, lambda h, i: (i == 0) | (F.shiftright(h, _TOP) != F.shiftright(F.get(all_, i - 1), _TOP)))
     df = df.withColumn("_m", minima)
     low = (1 << BITS) - 1
-    dense = F.transform("_m", lambda h: h.bitwiseAND(F.lit(low)).cast("int"))
-    by_bin = F.map_from_arrays(F.transform("_m", _bin), dense)
 
-    def nearest(b):
-        """The value of the filled bin that comes first in the order of the bin ``b``."""
-        first = F.array_min(F.transform("_m", lambda h: F.struct(F.xxhash64(b, _bin(h)), h.bitwiseAND(F.lit(low)).cast("int").alias("v"))))
-        return first["v"]
+    def kept(h):
+        return h.bitwiseAND(F.lit(low)).cast("int")
+
+    dense = F.transform("_m", kept)
+    some = (F.size("_m") < BINS) & (F.size("_m") > 0)
+    # Spark computes a column apart, not anew for each bin, if an expression uses it twice.
+    df = df.withColumn("_b", F.transform("_m", _bin))
+    at = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: kept(F.get("_m", (F.array_position("_b", b.cast("bigint")) - 1).cast("int"))))
+    df = df.withColumn("_v", F.when(F.size("_b") < BINS, at))
+    # The orders are read as a constant, once.
+    orders = F.from_json(F.lit(json.dumps([[b, *order[:_PROBES]] for b, order in enumerate(_ORDERS)])), "array<array<int>>")
+    ranks = F.from_json(F.lit(json.dumps(np.argsort(_ORDERS, axis=1).tolist())), "array<array<int>>")
+
+    def first_filled(order, b):
+        """The bin itself, or the first filled one in its order: a few probes, then all that are filled."""
+        near = [F.get("_v", F.get(order, F.lit(i))) for i in range(_PROBES + 1)]
+        rank = F.get(ranks, b)
+        far = F.array_min(F.transform("_m", lambda h: F.struct(F.get(rank, _bin(h).cast("int")).alias("rank"), kept(h).alias("v"))))
+        return F.coalesce(*near, far["v"])
 
-    df = df.withColumn("_by", F.when((F.size("_m") < BINS) & (F.size("_m") > 0), by_bin))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.coalesce(F.try_element_at(F.col("_by"), b.cast("bigint")), nearest(b)))
-    return df.withColumn(name, F.when(F.size("_m") == BINS, dense).when(F.size("_m") > 0, filled)).drop("_m", "_by")
+    filled = F.transform(orders, first_filled)
+    return df.withColumn(name, F.when(F.size("_m") == BINS, dense).when(some, filled)).drop("_m", "_b", "_v")
 
 
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -97,7 +117,7 @@ def with_next(rows: DataFrame) -> DataFrame:
     n = heads.count()
     before = heads.select(F.pmod(F.col("_n") + 1, F.lit(max(n, 1))).alias("_n"), F.col("_block").alias("_host"))
     heads = heads.join(before, "_n").select("_block", "_head", "_host")
-    found = lookup_join(rows, heads, "_block", row_bytes=48)
+    found = lookup_join(rows, heads, "_block")
     is_head = (F.struct("_id", "_hash") == F.col("_head")) | (F.col("_id").isNull() & F.col("_head._id").isNull() & (F.col("_hash") == F.col("_head._hash")))
     places = F.array(F.struct(F.col("_block").alias("_block"), F.lit(False).alias("_guest")))
     guest = F.array(F.struct(F.col("_host").alias("_block"), F.lit(True).alias("_guest")))
