@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out, packed_array
 
@@ -21,7 +21,8 @@ from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out
 _SPACE = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{White_Space}})|{_SPACE}+"
 # What a worker remembers; beyond it, the same answers are found again.
-_KNOWN_PAIRS, _KNOWN_PIECES = 300_000, 250_000
+_KNOWN_PAIRS, _KNOWN_PIECES = 200_000, 200_000
+_SLICE_BYTES = SLICE_BYTES // 2
 
 
 def _byte_letters() -> dict[str, int]:
@@ -139,8 +140,8 @@ def vocabulary(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids") -> DataFrame:
-    """``docs`` with ``name``: the ids of the whole text, packed as little-endian unsigned 32-bit integers.
+def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (by default all) with ``name``: the ids of the whole text, packed as little-endian unsigned 32-bit integers.
 
     The ids are those of the tokenizers library for this file, without special
     tokens added; a special token's own text is encoded as that token.  A null or
@@ -152,11 +153,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids"
     def values(texts):
         return packed_array(*vocabulary(path).encoder.encode(texts))
 
-    return _with_array(docs, text_col, name, T.BinaryType(), values, SLICE_BYTES)
+    return _with_array(docs, text_col, name, T.BinaryType(), values, keep)
 
 
-def decode(docs: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded") -> DataFrame:
-    """``docs`` with ``name``: the text of packed ids, special tokens included; null ids give an empty text.
+def decode(docs: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (by default all) with ``name``: the text of packed ids, special tokens included; null ids give an empty text.
 
     Ids that do not make valid UTF-8 give replacement characters, as the library does.
     """
@@ -179,16 +180,27 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", name: str = "decode
         offsets = np.concatenate([[0], ends]).astype(np.int32)
         return pa.Array.from_buffers(pa.string(), len(n), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
 
-    return _with_array(docs, ids_col, name, T.StringType(), values, SLICE_BYTES)
+    return _with_array(docs, ids_col, name, T.StringType(), values, keep)
 
 
-def _with_array(df: DataFrame, source: str, name: str, kind: T.DataType, values, limit: int) -> DataFrame:
-    """``df`` with ``name`` after its columns: ``values`` maps the array of ``source`` in a slice of bounded bytes."""
-    place = df.columns.index(source)
+def _with_array(df: DataFrame, source: str, name: str, kind: T.DataType, values, keep: list[str] | None) -> DataFrame:
+    """``keep`` and ``name``: ``values`` maps the array of ``source`` in a slice of bounded bytes."""
+    kept = [i for i, c in enumerate(df.columns) if keep is None or c in keep]
+    place, names = df.columns.index(source), [df.columns[i] for i in kept]
 
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, place, limit):
-                yield pa.RecordBatch.from_arrays([*part.columns, values(part.column(place))], [*part.schema.names, name])
+            for part in byte_slices(batch, place, _SLICE_BYTES):
+                columns = [part.column(i) for i in kept]
+                yield pa.RecordBatch.from_arrays([*columns, values(part.column(place))], [*names, name])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+    return df.mapInArrow(run, T.StructType([*[df.schema[i] for i in kept], T.StructField(name, kind)]))
+
+
+def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) per row: of the ids and of the text decoded from them."""
+    encoded = encode(docs.select(id_col, text_col), path, text_col, keep=[id_col])
+    n_tokens = F.expr("octet_length(ids) div 4").alias("n_tokens")
+    kept = [id_col, "n_tokens", "ids_sha256"]
+    decoded = decode(encoded.select(id_col, n_tokens, F.sha2("ids", 256).alias("ids_sha256"), "ids"), path, keep=kept)
+    return decoded.select(*kept, F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from feedmill.llm.bpe import decode, encode
+from feedmill.llm.bpe import digests
 from feedmill.llm.exact import exact_duplicates
 from feedmill.llm.fingerprints import fingerprints
 from feedmill.llm.html_text import extract
@@ -78,10 +78,7 @@ def op5_shard(spark, sf_dir):
 
 @query
 def op6_bpe(spark, sf_dir):
-    docs = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY)
-    docs = decode(docs.select("doc_id", "ids"), VOCABULARY)
-    n_tokens = F.expr("octet_length(ids) div 4").alias("n_tokens")
-    return docs.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return digests(read(spark, sf_dir, "documents"), VOCABULARY)
 
 
 @query
