@@ -7,7 +7,7 @@ Parquet and read again as the next stage's documents.
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedmill.llm.bpe import decode, encode
+from feedmill.llm.bpe import digests
 from feedmill.llm.exact import drop_duplicates
 from feedmill.llm.jaccard import drop_near_duplicates
 from feedmill.llm.language import held_out, identify, train
@@ -41,9 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: its id, the number of tokens, and the hashes of the ids and of the text decoded from them."""
-    docs = decode(encode(docs.select("doc_id", "text"), VOCABULARY).select("doc_id", "ids"), VOCABULARY)
-    n_tokens = F.expr("octet_length(ids) div 4").alias("n_tokens")
-    return docs.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return digests(docs, VOCABULARY)
 
 
 STAGES = [
