@@ -15,11 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from feedmill.llm.arrow import by_size, slices, with_columns
+from feedmill.llm.tables import bytes_of
+from feedmill.operators.limits import LIMITS
+from feedmill.operators.storage import materialised
 
 ORDER = 4
 UNDETERMINED = "und"
-# The classifier is fitted on a sample: so many documents per language, and so many more to calibrate on.
-TRAIN_DOCS, CALIBRATION_DOCS = 600, 150
+# The classifier is fitted on a sample of so many documents per language; every fifth of them calibrates it.
+SAMPLE_DOCS, CALIBRATES = 750, 5
 # N-grams kept per language, the most frequent ones.
 MAX_GRAMS = 200_000
 _PAD = "\n" * (ORDER - 1)
@@ -29,7 +32,7 @@ _FULL_LETTERS = 25
 # A text of fewer letters is never rejected for its cross-entropy, which varies too much.
 _MIN_LETTERS = 30
 # How far, in nats per letter, a text may lie beyond the worst calibration text.
-_MARGIN = 0.5
+_MARGIN = 1.0
 
 
 @lru_cache(maxsize=1)
@@ -172,9 +175,9 @@ class Model:
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """A model of the languages of ``labelled``; None without any labelled text.
 
-    Of each language the TRAIN_DOCS documents first in the order of their ids' hashes
-    are learnt whole and the next CALIBRATION_DOCS set the bound of rejection: the
-    highest cross-entropy among them.  Counting is distributed; the driver receives at
+    Of each language the SAMPLE_DOCS documents first in the order of their ids' hashes
+    are taken whole.  Four of five are learnt, the fifth helps to set the bound of rejection: the
+    highest cross-entropy among those.  Counting is distributed; the driver receives at
     most MAX_GRAMS counted n-grams per language.  Rows without id, text or language are left out.
     """
     rows = labelled.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).dropna()
@@ -182,7 +185,10 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     first = Window.partitionBy("_lang").orderBy(hashed, "_id")
     # Ranked without the texts; every task leaves out what is too far down before the shuffle.
     ranked = rows.select("_id", "_lang").distinct().withColumn("_rank", F.row_number().over(first))
-    sample = rows.join(ranked.where(F.col("_rank") <= TRAIN_DOCS + CALIBRATION_DOCS), ["_id", "_lang"])
+    ranked = materialised(ranked.where(F.col("_rank") <= SAMPLE_DOCS), "language-sample")
+    if bytes_of(ranked, 32 + F.octet_length("_lang")) <= LIMITS.broadcast_max_bytes // 8:
+        ranked = F.broadcast(ranked)
+    sample = rows.join(ranked, ["_id", "_lang"])
 
     def count(batches):
         for batch in batches:
@@ -190,6 +196,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 langs, texts = [c.to_pylist() for c in part.columns]
                 for lang in set(langs):
                     codes, ends = _codes([t for t, other in zip(texts, langs) if other == lang])
+                    if len(codes) < ORDER:
+                        continue  # a single text without letters
                     grams = np.lib.stride_tricks.sliding_window_view(codes, ORDER)
                     inside = np.ones(len(codes), bool)
                     for k in range(ORDER - 1):
@@ -200,7 +208,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                     strings = [points[i].tobytes().decode("utf-32-le") for i in range(len(points))]
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(strings), pa.array(n)], ["lang", "gram", "n"])
 
-    learnt = sample.where(F.col("_rank") <= TRAIN_DOCS).select("_lang", "_text")
+    learnt = sample.where(F.col("_rank") % CALIBRATES != 0).select("_lang", "_text")
     counted = learnt.mapInArrow(count, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     most = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     found = counted.withColumn("_r", F.row_number().over(most)).where(F.col("_r") <= MAX_GRAMS).drop("_r").toArrow().to_pandas()
@@ -225,7 +233,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                     [pa.array([langs[i] for i in own], pa.string()), pa.array(values, pa.float64())], ["lang", "value"]
                 )
 
-    calibration = sample.where(F.col("_rank") > TRAIN_DOCS).select("_lang", "_text")
+    calibration = sample.where(F.col("_rank") % CALIBRATES == 0).select("_lang", "_text")
     worst = calibration.mapInArrow(measure, "lang string, value double").groupBy("lang").agg(F.max("value").alias("value"))
     model.worst = {r["lang"]: r["value"] for r in worst.collect()}
     return model
