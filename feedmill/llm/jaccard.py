@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feedmill.llm.arrow import by_size, slices
+from feedmill.llm.arrow import bounded_batches, by_size, slices
 from feedmill.llm.components import components
 from feedmill.llm.shingles import common, mix, set_key, shingle_sets
 from feedmill.llm.tables import bytes_of, text_hash, whole
@@ -29,7 +29,9 @@ UNION_SHARE = 75
 # Common shingles are looked for in a sample of about so many documents; they only order slots.
 SAMPLE_DOCS, COMMON_IN, MOST_COMMON = 5_000, 8, 100_000
 # Rounds in which one member of a signature's group is compared with the others.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
+# Work of a candidate that turns out not to be similar, in signatures.
+FOR_NOTHING = 20
 # Sets in groups of a signature with more members are compared by finer ones.
 LARGE_GROUP = 32
 _SMALLEST_BAND = 3  # sets of fewer than 2^3 shingles share the first band
@@ -66,9 +68,9 @@ class Allocation:
 def allocation(scheme: int) -> Allocation:
     """The cheapest way, by a model of its cost, that bears enough differences.
 
-    The cost of a set is its signatures, each weighed by the chance that its slot
-    holds nothing but shingles of a passage that makes up a fifth of the text, for such signatures
-    bring candidates for nothing.  Slot sizes are Poisson distributed; a way counts
+    The cost of a set is its signatures, and for each the chance that its slot
+    holds nothing but shingles of a passage that makes up a fifth of the text: such a signature
+    brings candidates for nothing, which cost as much as FOR_NOTHING signatures.  Slot sizes are Poisson distributed; a way counts
     only if it bears enough with five deviations to spare at every size of the band.
     """
     low, high = 1 << scheme, (1 << scheme + 1) - 1
@@ -86,7 +88,7 @@ def allocation(scheme: int) -> Allocation:
                 enough &= bears - 5 * spread >= borne(size, scheme)
                 rows = (segments - deleting) * some + deleting * (some + mean - single)
                 noise = (np.exp(-0.8 * mean) - np.exp(-mean)) / some
-                cost += rows / bears * (1 + 3 * noise)
+                cost += rows / bears * (1 + FOR_NOTHING * noise)
             if enough and cost < lowest:
                 best, lowest = Allocation(segments, deleting), cost
     return best
@@ -397,7 +399,7 @@ def _linked(postings: DataFrame, rows: DataFrame, sketches: DataFrame) -> DataFr
     small = postings.where(F.col("members") <= LARGE_GROUP)
     small = small.withColumns({"rare": F.lit(None).cast("int"), "c_rare": F.lit(None).cast("int")})
     fine = materialised(_refined(postings, rows).withColumn("component", F.col("node")), "jaccard-fine")
-    members, checked, links, found = fine, None, None, None
+    members, checked, found = fine, None, None
     for turn in range(STAR_ROUNDS + 1):
         if turn < STAR_ROUNDS:
             # The nearest to all others has the smallest share of rare shingles.
@@ -414,8 +416,10 @@ def _linked(postings: DataFrame, rows: DataFrame, sketches: DataFrame) -> DataFr
         if not pairs.isEmpty():
             more = _verified(pairs, rows, sketches)
             checked = pairs if checked is None else checked.unionByName(pairs)
-            links = more if links is None else links.unionByName(more)
-            found = materialised(components(links), "jaccard-components")
+            if found is None or not more.isEmpty():
+                # Components so far are links as well, and fewer than those they came from.
+                links = more if found is None else more.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+                found = materialised(components(links), "jaccard-components")
         if turn == STAR_ROUNDS or found is None:
             break
         left = joined.where("node <> c_node").select("sig", "node", "n", "rare")
@@ -445,6 +449,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cost one aggregation.  Signatures are narrow rows; groups are streamed and give
     stars, not all their pairs.  Texts move only for candidates.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("_id"), text_hash(whole(text_col), 3).alias("_th"), whole(text_col).alias("_text")
     )
@@ -461,7 +466,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     fine = frozenset(r[0] for r in sets.select(F.explode("short")).distinct().collect())
     signed = _signed(leaders, fine, _common_shingles(rows, sets.count()))
     sketches = sets.where("n > 0").select(F.col("_id").alias("node"), "n", "sketch")
-    found = _linked(materialised(_shared_signatures(signed), "jaccard-postings"), leaders, sketches)
+    postings = materialised(_shared_signatures(signed), "jaccard-postings")
+    found = _linked(postings, leaders, sketches)
 
     placed = sets.join(classes, ["k1", "k2"], "left").withColumn("node", F.coalesce("_first._id", "_id")).join(found, "node", "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "node")).otherwise(F.col("_id"))
