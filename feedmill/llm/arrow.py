@@ -1,10 +1,20 @@
 """Columns computed in Python from one column, in bounded slices of Arrow batches."""
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 ROWS = 2_000  # rows held as Python objects at a time
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Documents are long rows: unless the session says otherwise, a batch has a quarter of Spark's usual rows.
+
+    Workers and executors hold whole batches outside the heap.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "2500")
 
 
 def slices(batch: pa.RecordBatch, rows: int = ROWS):
@@ -16,6 +26,7 @@ def with_columns(df: DataFrame, source: str, new: dict[str, T.DataType], values,
 
     ``values`` maps the list of ``source`` values of a slice to one list per new column.
     """
+    bounded_batches(df.sparkSession)
     place = df.columns.index(source)
     names, types = list(new), [to_arrow_type(t) for t in new.values()]
 

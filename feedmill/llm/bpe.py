@@ -15,13 +15,14 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from feedmill.llm.arrow import bounded_batches
 from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out, packed_array
 
 # The word pattern of the byte-level vocabulary.
 _SPACE = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{White_Space}})|{_SPACE}+"
 # What a worker remembers; beyond it, the same answers are found again.
-_KNOWN_PAIRS, _KNOWN_PIECES = 200_000, 200_000
+_KNOWN_PAIRS, _KNOWN_PIECES = 150_000, 150_000
 _SLICE_BYTES = SLICE_BYTES // 2
 
 
@@ -126,6 +127,12 @@ class ByteBpe:
         tokens = {(t,): self.packed[i] for t, i in self.added.items()}
         return [b"".join([tokens[f] if i % 2 else b"".join([encoded[w] for w in f]) for i, f in enumerate(ws)]) for ws in words]
 
+    def forget(self) -> None:
+        """Give back what was remembered: a worker that is reused for other work keeps no words."""
+        self.pairs.clear()
+        self.encoder.known.clear()
+        pa.default_memory_pool().release_unused()
+
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(UTF-8 bytes of all texts behind one another, number of bytes of each)."""
         sizes = self.sizes[ids]
@@ -147,13 +154,30 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids"
     tokens added; a special token's own text is encoded as that token.  A null or
     empty text has no ids.  ``path`` must be readable by every executor; ``name``
     must not be a column of ``docs`` yet.  Rows are encoded where they are read, in
-    slices of bounded size; words are remembered between them up to a fixed number.
+    slices of bounded size; within a task words are remembered up to a fixed number.
     """
 
     def values(texts):
-        return packed_array(*vocabulary(path).encoder.encode(texts))
+        return [packed_array(*vocabulary(path).encoder.encode(texts))]
+
+    return _with_arrays(docs, path, text_col, {name: T.BinaryType()}, values, keep)
 
-    return _with_array(docs, text_col, name, T.BinaryType(), values, keep)
+
+def _texts(path: str, ids: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The text of each run of ``n`` ids."""
+    data, sizes = vocabulary(path).decode(ids, n)
+    ends = np.cumsum(sizes)
+    first = data[(ends - sizes)[sizes > 0]]
+    raw = data.tobytes()
+    try:
+        raw.decode()
+        valid = not ((first >= 0x80) & (first < 0xC0)).any()
+    except UnicodeDecodeError:
+        valid = False
+    if not valid:
+        return pa.array([raw[e - s : e].decode("utf-8", "replace") for e, s in zip(ends, sizes)], pa.string())
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.string(), len(n), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
 
 
 def decode(docs: DataFrame, path: str, ids_col: str = "ids", name: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -165,42 +189,40 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", name: str = "decode
     def values(lists):
         lists = pc.fill_null(lists, b"")
         n = pc.binary_length(lists).to_numpy(zero_copy_only=False).astype(np.int64) >> 2
-        ids = np.frombuffer(b"".join(lists.to_pylist()), "<u4")
-        data, sizes = vocabulary(path).decode(ids, n)
-        ends = np.cumsum(sizes)
-        first = data[(ends - sizes)[sizes > 0]]
-        raw = data.tobytes()
-        try:
-            raw.decode()
-            valid = not ((first >= 0x80) & (first < 0xC0)).any()
-        except UnicodeDecodeError:
-            valid = False
-        if not valid:
-            return pa.array([raw[e - s : e].decode("utf-8", "replace") for e, s in zip(ends, sizes)], pa.string())
-        offsets = np.concatenate([[0], ends]).astype(np.int32)
-        return pa.Array.from_buffers(pa.string(), len(n), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
-
-    return _with_array(docs, ids_col, name, T.StringType(), values, keep)
-
-
-def _with_array(df: DataFrame, source: str, name: str, kind: T.DataType, values, keep: list[str] | None) -> DataFrame:
-    """``keep`` and ``name``: ``values`` maps the array of ``source`` in a slice of bounded bytes."""
+        return [_texts(path, np.frombuffer(b"".join(lists.to_pylist()), "<u4"), n)]
+
+    return _with_arrays(docs, path, ids_col, {name: T.StringType()}, values, keep)
+
+
+def _with_arrays(df: DataFrame, path: str, source: str, new: dict[str, T.DataType], values, keep: list[str] | None) -> DataFrame:
+    """``keep`` and the columns ``new``: ``values`` maps the array of ``source`` in a slice of bounded bytes.
+
+    Words are remembered within a task.
+    """
+    bounded_batches(df.sparkSession)
     kept = [i for i, c in enumerate(df.columns) if keep is None or c in keep]
-    place, names = df.columns.index(source), [df.columns[i] for i in kept]
+    place, names = df.columns.index(source), [*[df.columns[i] for i in kept], *new]
 
     def run(batches):
         for batch in batches:
             for part in byte_slices(batch, place, _SLICE_BYTES):
-                columns = [part.column(i) for i in kept]
-                yield pa.RecordBatch.from_arrays([*columns, values(part.column(place))], [*names, name])
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *values(part.column(place))], names)
+        vocabulary(path).forget()
 
-    return df.mapInArrow(run, T.StructType([*[df.schema[i] for i in kept], T.StructField(name, kind)]))
+    return df.mapInArrow(run, T.StructType([*[df.schema[i] for i in kept], *[T.StructField(n, t) for n, t in new.items()]]))
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) per row: of the ids and of the text decoded from them."""
-    encoded = encode(docs.select(id_col, text_col), path, text_col, keep=[id_col])
+    """(id, n_tokens, ids_sha256, decoded_sha256) per row: of the ids and of the text decoded from them.
+
+    Both ways are gone in one pass, so that a task has one Python worker.
+    """
+
+    def values(texts):
+        ids, n = vocabulary(path).encoder.encode(texts)
+        return [packed_array(ids, n), _texts(path, ids, n)]
+
+    new = {"ids": T.BinaryType(), "decoded": T.StringType()}
+    both = _with_arrays(docs.select(id_col, text_col), path, text_col, new, values, [id_col])
     n_tokens = F.expr("octet_length(ids) div 4").alias("n_tokens")
-    kept = [id_col, "n_tokens", "ids_sha256"]
-    decoded = decode(encoded.select(id_col, n_tokens, F.sha2("ids", 256).alias("ids_sha256"), "ids"), path, keep=kept)
-    return decoded.select(*kept, F.sha2("decoded", 256).alias("decoded_sha256"))
+    return both.select(id_col, n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

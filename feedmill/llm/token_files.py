@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from feedmill.llm import simple8b
+from feedmill.llm.arrow import bounded_batches
 from feedmill.llm.pieces import PieceEncoder, byte_slices
 from feedmill.llm.tables import text_hash, whole
 from feedmill.operators.storage import scratch_path
@@ -56,6 +57,7 @@ def write_token_files(
     the order of their texts' hashes).  A null or empty text has the end id only.
     An empty table writes files without chunks.  Other columns are not looked at.
     """
+    bounded_batches(docs.sparkSession)
     order = [F.col("_id"), text_hash(F.col("_text"), 1)]
     rows = docs.select(F.col(id_col).cast("bigint").alias("_id"), whole(text_col).alias("_text"))
     rows = rows.repartitionByRange("_id").sortWithinPartitions(*order)
