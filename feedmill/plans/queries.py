@@ -56,20 +56,29 @@ def _joined(column):
 # --- scans, sources, sinks -------------------------------------------------
 
 
-def _layout(spark, sf, splits=(), history=True):
+def _layout(spark, sf, splits=(), history=True, impressions=True):
     """The tables in the layout of the click logs, written to the shared folder.
 
-    Each split has its impressions (``None``: those of all times) and the histories.
+    Each split has its impressions (``None``: those of all times) and the histories.  Where
+    an impression is too large for one record, the impressions are written as pages.
     """
     root = scratch_path(spark, "click-log")
     past = _written(D.histories(spark, sf), f"{root}/histories") if history else None
+    largest = D.largest_impression(spark, sf) if impressions else None
     for split in splits:
-        D.behaviors(spark, sf, split).write.parquet(f"{root}/{split or 'train'}/behaviors.parquet")
+        if impressions:
+            shown = (D.behaviors if fits_a_list(largest) else D.pages)(spark, sf, split, largest)
+            shown.write.parquet(f"{root}/{split or 'train'}/behaviors.parquet")
         if history:
             past.write.parquet(f"{root}/{split or 'train'}/history.parquet")
     return root
 
 
+def _first_pos(records):
+    """The column with the position of a page's first element; None for whole records."""
+    return "first_pos" if "first_pos" in records.columns else None
+
+
 def _written(df, path):
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -77,7 +86,7 @@ def _written(df, path):
 
 @query
 def scan_history(spark, sf):
-    records = ST.scan_history(spark, f"{_layout(spark, sf, [None])}/train")
+    records = ST.scan_history(spark, f"{_layout(spark, sf, [None], impressions=False)}/train")
     rows = L.explode_rows(records, [USER], S.HISTORY, "i", ART)
     return rows.select(USER, (F.col("i") + 1).cast("bigint").alias("hist_pos"), ART)
 
@@ -94,7 +103,7 @@ def _time_text(df):
 @query
 def scan_behaviors(spark, sf):
     shown = ST.scan_behaviors(spark, f"{_layout(spark, sf, [None], history=False)}/train")
-    return _time_text(I.candidate_rows(shown, [ID, USER, S.IMPRESSION_TIME]))
+    return _time_text(I.candidate_rows(shown, [ID, USER, S.IMPRESSION_TIME], first_pos=_first_pos(shown)))
 
 
 @query
@@ -116,8 +125,9 @@ def split_counts(spark, sf):
     for split in ST.SPLITS:
         shown, _ = ST.read_split(spark, root, split)
         clicks = F.coalesce(F.size(S.CLICKED), F.lit(0))
+        is_first = F.col("page") == 0 if "page" in shown.columns else F.lit(True)
         row = shown.agg(
-            F.count(F.lit(1)).alias("impressions"),
+            F.count_if(is_first).alias("impressions"),
             F.sum(F.size(S.INVIEW)).alias("candidates"),
             F.sum(F.when(F.col(S.CLICKED).isNotNull(), clicks).otherwise(0)).alias("clicks"),
         ).select(F.lit(split).alias("split"), "*")
@@ -805,7 +815,7 @@ def _indexed(rows, spark, sf, key):
     for column in (S.INVIEW, S.HISTORY):
         rows = I.map_ids(rows, column, index, key, fill_nulls=0)
     rows = rows.withColumn("history", _joined(S.HISTORY))
-    return I.candidate_rows(rows, [*key, "history"]).withColumnRenamed(ART, "article_index")
+    return I.candidate_rows(rows, [*key, "history"], first_pos=_first_pos(rows)).withColumnRenamed(ART, "article_index")
 
 
 @query
@@ -821,7 +831,8 @@ def validation_rows(spark, sf):
     """A seeded fifth of the validation impressions, read from the split layout."""
     shown, past = ST.read_split(spark, _layout(spark, sf, ["validation"]), "validation")
     kept = materialised(P.labelled_impressions(shown, past, HISTORY_SIZE, FRACTION, SEED, A.UNKNOWN_KEY), "labelled")
-    return _indexed(kept, spark, sf, [ID])
+    key = [ID, "page"] if "page" in kept.columns else [ID]
+    return _indexed(kept, spark, sf, key).drop("page")
 
 
 def _click_features(spark, sf):

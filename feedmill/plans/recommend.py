@@ -5,9 +5,11 @@ from pyspark.sql import DataFrame, functions as F
 from feedmill import schema as S
 from feedmill.functions.lists import rank_by_score
 from feedmill.operators import attention as A
+from feedmill.operators import candidates as C
 from feedmill.operators import encoding as E
 from feedmill.operators import impressions as I
 from feedmill.operators import rows as R
+from feedmill.operators.skew import largest_group, lookup_join
 from feedmill.operators.storage import materialised
 
 
@@ -35,18 +37,43 @@ def training_lists(
     """Shuffled lists of one click and ``npratio`` unclicked ids, with labels and history.
 
     Lists are drawn before the history is joined, so that the sample fraction
-    already applies to the rows that are joined.
+    already applies to the rows that are joined.  Paged impressions are drawn from
+    as rows, which gives the same lists.
     """
-    lists = behaviors.select(S.USER_ID, S.INVIEW, S.CLICKED, S.IMPRESSION_ID).transform(
-        I.sample_negatives, npratio=npratio, shuffle=True, with_replacement=True, seed=seed
-    )
-    lists = lists.transform(I.add_labels)
+    if "page" in behaviors.columns:
+        lists = _lists_from_pages(behaviors, npratio, seed)
+    else:
+        lists = behaviors.select(S.USER_ID, S.INVIEW, S.CLICKED, S.IMPRESSION_ID).transform(
+            I.sample_negatives, npratio=npratio, shuffle=True, with_replacement=True, seed=seed
+        )
+        lists = lists.transform(I.add_labels)
     if fraction < 1.0:
         lists = R.sample_exact(lists, fraction, [S.IMPRESSION_ID, "click_pos"], seed)
     joined = impressions_with_history(lists, history, history_size, padding_value, hot_from=behaviors)
     return joined.select(*S.TRAIN_COLUMNS, "click_pos", S.LABELS)
 
 
+def _lists_from_pages(pages: DataFrame, npratio: int, seed) -> DataFrame:
+    """The lists of :func:`training_lists` before the history: drawn from one row per candidate."""
+    shown = I.candidate_rows(pages.transform(I.add_labels), [S.IMPRESSION_ID], first_pos="first_pos")
+    shown = materialised(shown.withColumnRenamed("label", "clicked"), "candidates")
+    rows = C.sample_negatives_within(
+        shown, npratio, S.IMPRESSION_ID, "pos", S.ARTICLE_ID, "clicked", shuffle=True, seed=seed,
+        largest=largest_group(shown, [S.IMPRESSION_ID]),
+    )
+    element = F.struct("slot", F.col(S.ARTICLE_ID).alias("a"), F.col("label").cast("tinyint").alias("y"))
+    lists = rows.groupBy(S.IMPRESSION_ID, "click_pos").agg(F.sort_array(F.collect_list(element)).alias("_l"))
+    users = pages.where("page = 0").select(S.IMPRESSION_ID, S.USER_ID)
+    return lookup_join(materialised(lists, "drawn-lists"), users, S.IMPRESSION_ID, "inner").select(
+        S.USER_ID,
+        F.transform("_l", lambda t: t["a"]).alias(S.INVIEW),
+        F.transform(F.filter("_l", lambda t: t["y"] == 1), lambda t: t["a"]).alias(S.CLICKED),
+        S.IMPRESSION_ID,
+        "click_pos",
+        F.transform("_l", lambda t: t["y"]).alias(S.LABELS),
+    )
+
+
 def labelled_impressions(
     behaviors: DataFrame,
     history: DataFrame,
@@ -55,12 +82,19 @@ def labelled_impressions(
     seed=R.DEFAULT_SEED,
     padding_value=0,
 ) -> DataFrame:
-    """Whole impressions with labels and history, for evaluation."""
+    """Whole impressions with labels and history, for evaluation.
+
+    The pages of an impression are kept or left together, and keep ``page`` and ``first_pos``.
+    """
     kept = behaviors
-    if fraction < 1.0:
+    paging = [c for c in ("page", "first_pos") if c in behaviors.columns]
+    if fraction < 1.0 and paging:
+        ids = R.sample_exact(behaviors.where("page = 0").select(S.IMPRESSION_ID), fraction, [S.IMPRESSION_ID], seed)
+        kept = lookup_join(behaviors, materialised(ids, "kept-impressions"), S.IMPRESSION_ID, "inner")
+    elif fraction < 1.0:
         kept = R.sample_exact(kept, fraction, [S.IMPRESSION_ID], seed)
     joined = impressions_with_history(kept, history, history_size, padding_value, hot_from=behaviors)
-    return joined.select(*S.TRAIN_COLUMNS).transform(I.add_labels)
+    return joined.select(*S.TRAIN_COLUMNS, *paging).transform(I.add_labels)
 
 
 def encoded_articles(
