@@ -1,20 +1,22 @@
-"""Shards of even size with few cut links, by balanced label propagation.
+"""Shards of even size with few cut links.
 
 Documents of one group (equal texts) are linked.  Every document starts in the
-shard its id hashes to.  In each round, the rows of a group that share a shard (a
-block) move to the shard where most of the group is, as far as that shard's quota
-allows.  Then rows without links fill every shard up to exactly even counts.
+shard its id hashes to, and a group goes whole to one shard, the one where most of
+it starts as far as room allows.  Large groups are packed one by one, the many small
+ones are laid along the room that is left.  Then rows without links fill every
+shard up to exactly even counts.
 """
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from feedmill.llm.tables import text_hash, whole
-from feedmill.operators.ordering import ranged
+from feedmill.operators.ordering import number_within, ranged, running_sum
 from feedmill.operators.storage import materialised
 
 N_SHARDS = 8
-MAX_ROUNDS = 8
-_PLACES = 1 << 20
+# Groups above one such share of the rows are packed one by one: fewer than this many.
+PACKED = 8000
+_PIECE = "_h1 bigint, _h2 bigint, _size bigint, _from bigint, _upto bigint, _to int"
 
 
 def _pick(values: list[int], index: Column) -> Column:
@@ -22,41 +24,107 @@ def _pick(values: list[int], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v).cast("bigint") for v in values]), (index + 1).cast("int"))
 
 
-def _propagated(rows: DataFrame, key: list[str], n_shards: int, quota: list[int], rounds: int) -> DataFrame:
-    """(key, _start, _shard) of blocks that have moved away from the shard they started in.
+def _pack(groups: list[tuple], room: list[int]) -> list[tuple]:
+    """(h1, h2, size, from, upto, shard) of the pieces of ``groups``: (h1, h2, size, preferred shard).
 
-    Blocks are counted before any shuffle and a group has at most ``n_shards`` of them,
-    so a group of any size is a few rows.  A round joins the blocks with the demand
-    for each shard: while demand exceeds the room left, the groups that come first in a
-    hash order move, and a group larger than the room stays spread.
+    Largest first, each into the shard whose room it fills best.  A group larger than
+    every shard fills the emptiest ones; one that only lacks room waits until the others
+    are placed, then does the same.  ``room`` is reduced by what is placed.
     """
-    counted = rows.groupBy(*key, F.col("_shard").alias("_start")).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n").over(Window.partitionBy(*key)).alias("_all")
-    blocks = counted.select("*", total).where("_all > 1").withColumn("_shard", F.col("_start"))
-    blocks = materialised(blocks, "shard-blocks")
-    for _ in range(rounds):
-        loads = {r["_shard"]: r["n"] for r in blocks.groupBy("_shard").agg(F.sum("_n").alias("n")).collect()}
-        room = [quota[s] - loads.get(s, 0) for s in range(n_shards)]
-        held = F.sum("_n").over(Window.partitionBy(*key, "_shard"))
-        weighed = blocks.withColumn("_held", held)
-        # The neighbours' shard with most rows; ties go to a shard chosen by the group's hash.
-        tie = F.xxhash64(*key, "_shard")
-        most = F.max(F.struct("_held", tie, F.col("_shard").alias("to"))).over(Window.partitionBy(*key))
-        wanted = weighed.withColumn("_to", most["to"]).withColumn("_place", F.pmod(F.xxhash64(F.lit(7), *key), F.lit(_PLACES)))
-        moves = (F.col("_to") != F.col("_shard")) & (F.col("_all") <= _pick(room, F.col("_to")))
-        wanted = materialised(wanted.withColumn("_moves", moves).drop("_held"), "shard-wanted")
-        demand = {r["_to"]: r["n"] for r in wanted.where("_moves").groupBy("_to").agg(F.sum("_n").alias("n")).collect()}
-        if not demand:
-            break
-        admitted = [int(_PLACES * min(1.0, max(room[s], 0) / demand[s])) if s in demand else 0 for s in range(n_shards)]
-        goes = F.col("_moves") & (F.col("_place") < _pick(admitted, F.col("_to")))
-        shard = F.when(goes, F.col("_to")).otherwise(F.col("_shard"))
-        blocks = materialised(wanted.withColumn("_shard", shard).drop("_to", "_place", "_moves"), "shard-blocks")
-    return blocks.where("_shard <> _start").select(*key, "_start", "_shard")
+    shards, widest, pieces, waiting = range(len(room)), max(room), [], []
+
+    def place(group, split):
+        h1, h2, size, preferred = group
+        at = 0
+        while at < size:
+            fits = [s for s in shards if room[s] >= size - at]
+            if not fits and not split:
+                return False
+            if fits:
+                to = min(fits, key=lambda s: (room[s], s != preferred, s))
+            else:
+                to = max(shards, key=lambda s: (room[s], s == preferred, -s))
+            n = min(size - at, room[to])
+            pieces.append((h1, h2, size, at, at + n, to))
+            room[to] -= n
+            at += n
+        return True
+
+    for group in sorted(groups, key=lambda g: (-g[2], *g[:2])):
+        if not place(group, split=group[2] > widest):
+            waiting.append(group)
+    for group in waiting:
+        place(group, split=True)
+    return pieces
+
+
+def _shares(demand: list[int], room: list[int]) -> list[int]:
+    """Rows of the small groups that each shard takes: what it is asked for within its room, the rest where room is left."""
+    shares = [min(d, r) for d, r in zip(demand, room)]
+    rest = sum(demand) - sum(shares)
+    for s, r in enumerate(room):
+        more = min(rest, r - shares[s])
+        shares[s], rest = shares[s] + more, rest - more
+    return shares
+
+
+def _placed(rows: DataFrame, n: int, quota: list[int]) -> tuple[list[tuple], DataFrame]:
+    """The pieces of the groups packed one by one, and (_h1, _h2, _to) of all other groups.
+
+    Rows are counted before any shuffle, so a group of any size is a few rows.  Small groups
+    in the order of their preferred shards are cut into stretches by a running sum of their
+    sizes; a group on a border, at most one per shard, is packed with the room left at the end.
+    """
+    n_shards, key = len(quota), ["_h1", "_h2"]
+    counted = rows.groupBy(*key, "_shard").agg(F.count(F.lit(1)).alias("_n"))
+    # The shard with most rows; ties go to a shard chosen by the group's hash.
+    most = F.max(F.struct("_n", F.xxhash64(*key, "_shard").alias("tie"), F.col("_shard").alias("to")))
+    groups = counted.groupBy(*key).agg(F.sum("_n").alias("_size"), most["to"].alias("_prefers")).where("_size > 1")
+    groups = materialised(groups, "shard-groups")
+    large = F.col("_size") > n // PACKED
+    room = list(quota)
+    pieces = _pack([tuple(r) for r in groups.where(large).select(*key, "_size", "_prefers").collect()], room)
+    small = groups.where(~large)
+    asked = {r["_prefers"]: r["n"] for r in small.groupBy("_prefers").agg(F.sum("_size").alias("n")).collect()}
+    if not asked:
+        return pieces, small.select(*key, F.col("_prefers").alias("_to"))
+    shares = _shares([asked.get(s, 0) for s in range(n_shards)], room)
+    ends = [sum(shares[: s + 1]) for s in range(n_shards)]
+    laid = running_sum(small, ["_prefers", *key], "_size", "_at")
+    to = sum(((F.col("_at") >= end).cast("int") for end in ends[:-1]), F.lit(0))
+    laid = laid.withColumn("_to", to).withColumn("_border", F.col("_at") + F.col("_size") > _pick(ends, F.col("_to")))
+    laid = materialised(laid, "shard-small-groups")
+    for r in laid.where(~F.col("_border")).groupBy("_to").agg(F.sum("_size").alias("n")).collect():
+        room[r["_to"]] -= r["n"]
+    pieces += _pack([tuple(r) for r in laid.where("_border").select(*key, "_size", "_prefers").collect()], room)
+    return pieces, laid.where(~F.col("_border")).select(*key, "_to")
+
+
+def _assigned(rows: DataFrame, pieces: list[tuple], small: DataFrame) -> DataFrame:
+    """``rows`` with the shard of their group and ``_free``: whether they have no link.
+
+    Groups packed one by one are joined by broadcast, so no task receives a large one whole; rows
+    of a group in several pieces are numbered over many tasks.
+    """
+    key, columns = ["_h1", "_h2"], rows.columns
+    spark = rows.sparkSession
+    packed = spark.createDataFrame(pieces, _PIECE)
+    whole_groups = F.broadcast(packed.where("_upto - _from = _size").select(*key, "_to"))
+    cut = [p for p in pieces if p[4] - p[3] < p[2]]
+    linked = rows.join(whole_groups, key)
+    if cut:
+        split = F.broadcast(packed.where("_upto - _from < _size").withColumnsRenamed({"_h1": "_g1", "_h2": "_g2"}).drop("_size"))
+        cut_keys = F.broadcast(spark.createDataFrame(sorted({p[:2] for p in cut}), "_h1 bigint, _h2 bigint"))
+        numbered = number_within(rows.join(cut_keys, key, "left_semi"), key, [F.col("_id")], "_k", 0, max(p[2] for p in cut))
+        inside = (F.col("_h1") == F.col("_g1")) & (F.col("_h2") == F.col("_g2")) & (F.col("_k") >= F.col("_from")) & (F.col("_k") < F.col("_upto"))
+        linked = linked.unionByName(numbered.join(split, inside).drop("_g1", "_g2", "_k", "_from", "_upto"))
+    others = rows.join(F.broadcast(packed.select(*key).distinct()), key, "left_anti").join(small, key, "left")
+    every = linked.unionByName(others).withColumn("_free", F.col("_to").isNull())
+    return every.withColumn("_shard", F.coalesce("_to", "_shard")).select(*columns, "_free")
 
 
 def shard_rows(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_shards: int = N_SHARDS, rounds: int = MAX_ROUNDS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_shards: int = N_SHARDS
 ) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``.
 
@@ -64,12 +132,13 @@ def shard_rows(
     bytes in UTF-8 (null: none) plus 1, ``text_crc32`` that of the text (null: of an
     empty one), ``slot`` numbers a shard's rows from 0 without gaps, linked rows
     first.  Rows of equal texts are linked (null counts as empty) and share a shard
-    where the quotas allow; a group larger than a shard's quota stays spread.  Null
+    while a shard has room for the whole group; a group larger than a shard's quota fills
+    as few shards as it needs.  Null
     ids and repeated rows are rows like others.  An empty table gives an empty table; extra
     columns are not looked at.
 
     Only narrow rows are shuffled, and they are numbered across many tasks.  The
-    driver sees one number per shard.
+    driver sees one number per shard and the fewer than PACKED largest groups.
     """
     text = whole(text_col)
     key = ["_h1", "_h2"]
@@ -81,14 +150,11 @@ def shard_rows(
     rows = materialised(rows, "shard-rows")
     n = rows.count()
     quota = [n // n_shards + (s < n % n_shards) for s in range(n_shards)]
-    moved = _propagated(rows, key, n_shards, quota, rounds)
-    linked = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_all")).where("_all > 1").select(*key, F.lit(True).alias("_linked"))
-    rows = rows.withColumnRenamed("_shard", "_start").join(moved, [*key, "_start"], "left").join(linked, key, "left")
-    rows = rows.withColumn("_shard", F.coalesce("_shard", "_start")).withColumn("_free", F.col("_linked").isNull())
+    rows = _assigned(rows, *_placed(rows, n, quota))
 
     # Rows in the order (shard, linked first, group, id); what lies beyond a shard's quota
     # fills the free slots of the others.
-    laid_out = ranged(rows.drop("_start", "_linked"), ["_shard", "_free", *key, "_id"])
+    laid_out = ranged(rows, ["_shard", "_free", *key, "_id"])
     counts = laid_out.groupBy("_part", "_shard").agg(F.count(F.lit(1)).alias("_here"), F.min("_row").alias("_first"))
     counts = materialised(counts, "shard-counts")
     sizes = {r["_shard"]: r["n"] for r in counts.groupBy("_shard").agg(F.sum("_here").alias("n")).collect()}
