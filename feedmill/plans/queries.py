@@ -60,10 +60,13 @@ def _layout(spark, sf, splits=(), history=True, impressions=True):
     """The tables in the layout of the click logs, written to the shared folder.
 
     Each split has its impressions (``None``: those of all times) and the histories.  Where
-    an impression is too large for one record, the impressions are written as pages.
+    one is too large for one record, the impressions or the histories are written as pages.
     """
     root = scratch_path(spark, "click-log")
-    past = _written(D.histories(spark, sf), f"{root}/histories") if history else None
+    if history:
+        clicks = D.largest_history(spark, sf)
+        records = (D.histories if fits_a_list(clicks) else D.history_pages)(spark, sf, clicks)
+        past = _written(records, f"{root}/histories")
     largest = D.largest_impression(spark, sf) if impressions else None
     for split in splits:
         if impressions:
@@ -87,8 +90,10 @@ def _written(df, path):
 @query
 def scan_history(spark, sf):
     records = ST.scan_history(spark, f"{_layout(spark, sf, [None], impressions=False)}/train")
-    rows = L.explode_rows(records, [USER], S.HISTORY, "i", ART)
-    return rows.select(USER, (F.col("i") + 1).cast("bigint").alias("hist_pos"), ART)
+    first = _first_pos(records)
+    rows = L.explode_rows(records, [USER, *([first] if first else [])], S.HISTORY, "i", ART)
+    at = F.col("i") + (F.col(first) if first else 1)
+    return rows.select(USER, at.cast("bigint").alias("hist_pos"), ART)
 
 
 @query
@@ -257,7 +262,11 @@ def shuffle_rows(spark, sf):
 
 @query
 def behaviors_with_history(spark, sf):
-    past = materialised(D.histories(spark, sf), "histories")
+    clicks = D.largest_history(spark, sf)
+    if not fits_a_list(clicks):
+        texts = D.history_texts(D.history_rows(spark, sf, clicks), ART, "history")
+        return I.join_history(D.impression_times(spark, sf, "train"), materialised(texts, "history-texts")).select(ID, USER, "history")
+    past = materialised(D.histories(spark, sf, clicks), "histories")
     joined = I.join_history(D.impression_times(spark, sf, "train"), past)
     return joined.select(ID, USER, _joined(S.HISTORY).alias("history"))
 
@@ -397,18 +406,36 @@ def shuffle_list(spark, sf):
     return C.shuffle_within(rows, ID, "pos", "shuffled_pos", SEED, largest).select(ID, "shuffled_pos", ART)
 
 
-def _histories(spark, sf):
+def _customers(spark, sf):
+    return D.table(spark, sf, "customer").select(F.col("c_custkey").alias(USER))
+
+
+def _histories(spark, sf, largest):
     """Every customer with all clicks; null without any."""
-    users = D.table(spark, sf, "customer").select(F.col("c_custkey").alias(USER))
-    return I.join_history(users, materialised(D.histories(spark, sf), "histories"))
+    return I.join_history(_customers(spark, sf), materialised(D.histories(spark, sf, largest), "histories"))
 
 
 def _article_labels(spark, sf):
     return D.embeddings(spark, sf).select(F.col("vec_id").alias("key"), F.col("label").alias("value"))
 
 
+def _mapped_rows(spark, sf, largest, drop_nulls=False, fill_nulls=None):
+    """Labels of histories as text, mapped row by row; a customer without clicks counts as one unknown id."""
+    labels = _article_labels(spark, sf).withColumnRenamed("key", ART)
+    found = R.lookup_join(D.history_rows(spark, sf, largest), labels, ART, "inner" if drop_nulls else "left")
+    unknown = F.lit(None if drop_nulls else "null" if fill_nulls is None else str(fill_nulls))
+    if fill_nulls is not None:
+        found = found.fillna(fill_nulls, ["value"])
+    texts = materialised(D.history_texts(found, "value", "labels"), "label-texts")
+    joined = I.join_history(_customers(spark, sf), texts)
+    return joined.select(USER, F.coalesce("labels", unknown).alias("labels"))
+
+
 def _mapped(spark, sf, **how):
-    mapped = I.map_ids(_histories(spark, sf), S.HISTORY, _article_labels(spark, sf), [USER], **how)
+    largest = D.largest_history(spark, sf)
+    if not fits_a_list(largest):
+        return _mapped_rows(spark, sf, largest, **how)
+    mapped = I.map_ids(_histories(spark, sf, largest), S.HISTORY, _article_labels(spark, sf), [USER], **how)
     return mapped.select(USER, _joined(S.HISTORY).alias("labels"))
 
 

@@ -3,12 +3,14 @@
 from pyspark.sql import DataFrame, functions as F
 
 from feedmill import schema as S
+from feedmill.functions import lists as L
 from feedmill.functions.lists import rank_by_score
 from feedmill.operators import attention as A
 from feedmill.operators import candidates as C
 from feedmill.operators import encoding as E
 from feedmill.operators import impressions as I
 from feedmill.operators import rows as R
+from feedmill.operators.ordering import first_within
 from feedmill.operators.skew import largest_group, lookup_join
 from feedmill.operators.storage import materialised
 
@@ -21,10 +23,22 @@ def impressions_with_history(
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Impressions beside the newest ``history_size`` clicks of their user, padded on the left."""
+    if "first_pos" in history.columns:
+        history = _newest(history, history_size)
     recent = I.truncate_history(history.select(S.USER_ID, S.HISTORY), S.HISTORY, history_size, padding_value)
     return I.join_history(behaviors, recent, hot_from=hot_from)
 
 
+def _newest(pages: DataFrame, n: int) -> DataFrame:
+    """History records of the newest ``n`` clicks from paged histories; a page gives no more than ``n`` rows."""
+    last = F.slice(F.reverse(S.HISTORY), 1, n)
+    end = F.col("first_pos") + F.size(S.HISTORY)
+    rows = L.explode_rows(pages.withColumn("_end", end), [S.USER_ID, "_end"], last, "_i", S.ARTICLE_ID)
+    newest = first_within(rows, [S.USER_ID], [F.desc("_end"), F.col("_i")], n, "_r")
+    listed = F.reverse(F.sort_array(F.collect_list(F.struct("_r", S.ARTICLE_ID)))).alias("_l")
+    return newest.groupBy(S.USER_ID).agg(listed).select(S.USER_ID, F.transform("_l", lambda t: t[S.ARTICLE_ID]).alias(S.HISTORY))
+
+
 def training_lists(
     behaviors: DataFrame,
     history: DataFrame,

@@ -149,8 +149,21 @@ def behaviors(spark, sf_dir, split=None, largest: int | None = None) -> DataFram
     return pages(spark, sf_dir, split, largest).drop("page", "first_pos")
 
 
-def histories(spark, sf_dir) -> DataFrame:
-    """History records with all clicks of a user, oldest first."""
+def largest_history(spark, sf_dir) -> int:
+    """Checked bound on the clicks of one user: the lines of the history period, which need two narrow columns."""
+    return largest_group(id_pairs(spark, sf_dir, "history"), [S.USER_ID])
+
+
+def histories(spark, sf_dir, largest: int | None = None) -> DataFrame:
+    """History records with all clicks of a user, oldest first.
+
+    If some user may have too many clicks for a record this is an error; :func:`history_pages`
+    and :func:`history_rows` have no such limit.
+    """
+    if largest is None:
+        largest = largest_history(spark, sf_dir)
+    if not fits_a_list(largest):
+        raise ValueError(f"a user has up to {largest} clicks, too many for one record: use history_pages() or history_rows()")
     listed = F.sort_array(F.collect_list(F.struct(*_HISTORY_ORDER))).alias("_l")
     records = history_clicks(spark, sf_dir).groupBy(S.USER_ID).agg(listed)
     return records.select(S.USER_ID, F.transform("_l", lambda t: t[S.ARTICLE_ID]).alias(S.HISTORY))
@@ -198,17 +211,46 @@ def history_clicks(spark, sf_dir) -> DataFrame:
     return items(spark, sf_dir, "history").where("clicked = 1").select(S.USER_ID, *_HISTORY_ORDER)
 
 
-def history_rows(spark, sf_dir) -> DataFrame:
+def history_rows(spark, sf_dir, largest: int | None = None) -> DataFrame:
     """(user_id, hist_pos, article_id), oldest click first."""
+    if largest is None:
+        largest = largest_history(spark, sf_dir)
     order = [F.col(c) for c in _HISTORY_ORDER]
     clicks = history_clicks(spark, sf_dir)
-    # A user has no more clicks than lines: the bound needs two narrow columns.
-    largest = largest_group(id_pairs(spark, sf_dir, "history"), [S.USER_ID])
     return number_within(clicks, [S.USER_ID], order, "hist_pos", largest=largest).select(
         S.USER_ID, "hist_pos", S.ARTICLE_ID
     )
 
 
+def history_pages(spark, sf_dir, largest: int | None = None) -> DataFrame:
+    """History records of at most LIMITS.list_max_items clicks, oldest first, with ``page`` and ``first_pos``."""
+    page_rows = LIMITS.list_max_items
+    rows = history_rows(spark, sf_dir, largest)
+    rows = rows.withColumn("page", F.floor((F.col("hist_pos") - 1) / page_rows).cast("bigint"))
+    listed = F.sort_array(F.collect_list(F.struct("hist_pos", S.ARTICLE_ID))).alias("_l")
+    return rows.groupBy(S.USER_ID, "page").agg(listed).select(
+        S.USER_ID,
+        "page",
+        (F.col("page") * page_rows + 1).alias("first_pos"),
+        F.transform("_l", lambda t: t[S.ARTICLE_ID]).alias(S.HISTORY),
+    )
+
+
+def history_texts(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """(user_id, ``name``): the values of a user's rows by ``hist_pos`` as one text.
+
+    Texts are put together from pages, so that only a finished text is ever a whole history.
+    """
+    page = F.floor((F.col("hist_pos") - 1) / LIMITS.list_max_items).alias("page")
+
+    def joined(order, text):
+        listed = F.sort_array(F.collect_list(F.struct(order, F.col(text).cast("string").alias("v"))))
+        return F.array_join(F.transform(listed, lambda t: t["v"]), ",", "null")
+
+    pages = rows.groupBy(S.USER_ID, page).agg(joined("hist_pos", value).alias("_t"))
+    return pages.groupBy(S.USER_ID).agg(joined("page", "_t").alias(name))
+
+
 def recent_history(spark, sf_dir, n: int) -> DataFrame:
     """History records of the newest ``n`` clicks per user, oldest first.
 

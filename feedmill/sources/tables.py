@@ -14,10 +14,10 @@ SPLITS = ("train", "validation", "test")
 
 
 def scan_history(spark: SparkSession, path: str) -> DataFrame:
-    """User and history list only; the other columns are never read."""
+    """User and history list, and ``first_pos`` of paged histories, only; the other columns are never read."""
     df = spark.read.parquet(f"{path}/history.parquet")
     check_columns(df, [USER_ID, HISTORY])
-    return df.select(USER_ID, HISTORY)
+    return df.select(USER_ID, HISTORY, *[c for c in df.columns if c == "first_pos"])
 
 
 def scan_behaviors(spark: SparkSession, path: str) -> DataFrame:
