@@ -31,8 +31,9 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _FULL_LETTERS = 25
 # A text of fewer letters is never rejected for its cross-entropy, which varies too much.
 _MIN_LETTERS = 30
-# How far, in nats per letter, a text may lie beyond the worst calibration text.
+# How far, in nats per letter, a text may lie beyond this quantile of the calibration texts.
 _MARGIN = 1.0
+_QUANTILE = 0.98
 
 
 @lru_cache(maxsize=1)
@@ -176,8 +177,9 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """A model of the languages of ``labelled``; None without any labelled text.
 
     Of each language the SAMPLE_DOCS documents first in the order of their ids' hashes
-    are taken whole.  Four of five are learnt, the fifth helps to set the bound of rejection: the
-    highest cross-entropy among those.  Counting is distributed; the driver receives at
+    are taken whole.  Four of five are learnt, the fifth helps to set the bound of rejection: a
+    high quantile of the cross-entropy of those that the model finds to be in their language, so that a
+    few mixed or mislabelled texts do not lift it.  Counting is distributed; the driver receives at
     most MAX_GRAMS counted n-grams per language.  Rows without id, text or language are left out.
     """
     bounded_batches(labelled.sparkSession)
@@ -228,14 +230,15 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
             for part in slices(batch, 200):
                 langs, texts = [c.to_pylist() for c in part.columns]
                 letters, entropy = shared.value.entropies(texts)
-                own = [i for i, lang in enumerate(langs) if lang in shared.value.languages and letters[i] >= _MIN_LETTERS]
+                best = entropy.argmin(axis=1)
+                own = [i for i, lang in enumerate(langs) if letters[i] >= _MIN_LETTERS and lang == shared.value.languages[best[i]]]
                 values = [entropy[i, shared.value.languages.index(langs[i])] for i in own]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([langs[i] for i in own], pa.string()), pa.array(values, pa.float64())], ["lang", "value"]
                 )
 
     calibration = sample.where(F.col("_rank") % CALIBRATES == 0).select("_lang", "_text")
-    worst = calibration.mapInArrow(measure, "lang string, value double").groupBy("lang").agg(F.max("value").alias("value"))
+    worst = calibration.mapInArrow(measure, "lang string, value double").groupBy("lang").agg(F.percentile("value", _QUANTILE).alias("value"))
     model.worst = {r["lang"]: r["value"] for r in worst.collect()}
     return model
 
