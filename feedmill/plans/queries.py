@@ -125,10 +125,11 @@ def scan_articles(spark, sf):
 
 @query
 def split_counts(spark, sf):
-    root = _layout(spark, sf, ST.SPLITS)
+    """Impressions, candidates and clicks of the three splits and of the period that gives the histories."""
+    root = _layout(spark, sf, D.SPLITS, history=False)
     counts = None
-    for split in ST.SPLITS:
-        shown, _ = ST.read_split(spark, root, split)
+    for split in D.SPLITS:
+        shown = ST.scan_behaviors(spark, f"{root}/{split}")
         clicks = F.coalesce(F.size(S.CLICKED), F.lit(0))
         is_first = F.col("page") == 0 if "page" in shown.columns else F.lit(True)
         row = shown.agg(
