@@ -11,8 +11,10 @@ from feedmill.llm.jaccard import near_groups
 from feedmill.llm.language import held_out, identify, train
 from feedmill.llm.lines import drop_repeated_lines
 from feedmill.llm.mixing import mix
+from feedmill.llm.negatives import hard_negatives
 from feedmill.llm.sharding import shard_rows
 from feedmill.llm.tables import read, whole
+from feedmill.llm.threshold import top_k
 from feedmill.llm.token_files import through_files
 
 QUERIES, ORACLES = {}, {}
@@ -109,3 +111,50 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op12_top_k_search(spark, sf_dir):
+    return top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
+_VECTORS = """
+vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+ORACLES["op12_top_k_search"] = f"""
+WITH {_VECTORS}, scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+) WHERE rank <= 5
+"""
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
+ORACLES["op13_hard_negatives"] = f"""
+WITH {_VECTORS}, labelled AS (
+  SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM vectors WHERE label IS NOT NULL
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM labelled a JOIN labelled c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, rank, vec_id AS negative_id, positive_score, score AS negative_score FROM (
+  SELECT p.*, s.vec_id, s.score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+) WHERE rank <= 10
+"""
