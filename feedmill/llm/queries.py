@@ -12,6 +12,7 @@ from feedmill.llm.language import held_out, identify, train
 from feedmill.llm.lines import drop_repeated_lines
 from feedmill.llm.mixing import mix
 from feedmill.llm.negatives import hard_negatives
+from feedmill.llm.phrases import collocations
 from feedmill.llm.sharding import shard_rows
 from feedmill.llm.tables import read, whole
 from feedmill.llm.threshold import top_k
@@ -113,6 +114,49 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op11_phrases(spark, sf_dir):
+    return collocations(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_phrases"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), placed AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM listed
+), f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM placed, range(1, 6) AS lengths(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND a >= 100
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS held
+  FROM candidates, range(1, 6) AS starts(i), range(2, 5) AS sizes(m) WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+), left_over AS (
+  SELECT c.* FROM candidates c LEFT JOIN inside h USING (lang, phrase) WHERE h.held IS NULL OR 100 * h.held < 100 * c.a
+), cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS head, array_to_string(w[j + 1:k], ' ') AS tail
+  FROM left_over, range(1, 5) AS cut(j) WHERE j < k
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.j, l.a AS l, r.a AS r, n, (1000::HUGEINT * c.a * n // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.tail
+  JOIN totals t ON t.lang = c.lang
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest
+) WHERE rank <= 2000
+"""
+
+
 @query
 def op12_top_k_search(spark, sf_dir):
     return top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
