@@ -20,20 +20,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialised(df: DataFrame, name: str = "table") -> DataFrame:
-    """``df`` written once as Parquet and read back.
+def materialised(df: DataFrame, name: str = "table", codec: str | None = None) -> DataFrame:
+    """``df`` written once as Parquet (``codec``: another compression than the session's) and read back.
 
     Cuts the lineage like a checkpoint, computes ``df`` a single time, survives
     the loss of any executor, and later readers still prune columns.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write.option("compression", codec) if codec else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove_scratch(spark: SparkSession) -> bool:
-    """Delete every intermediate table of this session; results still to be computed from them are lost."""
+def _delete(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path = context._jvm.org.apache.hadoop.fs.Path(path)
     return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table made by :func:`materialised` when everything computed from it is written as well."""
+    root = scratch_root(table.sparkSession)
+    for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        if f"/{root.rsplit('/', 1)[1]}/" in path:
+            _delete(table.sparkSession, path)
+
+
+def remove_scratch(spark: SparkSession) -> bool:
+    """Delete every intermediate table of this session; results still to be computed from them are lost."""
+    return _delete(spark, scratch_root(spark))
