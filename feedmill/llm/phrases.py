@@ -18,7 +18,7 @@ from feedmill.llm.arrow import bounded_batches
 from feedmill.llm.pieces import byte_slices
 from feedmill.llm.tables import whole
 from feedmill.operators.ordering import dense_index
-from feedmill.operators.storage import materialised
+from feedmill.operators.storage import discard, materialised
 
 MOST_WORDS = 5
 SHARD = 250_000  # words or phrases that are broadcast together
@@ -214,7 +214,7 @@ def collocations(
     Rows repeat in the counts as often as in the table.  An empty table, or one without frequent
     phrases, gives an empty table; other columns are not looked at.
     """
-    found = materialised(chunks(docs, text_col, lang_col), "phrase-chunks")
+    found = materialised(chunks(docs, text_col, lang_col), "phrase-chunks", "zstd")
     counted = found.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("_w"))
     counts = materialised(
         counted.groupBy("lang", F.col("_w.words").alias("phrase")).agg(F.sum("_w.counts").alias("a")), "phrase-words"
@@ -225,7 +225,8 @@ def collocations(
         "id", "lang", "phrase", F.col("phrase").alias("last"), F.array("id").alias("words"), F.array("a").alias("heads"), F.array("a").alias("tails")
     )
     n = vocabulary.count()
-    texts = materialised(_numbered_words(found, vocabulary, n), "phrase-texts")
+    texts = materialised(_numbered_words(found, vocabulary, n), "phrase-texts", "zstd")
+    discard(found)  # all that is needed of it is written
 
     levels = []
     for length in range(2, most_words + 1):
