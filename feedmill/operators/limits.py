@@ -12,6 +12,8 @@ class Limits:
     # A join key is treated apart above this many rows and above this share of all rows.
     hot_min_rows: int = 200_000
     hot_share: float = 0.005
+    # Rows of either side of a hot key that one task of a join meets.
+    hot_cell_rows: int = 10_000
     # A lookup table within both bounds may be broadcast.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 512 * 1024 * 1024

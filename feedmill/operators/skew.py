@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from feedmill.operators.limits import LIMITS
+from feedmill.operators.storage import materialised
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -59,12 +60,88 @@ def hot_keys(df: DataFrame, key: str) -> list:
     return [t["item"] for t in found["top"] if t["count"] > floor and t["item"] is not None]
 
 
-def join_tables(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
-    """Any join type on equal columns, in one job: memory is bounded by spilling, not by slicing.
+_KINDS = {"inner": "inner", "left": "left", "leftouter": "left", "right": "right", "rightouter": "right", "full": "full",
+          "outer": "full", "fullouter": "full", "semi": "left_semi", "leftsemi": "left_semi", "anti": "left_anti", "leftanti": "left_anti"}
 
-    Use :func:`lookup_join` where the right side has one row per key.
+
+def _dealt(rows: DataFrame, keys: list[str], own: str, own_cells: str, other: str, other_cells: str) -> DataFrame:
+    """Rows dealt evenly over the cells of their own side and repeated for those of the other side.
+
+    Equal rows are dealt apart as well, by their place in the table; written first, so
+    that a task that runs again deals alike.
+    """
+    place = F.pmod(F.monotonically_increasing_id(), F.col(own_cells)).alias(own)
+    others = F.expr(f"sequence(0L, {other_cells} - 1)").alias("_others")
+    values = [c for c in rows.columns if c not in (own_cells, other_cells)]
+    written = materialised(rows.select(*values, place, others), "dealt")
+    return written.withColumn(other, F.explode("_others")).drop("_others")
+
+
+def join_tables(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """Any join of two tables on equal columns, also where a key has very many rows on both sides.
+
+    Columns come as from ``left.join(right, on, how)``.  Without a hot key (see :func:`hot_keys`) on either side it is that join.
+    Otherwise rows of hot keys are split off.  A hot key that both sides have makes a
+    grid of cells: each row is dealt to one cell of its own side and repeated for all of the other, so every pair meets
+    once and no task sees more than about LIMITS.hot_cell_rows of either side.  All these rows have a
+    partner, so an outer join has nothing to add.  Rows of a hot key that the other side lacks, and
+    rows with a null in a key, match nothing: they are kept or left out without a shuffle.
+
+    Both sides are read once to find hot keys: write an expensive one out first.  Use
+    :func:`lookup_join` where the right side has one row per key.
     """
-    return left.join(right, on, how)
+    kind = _KINDS.get(how.lower().replace("_", ""))
+    if kind is None:
+        raise ValueError(f"how must be one of {sorted(set(_KINDS.values()))}, not {how!r}")
+    on = [on] if isinstance(on, str) else list(on)
+    one_sided = kind in ("left_semi", "left_anti")
+    names = [*on, *[c for c in left.columns if c not in on], *([] if one_sided else [c for c in right.columns if c not in on])]
+
+    def own_names(df, prefix):
+        values = [c for c in df.columns if c not in on]
+        columns = [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(on)] + [F.col(f"`{c}`").alias(f"{prefix}{i}") for i, c in enumerate(values)]
+        return df.select(*columns)
+
+    l, r = own_names(left, "_l"), own_names(right, "_r")
+    keys = [f"_k{i}" for i in range(len(on))]
+    same_type = [F.col(k).cast(r.schema[k].dataType).alias(k) if l.schema[k].dataType != r.schema[k].dataType else F.col(k) for k in keys]
+    hashed, complete = F.xxhash64(*same_type), F.lit(True)
+    for k in keys:
+        complete = complete & F.col(k).isNotNull()
+    hot = sorted({h for df in (l, r) for h in hot_keys(df.where(complete).select(hashed.alias("_hash")), "_hash")})
+    if not hot:
+        return left.join(right, on, kind)
+
+    is_hot = complete & hashed.isin(hot)
+    is_cold = complete & ~hashed.isin(hot)
+    columns = [*l.columns, *([] if one_sided else [c for c in r.columns if c not in keys])]
+
+    def alone(rows, other):
+        """Rows without a partner, with nulls for the other side."""
+        nulls = {f.name: F.lit(None).cast(f.dataType) for f in other.schema if f.name not in keys and f.name in columns}
+        return rows.withColumns(nulls).select(*columns)
+
+    counted = [df.where(is_hot).groupBy(*keys).agg(F.count(F.lit(1)).alias(n)) for df, n in ((l, "_nl"), (r, "_nr"))]
+    # As many rows as there are hot keys.
+    cells = [F.expr(f"cast(ceil({n} / {LIMITS.hot_cell_rows}) as bigint)").alias(c) for n, c in (("_nl", "_cl"), ("_nr", "_cr"))]
+    both = F.broadcast(materialised(counted[0].join(counted[1], keys).select(*keys, *cells), "hot-keys"))
+    hot_l, hot_r = l.where(is_hot), r.where(is_hot)
+
+    parts = [l.where(is_cold).join(r.where(is_cold), keys, kind).select(*columns)]
+    if kind == "left_semi":
+        parts.append(hot_l.join(both, keys, "left_semi"))
+    elif kind != "left_anti":
+        grid_l = _dealt(hot_l.join(both, keys), keys, "_a", "_cl", "_b", "_cr")
+        grid_r = _dealt(hot_r.join(both, keys), keys, "_b", "_cr", "_a", "_cl")
+        parts.append(grid_l.join(grid_r, [*keys, "_a", "_b"]).select(*columns))
+    if kind in ("left", "full", "left_anti"):
+        parts += [alone(hot_l.join(both, keys, "left_anti"), r), alone(l.where(~complete), r)]
+    if kind in ("right", "full"):
+        parts += [alone(hot_r.join(both, keys, "left_anti"), l), alone(r.where(~complete), l)]
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = joined.unionByName(part.select(*columns))
+    return joined.toDF(*names)
 
 
 def lookup_join(

@@ -1,7 +1,7 @@
 """ANSI SQL giving the result of each registered query on the same tables."""
 
 from feedmill.plans.queries import (
-    ARTICLE_VOCABULARY, BATCH, DIM, EMBEDDING_DIM, FRACTION, HEAD_DIM, HEADS, HIDDEN, HISTORY_SIZE, NPRATIO,
+    ARTICLE_VOCABULARY, BATCH, DIM, EMBEDDING_DIM, FRACTION, HEAD_DIM, HEADS, HIDDEN, HISTORY_PAGE, HISTORY_SIZE, NPRATIO,
     SEED, TEXT_LENGTH, TITLE_LENGTH, VOCABULARY,
 )
 
@@ -300,10 +300,18 @@ _oracle("shuffle_rows", "times", f"""
 
 # --- joins -----------------------------------------------------------------
 
+_PAGE = f"(hist_pos - 1) // {HISTORY_PAGE}"
 _oracle("behaviors_with_history", "times hist", f"""
-    SELECT t.impression_id, t.user_id, h.history FROM ({_TRAIN_IDS}) t LEFT JOIN (
-        SELECT user_id, string_agg(article_id::VARCHAR, ',' ORDER BY hist_pos) AS history
-        FROM hist GROUP BY user_id) h ON h.user_id = t.user_id""")
+    SELECT t.impression_id, t.user_id, coalesce(h.page, 0) AS page, h.history FROM ({_TRAIN_IDS}) t LEFT JOIN (
+        SELECT user_id, {_PAGE} AS page, string_agg(article_id::VARCHAR, ',' ORDER BY hist_pos) AS history
+        FROM hist GROUP BY ALL) h ON h.user_id = t.user_id""")
+for _name, _how in (("impressions_with_clicks", "INNER"), ("clicks_with_impressions", "RIGHT"), ("impressions_and_clicks", "FULL")):
+    _oracle(_name, "times items", f"""
+        SELECT coalesce(t.user_id, h.user_id) AS user_id, coalesce(t.impression_id, 0) AS impression_id,
+               coalesce(h.clicked_in, 0) AS clicked_in, coalesce(h.article_id, 0) AS article_id
+        FROM ({_TRAIN_IDS}) t {_how} JOIN (
+            SELECT user_id, impression_id AS clicked_in, article_id FROM items
+            WHERE clicked = 1 AND {_SPLIT_WHERE['history']}) h ON h.user_id = t.user_id""")
 
 _oracle("users_full_join", "times", f"""
     SELECT coalesce(t.user_id, v.user_id) AS user_id, coalesce(n_train, 0) AS n_train,
@@ -352,10 +360,10 @@ _oracle("shuffle_list", "cand", f"""
 
 def _map_ids(element, keep="TRUE"):
     return f"""
-        SELECT c.c_custkey AS user_id,
+        SELECT c.c_custkey AS user_id, coalesce((r.hist_pos - 1) // {HISTORY_PAGE}, 0) AS page,
                string_agg({element}, ',' ORDER BY r.hist_pos) FILTER (WHERE {keep}) AS labels
         FROM customer c LEFT JOIN hist r ON r.user_id = c.c_custkey
-        LEFT JOIN embeddings e ON e.vec_id = r.article_id GROUP BY 1"""
+        LEFT JOIN embeddings e ON e.vec_id = r.article_id GROUP BY 1, 2"""
 
 
 _oracle("map_ids_fill", "hist", _map_ids("coalesce(e.label, -1)::VARCHAR"))

@@ -24,6 +24,7 @@ from feedmill.sources import tables as ST
 SEED = 123
 NPRATIO = 4
 HISTORY_SIZE = 5
+HISTORY_PAGE = 100  # clicks in a record of a whole history
 BATCH = 64
 FRACTION = 0.2
 VOCABULARY = 500
@@ -261,15 +262,41 @@ def shuffle_rows(spark, sf):
 # --- joins -----------------------------------------------------------------
 
 
+def _history_pages(spark, sf):
+    """All clicks of a user in records of at most HISTORY_PAGE, oldest first."""
+    return materialised(D.history_pages(spark, sf, page_rows=HISTORY_PAGE).select(USER, "page", S.HISTORY), "history-pages")
+
+
 @query
 def behaviors_with_history(spark, sf):
-    clicks = D.largest_history(spark, sf)
-    if not fits_a_list(clicks):
-        texts = D.history_texts(D.history_rows(spark, sf, clicks), ART, "history")
-        return I.join_history(D.impression_times(spark, sf, "train"), materialised(texts, "history-texts")).select(ID, USER, "history")
-    past = materialised(D.histories(spark, sf, clicks), "histories")
-    joined = I.join_history(D.impression_times(spark, sf, "train"), past)
-    return joined.select(ID, USER, _joined(S.HISTORY).alias("history"))
+    """Every impression beside each page of its user's history; page 0 without a text for a user without clicks."""
+    joined = join_tables(D.impression_times(spark, sf, "train").select(ID, USER), _history_pages(spark, sf), USER, "left")
+    return joined.fillna(0, ["page"]).select(ID, USER, "page", _joined(S.HISTORY).alias("history"))
+
+
+def _impressions_and_clicks(spark, sf, how):
+    """Training impressions beside all earlier clicks of the same user: many rows of a user on both sides."""
+    clicks = D.history_clicks(spark, sf).select(USER, F.col(ID).alias("clicked_in"), ART)
+    shown = D.impression_times(spark, sf, "train").select(USER, ID)
+    joined = join_tables(shown, materialised(clicks, "clicks"), USER, how)
+    return joined.select(USER, ID, "clicked_in", ART).fillna(0)  # 0: no partner
+
+
+@query
+def impressions_with_clicks(spark, sf):
+    return _impressions_and_clicks(spark, sf, "inner")
+
+
+@query
+def clicks_with_impressions(spark, sf):
+    """All clicks, also of users without an impression in the training period."""
+    return _impressions_and_clicks(spark, sf, "right")
+
+
+@query
+def impressions_and_clicks(spark, sf):
+    """All impressions and all clicks, those without a partner as well."""
+    return _impressions_and_clicks(spark, sf, "full")
 
 
 @query
@@ -279,8 +306,8 @@ def users_full_join(spark, sf):
     def per_user(split, name):
         return D.impression_times(spark, sf, split).groupBy(USER).agg(F.count(F.lit(1)).alias(name))
 
-    both = join_tables(per_user("train", "n_train"), per_user("validation", "n_validation"), USER, "full")
-    return both.fillna(0)
+    # One row per user on either side: no user can be hot here.
+    return per_user("train", "n_train").join(per_user("validation", "n_validation"), USER, "full").fillna(0)
 
 
 # --- list operators --------------------------------------------------------
@@ -411,33 +438,15 @@ def _customers(spark, sf):
     return D.table(spark, sf, "customer").select(F.col("c_custkey").alias(USER))
 
 
-def _histories(spark, sf, largest):
-    """Every customer with all clicks; null without any."""
-    return I.join_history(_customers(spark, sf), materialised(D.histories(spark, sf, largest), "histories"))
-
-
 def _article_labels(spark, sf):
     return D.embeddings(spark, sf).select(F.col("vec_id").alias("key"), F.col("label").alias("value"))
 
 
-def _mapped_rows(spark, sf, largest, drop_nulls=False, fill_nulls=None):
-    """Labels of histories as text, mapped row by row; a customer without clicks counts as one unknown id."""
-    labels = _article_labels(spark, sf).withColumnRenamed("key", ART)
-    found = R.lookup_join(D.history_rows(spark, sf, largest), labels, ART, "inner" if drop_nulls else "left")
-    unknown = F.lit(None if drop_nulls else "null" if fill_nulls is None else str(fill_nulls))
-    if fill_nulls is not None:
-        found = found.fillna(fill_nulls, ["value"])
-    texts = materialised(D.history_texts(found, "value", "labels"), "label-texts")
-    joined = I.join_history(_customers(spark, sf), texts)
-    return joined.select(USER, F.coalesce("labels", unknown).alias("labels"))
-
-
 def _mapped(spark, sf, **how):
-    largest = D.largest_history(spark, sf)
-    if not fits_a_list(largest):
-        return _mapped_rows(spark, sf, largest, **how)
-    mapped = I.map_ids(_histories(spark, sf, largest), S.HISTORY, _article_labels(spark, sf), [USER], **how)
-    return mapped.select(USER, _joined(S.HISTORY).alias("labels"))
+    """Labels of the histories of all customers, page by page; a customer without clicks counts as one unknown id."""
+    pages = join_tables(_customers(spark, sf), _history_pages(spark, sf), USER, "left").fillna(0, ["page"])
+    mapped = I.map_ids(materialised(pages, "customer-pages"), S.HISTORY, _article_labels(spark, sf), [USER, "page"], **how)
+    return mapped.select(USER, "page", _joined(S.HISTORY).alias("labels"))
 
 
 @query

@@ -222,9 +222,9 @@ def history_rows(spark, sf_dir, largest: int | None = None) -> DataFrame:
     )
 
 
-def history_pages(spark, sf_dir, largest: int | None = None) -> DataFrame:
-    """History records of at most LIMITS.list_max_items clicks, oldest first, with ``page`` and ``first_pos``."""
-    page_rows = LIMITS.list_max_items
+def history_pages(spark, sf_dir, largest: int | None = None, page_rows: int | None = None) -> DataFrame:
+    """History records of at most ``page_rows`` clicks (LIMITS.list_max_items), oldest first, with ``page`` and ``first_pos``."""
+    page_rows = page_rows or LIMITS.list_max_items
     rows = history_rows(spark, sf_dir, largest)
     rows = rows.withColumn("page", F.floor((F.col("hist_pos") - 1) / page_rows).cast("bigint"))
     listed = F.sort_array(F.collect_list(F.struct("hist_pos", S.ARTICLE_ID))).alias("_l")
@@ -236,21 +236,6 @@ def history_pages(spark, sf_dir, largest: int | None = None) -> DataFrame:
     )
 
 
-def history_texts(rows: DataFrame, value: str, name: str) -> DataFrame:
-    """(user_id, ``name``): the values of a user's rows by ``hist_pos`` as one text.
-
-    Texts are put together from pages, so that only a finished text is ever a whole history.
-    """
-    page = F.floor((F.col("hist_pos") - 1) / LIMITS.list_max_items).alias("page")
-
-    def joined(order, text):
-        listed = F.sort_array(F.collect_list(F.struct(order, F.col(text).cast("string").alias("v"))))
-        return F.array_join(F.transform(listed, lambda t: t["v"]), ",", "null")
-
-    pages = rows.groupBy(S.USER_ID, page).agg(joined("hist_pos", value).alias("_t"))
-    return pages.groupBy(S.USER_ID).agg(joined("page", "_t").alias(name))
-
-
 def recent_history(spark, sf_dir, n: int) -> DataFrame:
     """History records of the newest ``n`` clicks per user, oldest first.
 

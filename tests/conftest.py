@@ -35,5 +35,6 @@ def tiny_limits(monkeypatch):
     monkeypatch.setattr(LIMITS, "list_max_items", 3)
     monkeypatch.setattr(LIMITS, "hot_min_rows", 5)
     monkeypatch.setattr(LIMITS, "hot_share", 0.002)
+    monkeypatch.setattr(LIMITS, "hot_cell_rows", 10)
     monkeypatch.setattr(LIMITS, "broadcast_max_rows", 20)
     return LIMITS

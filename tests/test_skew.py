@@ -49,7 +49,7 @@ def test_hot_keys_are_found(spark, skewed, tiny_limits):
 @pytest.mark.parametrize(
     "name",
     ["scan_history", "binary_labels", "negative_sampling_shuffled", "behaviors_with_history",
-     "map_ids_fill", "loss_batch", "embedding_lookup", "click_scores"],
+     "impressions_with_clicks", "clicks_with_impressions", "impressions_and_clicks", "map_ids_fill", "map_ids_drop", "map_ids_keep", "loss_batch", "embedding_lookup", "click_scores"],
 )
 def test_query_on_skewed_tables(spark, skewed, tiny_limits, name):
     tiny_limits.group_max_rows = tiny_limits.list_max_items = 50
