@@ -1,10 +1,13 @@
 """Columns computed in Python from one column, in bounded slices of Arrow batches."""
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 ROWS = 2_000  # rows held as Python objects at a time
+SLICE_BYTES = 4 << 20  # and about so many bytes of their texts, or one row
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -17,8 +20,19 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_ROWS, "2500")
 
 
-def slices(batch: pa.RecordBatch, rows: int = ROWS):
-    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+def slices(batch: pa.RecordBatch, rows: int = ROWS, limit: int = SLICE_BYTES):
+    """Slices of a batch of at most ``rows`` rows and about ``limit`` bytes of texts, or one row; unused memory is given back."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        held = ends[start - 1] if start else 0
+        stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, held + limit, side="right"))))
+        yield batch.slice(start, stop - start)
+        start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def with_columns(df: DataFrame, source: str, new: dict[str, T.DataType], values, rows: int = ROWS) -> DataFrame:

@@ -420,12 +420,15 @@ def _linked(postings: DataFrame, rows: DataFrame, sketches: DataFrame) -> DataFr
                 # Components so far are links as well, and fewer than those they came from.
                 links = more if found is None else more.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
                 found = materialised(components(links), "jaccard-components")
-        if turn == STAR_ROUNDS or found is None:
+        if turn == STAR_ROUNDS:
             break
         left = joined.where("node <> c_node").select("sig", "node", "n", "rare")
         if turn == 0:  # pairs are done
             left = left.unionByName(small.where("members > 2 AND node <> c_node").select("sig", "node", "n", "rare"))
-        left = left.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if found is None:  # no center had a candidate; the others still may
+            left = left.withColumn("component", F.col("node"))
+        else:
+            left = left.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
         groups = left.groupBy("sig").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
         hopeful = F.coalesce(F.col("rare") * 100 <= F.col("n") * (100 - UNION_SHARE), F.lit(True))
         left = left.join(groups.where("_lo < _hi"), "sig").where(hopeful).select("sig", *columns)
