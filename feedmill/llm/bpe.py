@@ -22,7 +22,7 @@ from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out
 _SPACE = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{White_Space}})|{_SPACE}+"
 # What a worker remembers; beyond it, the same answers are found again.
-_KNOWN_PAIRS, _KNOWN_PIECES = 150_000, 150_000
+_KNOWN_PAIRS, _KNOWN_PIECES = 150_000, 600_000
 _SLICE_BYTES = SLICE_BYTES // 2
 
 
@@ -119,19 +119,14 @@ class ByteBpe:
             encoded[word] = b"".join(ids)
         return encoded
 
-    def _encode_strings(self, strings: list[str]) -> list[bytes]:
-        """The packed ids of each string: special tokens apart, then word by word."""
+    def _encode_strings(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids behind one another, number of ids of each string): special tokens apart, then word by word."""
         parts = [self.special.split(x) if self.special else [x] for x in strings]
         words = [[self.word.findall(p) if i % 2 == 0 else (p,) for i, p in enumerate(ps)] for ps in parts]
         encoded = self.encode_words({w for ws in words for i, found in enumerate(ws) if i % 2 == 0 for w in found})
         tokens = {(t,): self.packed[i] for t, i in self.added.items()}
-        return [b"".join([tokens[f] if i % 2 else b"".join([encoded[w] for w in f]) for i, f in enumerate(ws)]) for ws in words]
-
-    def forget(self) -> None:
-        """Give back what was remembered: a worker that is reused for other work keeps no words."""
-        self.pairs.clear()
-        self.encoder.known.clear()
-        pa.default_memory_pool().release_unused()
+        ids = [b"".join([tokens[f] if i % 2 else b"".join([encoded[w] for w in f]) for i, f in enumerate(ws)]) for ws in words]
+        return np.frombuffer(b"".join(ids), "<u4"), np.array([len(i) >> 2 for i in ids], np.int64)
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(UTF-8 bytes of all texts behind one another, number of bytes of each)."""
@@ -154,7 +149,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", name: str = "ids"
     tokens added; a special token's own text is encoded as that token.  A null or
     empty text has no ids.  ``path`` must be readable by every executor; ``name``
     must not be a column of ``docs`` yet.  Rows are encoded where they are read, in
-    slices of bounded size; within a task words are remembered up to a fixed number.
+    slices of bounded size; a worker remembers words up to a fixed number.
     """
 
     def values(texts):
@@ -197,7 +192,7 @@ def decode(docs: DataFrame, path: str, ids_col: str = "ids", name: str = "decode
 def _with_arrays(df: DataFrame, path: str, source: str, new: dict[str, T.DataType], values, keep: list[str] | None) -> DataFrame:
     """``keep`` and the columns ``new``: ``values`` maps the array of ``source`` in a slice of bounded bytes.
 
-    Words are remembered within a task.
+    A worker remembers words, up to a fixed number.
     """
     bounded_batches(df.sparkSession)
     kept = [i for i, c in enumerate(df.columns) if keep is None or c in keep]
@@ -207,7 +202,7 @@ def _with_arrays(df: DataFrame, path: str, source: str, new: dict[str, T.DataTyp
         for batch in batches:
             for part in byte_slices(batch, place, _SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *values(part.column(place))], names)
-        vocabulary(path).forget()
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, T.StructType([*[df.schema[i] for i in kept], *[T.StructField(n, t) for n, t in new.items()]]))
 

@@ -39,13 +39,15 @@ def laid_out(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 
 
 class PieceEncoder:
-    """Encodes arrays of texts; ``encode_new`` gives the packed ids of a list of strings.
+    """Encodes arrays of texts; ``encode_new`` gives (ids behind one another, number of ids of each) for a list of strings.
 
-    Up to ``remembered`` pieces keep their ids between calls; those of others are found again.
+    Up to ``remembered`` pieces keep their ids between calls, as one Arrow array and one buffer of
+    ids; those of others are found again.
     """
 
     def __init__(self, encode_new, special: list[str], remembered: int):
-        self.encode_new, self.special, self.remembered, self.known = encode_new, special, remembered, {}
+        self.encode_new, self.special, self.remembered = encode_new, special, remembered
+        self.words, self.pool, self.lengths = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts behind one another, number of ids of each); null counts as empty."""
@@ -69,7 +71,7 @@ class PieceEncoder:
         firsts = np.cumsum(per_list) - per_list
         is_first[firsts] = True
         encoded = pieces.filter(pa.array(~is_first)).dictionary_encode()
-        distinct = encoded.dictionary.to_pylist()
+        distinct = encoded.dictionary
         alone = pieces.take(pa.array(firsts)).to_pylist() + texts.filter(pa.array(whole)).to_pylist()
 
         entry = np.empty(int(ends[-1]), np.int64)
@@ -78,22 +80,30 @@ class PieceEncoder:
         entry[begins[~whole]] = len(distinct) + np.arange(len(firsts))
         entry[begins[whole]] = len(distinct) + len(firsts) + np.arange(int(whole.sum()))
 
-        ids = self._ids_after_space(distinct) + self.encode_new(alone)
-        lengths = np.array([len(i) for i in ids], np.int64) >> 2
-        pool = np.frombuffer(b"".join(ids), "<u4")
+        pool, starts, lengths = self._ids_after_space(distinct)
+        more, more_lengths = self.encode_new(alone)
+        starts = np.concatenate([starts, len(pool) + np.cumsum(more_lengths) - more_lengths])
+        lengths = np.concatenate([lengths, more_lengths])
         each = lengths[entry]
-        flat = laid_out(pool, (np.cumsum(lengths) - lengths)[entry], each)
+        flat = laid_out(np.concatenate([pool, more]), starts[entry], each)
         return flat, np.add.reduceat(each, begins)
 
-    def _ids_after_space(self, pieces: list[str]) -> list[bytes]:
-        known = self.known
-        ids = [known.get(p) for p in pieces]
-        new = [i for i, found in enumerate(ids) if found is None]
-        for i, found in zip(new, self.encode_new([" " + pieces[i] for i in new])):
-            ids[i] = found
-            if len(known) < self.remembered and len(found) < 64:
-                known[pieces[i]] = found
-        return ids
+    def _ids_after_space(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first place, number of ids) of each distinct piece behind a space."""
+        known = pc.index_in(pieces, value_set=self.words)
+        place = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = pieces.filter(known.is_null())
+        ids, lengths = self.encode_new([" " + p for p in new.to_pylist()])
+        place[place < 0] = len(self.lengths) + np.arange(len(new))
+        all_lengths, pool = np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, ids])
+        starts = np.cumsum(all_lengths) - all_lengths
+        if len(new) and len(self.words) < self.remembered:
+            keep = min(len(new), self.remembered - len(self.words))
+            keep = int(np.searchsorted(np.cumsum(lengths[:keep]), 64 * self.remembered, side="right"))  # very long pieces are rare
+            self.words = pa.concat_arrays([self.words, new.slice(0, keep)])
+            self.lengths = all_lengths[: len(self.words)].copy()
+            self.pool = pool[: int(self.lengths.sum())].copy()
+        return pool, starts[place], all_lengths[place]
 
 
 def packed_array(flat: np.ndarray, lengths: np.ndarray) -> pa.Array:
