@@ -21,6 +21,8 @@ class Limits:
     group_max_rows: int = 1_000_000
     # The longest list built in one record; looking ids up in a list is linear in it.
     list_max_items: int = 10_000
+    # The most values that a line of a prediction file may have; its format allows no second way.
+    line_max_values: int = 10_000_000
 
 
 LIMITS = Limits()

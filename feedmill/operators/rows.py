@@ -1,6 +1,8 @@
 """Whole-row operators: sampling, shuffling, heads, batches, flags, reports."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from feedmill import schema as S
 from feedmill.functions.hashing import seeded_int, seeded_md5
@@ -84,13 +86,16 @@ def flag_known_users(
     )
 
 
-def row_drop_report(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: rows_before, rows_after, pct_dropped (two decimals)."""
-    sides = before.select(F.lit(1).alias("b"), F.lit(0).alias("a")).unionAll(
-        after.select(F.lit(0).alias("b"), F.lit(1).alias("a"))
-    )
-    counts = sides.agg(F.sum("b").alias("rows_before"), F.sum("a").alias("rows_after"))
-    return counts.withColumn(
-        "pct_dropped",
-        F.round((F.col("rows_before") - F.col("rows_after")) / F.col("rows_before") * 100, 2),
-    )
+def row_drop_report(before: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One row: rows_before, rows_after, pct_dropped (two decimals; null for an empty table).
+
+    ``step`` maps ``before`` to what is left.  Both are counted in a single run: the rows before are
+    observed on their way into the step.
+    """
+    seen = Observation()
+    counted = before.observe(seen, F.count(F.lit(1)).alias("n"))
+    n_after = step(counted).agg(F.count(F.lit(1))).first()[0]
+    n_before = seen.get["n"]
+    counts = before.sparkSession.createDataFrame([(n_before, n_after)], "rows_before bigint, rows_after bigint")
+    share = (F.col("rows_before") - F.col("rows_after")) / F.nullif(F.col("rows_before"), F.lit(0))
+    return counts.withColumn("pct_dropped", F.round(share * 100, 2))

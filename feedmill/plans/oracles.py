@@ -269,6 +269,11 @@ _oracle("metric_curves", "items", f"""
         UNION ALL SELECT epoch, auc, 'Validation' AS set FROM ({_monthly('validation', 2000)}))""")
 _LINE = "impression_id::VARCHAR || ' [' || string_agg(rank::VARCHAR, ',' ORDER BY pos) || ']'"
 _oracle("prediction_lines", "ranked", f"SELECT {_LINE} AS line FROM ranked GROUP BY impression_id")
+_oracle("prediction_rejects", "ranked", f"""
+    SELECT CASE fault WHEN 1 THEN 'x' || line WHEN 2 THEN split_part(line, ' ', 1) ELSE replace(line, ']', '') END AS line,
+           CASE fault WHEN 1 THEN 'the id is not a whole number' WHEN 2 THEN 'there is no list'
+                      ELSE 'the list does not hold numbers only' END AS reason
+    FROM (SELECT impression_id % 5 AS fault, {_LINE} AS line FROM ranked GROUP BY impression_id) WHERE fault BETWEEN 1 AND 3""")
 for _name in ("prediction_roundtrip", "prediction_gzip_roundtrip", "rank_scores"):
     _oracle(_name, "ranked", "SELECT impression_id, pos, rank FROM ranked")
 

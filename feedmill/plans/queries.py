@@ -180,8 +180,7 @@ def _ranked_lists(spark, sf):
     """One record per test impression with the ranks of its candidates: one line of the file."""
     largest = D.largest_impression(spark, sf)
     ranked = M.rank_within(_scored(spark, sf, "test", largest), ID, "pos", "score", largest=largest)
-    lists = ranked.groupBy(ID).agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("l"))
-    return lists.select(ID, F.transform("l", lambda t: t["rank"]).alias("ranked_scores"))
+    return PF.value_lists(ranked, ID, "pos", "rank", "ranked_scores", largest)
 
 
 @query
@@ -208,6 +207,22 @@ def prediction_gzip_roundtrip(spark, sf):
     return _round_trip(spark, sf, "gzip")
 
 
+@query
+def prediction_rejects(spark, sf):
+    """Lines that lost something on the way, each with the reason why the reader turns it down."""
+    line = PF.prediction_line(F.col(ID), F.col("ranked_scores"))
+    fault = F.pmod(F.col(ID), F.lit(5))
+    broken = (
+        F.when(fault == 1, F.concat(F.lit("x"), line))
+        .when(fault == 2, F.substring_index(line, " ", 1))
+        .when(fault == 3, F.regexp_replace(line, "]", ""))
+        .otherwise(line)
+    )
+    path = scratch_path(spark, "broken-predictions.txt")
+    _ranked_lists(spark, sf).select(broken.alias("value")).write.text(path)
+    return PF.rejected_lines(spark, path).select("line", "reason")
+
+
 # --- projections, filters, samples ----------------------------------------
 
 
@@ -543,7 +558,9 @@ def build_vocabulary(spark, sf):
 
 def _encoded(spark, sf, max_length):
     docs = D.documents(spark, sf)
-    return E.encode_text(docs, "doc_id", "text", _vocabulary(spark, sf), VOCABULARY, max_length)
+    # Written once: its size is looked at before it is joined.
+    vocabulary = materialised(_vocabulary(spark, sf), "vocabulary")
+    return E.encode_text(docs, "doc_id", "text", vocabulary, VOCABULARY, max_length)
 
 
 @query
@@ -684,7 +701,7 @@ def npratio(spark, sf):
 def row_drop_report(spark, sf):
     """Impressions before and after those with too few candidates are dropped."""
     counts = D.items(spark, sf).groupBy(ID).agg(F.count(F.lit(1)).alias("n"))
-    return R.row_drop_report(counts, counts.where(F.col("n") > NPRATIO + 1))
+    return R.row_drop_report(counts, lambda rows: rows.where(F.col("n") > NPRATIO + 1))
 
 
 # --- ranking, ordering, batches --------------------------------------------
@@ -837,9 +854,8 @@ def predict_test(spark, sf):
     # Candidates with the same text tie, whatever the order of the floating-point sums.
     scored = scored.withColumn("score", F.round("score", 9))
     ranked = M.rank_within(scored, ID, "pos", "score", largest=largest)
-    lists = ranked.groupBy(ID).agg(F.sort_array(F.collect_list(F.struct("pos", "rank"))).alias("l"))
-    ranks = F.transform("l", lambda t: t["rank"])
-    return lists.select(PF.prediction_line(F.col(ID), ranks).alias("line"))
+    lists = PF.value_lists(ranked, ID, "pos", "rank", "ranks", largest)
+    return lists.select(PF.prediction_line(F.col(ID), F.col("ranks")).alias("line"))
 
 
 # --- the chains that training and evaluation run -----------------------------

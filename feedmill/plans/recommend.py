@@ -116,7 +116,7 @@ def encoded_articles(
 ) -> tuple[DataFrame, str]:
     """(article_id, token ids) with a vocabulary built from the same text."""
     text, column = E.concat_columns(articles, text_columns)
-    vocabulary = E.build_vocabulary(text, column, vocabulary_size)
+    vocabulary = materialised(E.build_vocabulary(text, column, vocabulary_size), "vocabulary")
     return E.encode_text(text, S.ARTICLE_ID, column, vocabulary, vocabulary_size, max_length)
 
 
