@@ -13,7 +13,7 @@ from feedmill import schema as S
 from feedmill.functions import lists as L
 from feedmill.functions import vectors as V
 from feedmill.operators.skew import lookup_join
-from feedmill.operators.storage import materialised
+from feedmill.operators.storage import materialised, no_larger
 
 # Key of the vector that stands for unknown articles and users without history.
 UNKNOWN_KEY = -1
@@ -112,7 +112,7 @@ def sequences(
     """
     S.check_columns(df, [key, ids])
     rows = L.explode_rows(df, [key], ids, "_i", "_id")
-    vectors = table.select(F.col(table_key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    vectors = no_larger(table.select(F.col(table_key).alias("_id"), F.col(vector).cast("array<double>").alias("_v")), table)
     found = lookup_join(rows, vectors, "_id", "left")
     unknown = vectors.where(F.col("_id") == UNKNOWN_KEY).select("_v")
     filled = found.withColumn("_v", F.coalesce(F.col("_v"), unknown.scalar()))
@@ -201,8 +201,8 @@ def with_pair_vectors(
     ``hot_from`` is a cheaper table with the same two id columns, for finding hot
     ids; by default the candidates themselves are read for that.
     """
-    u = users.select(F.col(S.USER_ID), F.col("vec").alias("user_vec"))
-    a = articles.select(F.col(S.ARTICLE_ID), F.col("vec").alias("article_vec"))
+    u = no_larger(users.select(F.col(S.USER_ID), F.col("vec").alias("user_vec")), users)
+    a = no_larger(articles.select(F.col(S.ARTICLE_ID), F.col("vec").alias("article_vec")), articles)
     no_user = u.where(F.col(S.USER_ID) == UNKNOWN_KEY).select("user_vec")
     no_article = a.where(F.col(S.ARTICLE_ID) == UNKNOWN_KEY).select("article_vec")
     ids = candidates if hot_from is None else hot_from

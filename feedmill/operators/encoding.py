@@ -7,6 +7,7 @@ from feedmill.functions import lists as L
 from feedmill.functions.text import joined_with_space, tokens
 from feedmill.operators.limits import LIMITS
 from feedmill.operators.skew import lookup_join, small_enough
+from feedmill.operators.storage import no_larger
 
 # Ids of the padding and the unknown token; known tokens follow.
 PAD_ID = 0
@@ -48,7 +49,7 @@ def encode_text(
     S.check_columns(df, [key, column])
     name = f"{column}_encode_tok"
     words = tokens(F.col(column), max_length).alias("_t")
-    ids = vocabulary.select(F.col("token"), F.col("token_id"))
+    ids = no_larger(vocabulary.select(F.col("token"), F.col("token_id")), vocabulary)
     if size > LIMITS.broadcast_max_rows or not small_enough(ids):
         exploded = df.select(key, words).select(key, F.posexplode_outer("_t").alias("_i", "token"))
         found = lookup_join(exploded, ids, "token", "left")

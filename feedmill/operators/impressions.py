@@ -11,6 +11,7 @@ from feedmill import schema as S
 from feedmill.functions import lists as L
 from feedmill.operators.rows import DEFAULT_SEED
 from feedmill.operators.skew import lookup_join
+from feedmill.operators.storage import no_larger
 
 
 def _whole(df: DataFrame) -> None:
@@ -207,7 +208,7 @@ def map_ids(
     """
     S.check_columns(df, [column, *key])
     ids = df.select(*key, F.posexplode_outer(column).alias("_i", "_id"))
-    values = lookup.select(F.col(lookup_key).alias("_id"), F.col(lookup_value).alias("_v"))
+    values = no_larger(lookup.select(F.col(lookup_key).alias("_id"), F.col(lookup_value).alias("_v")), lookup)
     found = lookup_join(ids, values, "_id", "left")
     value = F.col("_v")
     if drop_nulls:

@@ -80,7 +80,7 @@ def flag_known_users(
     if not isinstance(known, DataFrame):
         return df.withColumn(flag_col, F.coalesce(F.col(user_col).isin(list(known)), F.lit(False)))
     # Written once, because the join looks at its size first.
-    seen = materialised(known.select(user_col).distinct().withColumn(flag_col, F.lit(True)), "known-users")
+    seen = materialised(known.select(user_col).distinct().withColumn(flag_col, F.lit(True)), "known-users", sized=True)
     return lookup_join(df, seen, user_col, "left").withColumn(
         flag_col, F.coalesce(F.col(flag_col), F.lit(False))
     )

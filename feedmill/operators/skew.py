@@ -1,9 +1,9 @@
 """Joins and checks that hold when one key carries a large share of the rows."""
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from feedmill.operators.limits import LIMITS
-from feedmill.operators.storage import materialised
+from feedmill.operators.storage import known_size, materialised, size_of_rows
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -12,27 +12,14 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return row["n"] or 0
 
 
-def value_bytes(value: Column, kind: T.DataType) -> Column:
-    """Bytes that a value takes in memory, about; texts and lists by their real lengths."""
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        size = F.octet_length(value) + 16
-    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
-        size = F.size(value) * 8 + 16
-    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        size = F.octet_length(F.to_json(F.struct(value.alias("v")))) + 16
-    else:
-        size = F.lit(8)
-    return F.coalesce(size.cast("bigint"), F.lit(8).cast("bigint"))
-
-
 def small_enough(df: DataFrame) -> bool:
     """Checked size bound for a broadcast of ``df``: its rows and the sum of their real widths.
 
-    One distributed aggregation that moves two numbers per task.
+    Known from when it was written (``storage.materialised(..., sized=True)``), else one
+    distributed aggregation that moves two numbers per task.
     """
-    width = sum((value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(16).cast("bigint"))
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return found["n"] <= LIMITS.broadcast_max_rows and (found["bytes"] or 0) <= LIMITS.broadcast_max_bytes
+    n, size = known_size(df) or df.agg(*size_of_rows(df)).first()
+    return n <= LIMITS.broadcast_max_rows and (size or 0) <= LIMITS.broadcast_max_bytes
 
 
 def fits_a_task(rows: int) -> bool:

@@ -14,7 +14,7 @@ from feedmill.operators import metrics as M
 from feedmill.operators import rows as R
 from feedmill.operators import training as T
 from feedmill.operators.skew import fits_a_list, join_tables
-from feedmill.operators.storage import materialised, scratch_path
+from feedmill.operators.storage import materialised, no_larger, scratch_path
 from feedmill.plans import recommend as P
 from feedmill.plans import tables as D
 from feedmill.sources import metric_log as ML
@@ -559,7 +559,7 @@ def build_vocabulary(spark, sf):
 def _encoded(spark, sf, max_length):
     docs = D.documents(spark, sf)
     # Written once: its size is looked at before it is joined.
-    vocabulary = materialised(_vocabulary(spark, sf), "vocabulary")
+    vocabulary = materialised(_vocabulary(spark, sf), "vocabulary", sized=True)
     return E.encode_text(docs, "doc_id", "text", vocabulary, VOCABULARY, max_length)
 
 
@@ -863,8 +863,8 @@ def predict_test(spark, sf):
 
 def _indexed(rows, spark, sf, key):
     """Both list columns as places in the article index, 0 for unknown ids; one row per candidate."""
-    index = materialised(K.dense_ids(D.articles(spark, sf), ART, "value", start=1), "article-index").withColumnRenamed("key", ART)
-    index = index.select(F.col(ART).alias("key"), "value")
+    written = materialised(K.dense_ids(D.articles(spark, sf), ART, "value", start=1), "article-index", sized=True)
+    index = no_larger(written.select(F.col(ART).alias("key"), "value"), written)
     for column in (S.INVIEW, S.HISTORY):
         rows = I.map_ids(rows, column, index, key, fill_nulls=0)
     rows = rows.withColumn("history", _joined(S.HISTORY))

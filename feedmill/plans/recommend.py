@@ -116,7 +116,7 @@ def encoded_articles(
 ) -> tuple[DataFrame, str]:
     """(article_id, token ids) with a vocabulary built from the same text."""
     text, column = E.concat_columns(articles, text_columns)
-    vocabulary = materialised(E.build_vocabulary(text, column, vocabulary_size), "vocabulary")
+    vocabulary = materialised(E.build_vocabulary(text, column, vocabulary_size), "vocabulary", sized=True)
     return E.encode_text(text, S.ARTICLE_ID, column, vocabulary, vocabulary_size, max_length)
 
 
@@ -134,9 +134,10 @@ def vector_tables(
     articles = materialised(
         A.article_vectors(encoded, S.ARTICLE_ID, ids, embeddings, article_encoder, title_size),
         "article-vectors",
+        sized=True,
     )
     padded = I.truncate_history(history, S.HISTORY, history_size, F.lit(A.UNKNOWN_KEY).cast("bigint"))
-    users = materialised(A.user_vectors(padded, articles, user_encoder, history_size), "user-vectors")
+    users = materialised(A.user_vectors(padded, articles, user_encoder, history_size), "user-vectors", sized=True)
     return users, articles
 
 

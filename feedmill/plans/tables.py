@@ -27,6 +27,7 @@ SPLITS = {
 # size of the largest impression, which only decides between two exact ways.
 _SCHEMAS = {}
 _LARGEST = {}
+_ORDERS = {}
 # A core should have so much of a file at least before a scan is left as it is.
 _BYTES_PER_CORE = 16 << 20
 
@@ -100,6 +101,14 @@ def largest_impression(spark, sf_dir) -> int:
     return _LARGEST[key]
 
 
+def _few_orders(spark, sf_dir) -> bool:
+    """Whether even all orders may be broadcast: three numbers each, counted once per state of the table."""
+    key = _state(spark, f"{sf_dir}/orders.parquet")
+    if key not in _ORDERS:
+        _ORDERS[key] = table(spark, sf_dir, "orders").count()
+    return _ORDERS[key] <= LIMITS.broadcast_max_rows and _ORDERS[key] * 40 <= LIMITS.broadcast_max_bytes
+
+
 def items(spark, sf_dir, split=None, largest: int | None = None) -> DataFrame:
     """One row per (impression, article): first line number, clicked 0/1.
 
@@ -119,7 +128,7 @@ def items(spark, sf_dir, split=None, largest: int | None = None) -> DataFrame:
         spread = lines.where(~is_hot).join(times, S.IMPRESSION_ID)
         split_off = lines.where(is_hot).join(F.broadcast(times.where(is_hot)), S.IMPRESSION_ID)
         return spread.unionByName(split_off).groupBy(*keys).agg(*merged)
-    if small_enough(times):
+    if _few_orders(spark, sf_dir) or small_enough(times):
         placed = lines.join(F.broadcast(times), S.IMPRESSION_ID).repartition(S.IMPRESSION_ID)
     else:
         placed = lines.join(times, S.IMPRESSION_ID)

@@ -1,14 +1,16 @@
 """What the physical plans must and must not contain."""
 
 import re
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from feedmill.plans.queries import QUERIES
+from feedmill.operators import attention as A
 from feedmill.operators import rows as R
 from feedmill.operators import skew
-from feedmill.operators.storage import scratch_path
+from feedmill.operators.storage import known_size, materialised, no_larger, scratch_path
 from feedmill.plans import tables as D
 from tests.conftest import SMALL
 
@@ -149,3 +151,33 @@ def test_predictions_read_the_lines_once(spark):
     text = plan(QUERIES["attach_scores"](spark, SMALL))
     assert len(re.findall(r"FileScan parquet \[l_orderkey", text)) == 1
     assert "rangepartitioning" not in plan(QUERIES["loss_listwise"](spark, SMALL))
+
+
+def _jobs(spark, run):
+    """How many Spark jobs ``run`` starts, and what it gives."""
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), result
+
+
+def test_written_tables_are_not_counted_again(spark):
+    """Sizes come with the write: joins of both vector tables plan without a job of their own."""
+    keys = spark.range(100)
+    users = materialised(keys.select(F.col("id").alias("user_id"), F.array(F.lit(0.5), F.lit(1.0)).alias("vec")), "u", sized=True)
+    articles = materialised(keys.select(F.col("id").alias("article_id"), F.array(F.lit(2.0), F.lit(0.5)).alias("vec")), "a", sized=True)
+    assert known_size(users) == (100, 100 * (16 + 8 + 32))
+    rows = keys.select(F.col("id").alias("user_id"), F.col("id").alias("article_id"))
+    n, scored = _jobs(spark, lambda: A.click_scores(rows, users, articles, 2))
+    assert n == 0 and scored.agg(F.sum("score")).first()[0] == 150.0
+    empty = materialised(users.limit(0), "e", sized=True)
+    assert known_size(empty) == (0, 0) and skew.small_enough(empty)
+
+
+def test_a_known_size_beyond_the_bound_is_not_broadcast(spark, tiny_limits):
+    keys = spark.range(100).withColumnRenamed("id", "k")
+    written = materialised(keys, "k", sized=True)
+    assert not skew.small_enough(written) and not skew.small_enough(no_larger(written.select("k"), written))
