@@ -12,7 +12,7 @@ from feedmill.operators.storage import materialised
 
 DEFAULT_SEED = 123
 _HASH_SPACE = 1 << 32
-_DIGITS = 4  # hex digits of a histogram: 65,536 buckets
+_ACCURACY = 100_000  # of the quantile sketch: ranks are right within this part of the rows
 
 
 def head(df: DataFrame, n: int, order: list) -> DataFrame:
@@ -25,30 +25,53 @@ def sample_by_hash(df: DataFrame, fraction: float, key: list[str], seed=DEFAULT_
     return df.where(seeded_int(seed, *[F.col(k) for k in key]) < int(fraction * _HASH_SPACE))
 
 
+def _around(rank: float, size: int) -> list[float]:
+    """Shares of the rows a little before and after ``rank``: the sketch's error on either side."""
+    return [max(0.0, rank / size - 2 / _ACCURACY), min(1.0, rank / size + 2 / _ACCURACY)]
+
+
 def sample_exact(df: DataFrame, fraction: float, key: list[str], seed=DEFAULT_SEED) -> DataFrame:
     """Exactly floor(rows * fraction) rows: those with the smallest md5 of their unique key.
 
-    The keys are written once.  A histogram over the first hex digits of the hash finds where the
-    sample ends; the bucket it ends in is refined by more digits until it fits a task, and
-    ordering that finds the last row.  The sample itself is then a plain filter: no shuffle of the table.
+    The keys are written once, and counted into a mergeable quantile sketch on the way.  It gives two
+    hashes close before and after the end of the sample; one pass counts what lies below and between
+    them, and ordering those between finds the last row.  (Should the sketch have erred, or the rows between not fit a task,
+    the same is done again within the part that holds the end.)  The sample itself is then a plain filter: no shuffle of the table.
     """
     columns = [F.col(k) for k in key]
-    keys = materialised(df.select(seeded_md5(seed, *columns).alias("_h"), *columns), "sample-keys")
-    want = int(keys.count() * fraction)
+    seen = Observation()
+    hashed = df.select(seeded_md5(seed, *columns).alias("_h"), *columns)
+    hashed = hashed.withColumn("_place", F.conv(F.substring("_h", 1, 15), 16, 10).cast("bigint"))  # order of the first 60 bits
+
+    def ends(shares):
+        return F.percentile_approx("_place", shares, _ACCURACY).alias("ends")
+
+    share = min(max(fraction, 0.0), 1.0)
+    keys = materialised(hashed.observe(seen, F.count(F.lit(1)).alias("n"), ends(_around(share, 1))), "sample-keys")
+    size = seen.get["n"]
+    want = int(size * fraction)
     if want == 0:
         return df.where(F.lit(False))
-    prefix, digits = "", 0
+    low, high = seen.get["ends"]
+    least, most, rank = 0, (1 << 60) - 1, min(want, size)
     while True:
-        digits = min(digits + _DIGITS, 32)
-        inside = keys.where(F.col("_h").startswith(prefix))
-        counts = inside.groupBy(F.substring("_h", 1, digits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)  # at most 16 ** _DIGITS rows
-        end = counts.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") >= want).orderBy("b").first()
-        want, prefix = want - (end["upto"] - end["n"]), end["b"]
-        if fits_a_task(end["n"]) or digits == 32:
+        inside, before = keys.where(F.col("_place").between(least, most)), size
+        counts = inside.agg(F.count_if(F.col("_place") < low).alias("below"), F.count_if(F.col("_place") <= high).alias("upto")).first()
+        below, upto = counts["below"], counts["upto"]
+        if below < rank <= upto:
+            least, most, rank, size = low, high, rank - below, upto - below
+        elif rank <= below:
+            most, size = low - 1, below
+        else:
+            least, rank, size = high + 1, rank - upto, size - upto
+        if fits_a_task(size) or least >= most:
             break
+        if size < before:
+            low, high = keys.where(F.col("_place").between(least, most)).agg(ends(_around(rank, size))).first()["ends"]
+        else:  # the sketch is too rough to part them; hashes are spread evenly
+            low = high = (least + most) // 2
     place = F.struct(F.col("_h").alias("h"), *columns)
-    last = keys.where(F.col("_h").startswith(prefix)).select(place.alias("p")).orderBy("p").limit(want)
+    last = keys.where(F.col("_place").between(least, most)).select(place.alias("p")).orderBy("p").limit(rank)
     end_place = last.agg(F.max("p").alias("p"))
     row, kind = end_place.first()["p"], end_place.schema["p"].dataType
     end_place = F.struct(*[F.lit(v) for v in row]).cast(kind)
