@@ -450,7 +450,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows with equal sets are reduced to one before anything is compared, so copies
     cost one aggregation.  Signatures are narrow rows; groups are streamed and give
-    stars, not all their pairs.  Texts move only for candidates.
+    stars; members that are open after that round are paired (see the README on tables of shared passages).  Texts move only for candidates.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(
