@@ -9,6 +9,7 @@ potentials are counted from labelled pages.
 
 from collections import Counter
 from collections.abc import Iterable
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, types as T
@@ -137,8 +138,14 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 7) -> Iterable[str]:
         items = "".join(f"<li><a href='/x'>{words(1, 3)}</a></li>" for _ in range(count))
         return f"<ul>{items}</ul>"
 
+    def linked(low, high):
+        """Words of an article, some with a link that may be most of them."""
+        if chance(0.95):
+            return words(low, high)
+        return f"{words(0, max(1, high // 4))} <a href='/x'>{words(1, max(1, high // 2))}</a>{words(0, max(1, high // 4))}"
+
     def text(label, count, low=4, high=70):
-        return "".join(element("p", label, words(low, high)) for _ in range(count))
+        return "".join(element("p", label, linked(low, high) if label else words(low, high)) for _ in range(count))
 
     def boilerplate(kind):
         short = f"<p>{words(2, 12)}</p>" if chance(0.5) else words(2, 12)
@@ -171,7 +178,7 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 7) -> Iterable[str]:
             elif draw < 0.85:
                 parts.append(element("blockquote", 1, text(1, 1)))
             elif draw < 0.90:
-                items = "".join(element("li", 1, words(3, 25)) for _ in range(random.integers(2, 6)))
+                items = "".join(element("li", 1, linked(3, 25)) for _ in range(random.integers(2, 6)))
                 parts.append(element(random.choice(["ul", "ol"]), 1, items))
             elif draw < 0.93:
                 parts.append(element("figure", 1, element("figcaption", 1, words(3, 15))))
@@ -205,6 +212,12 @@ def labelled_pages(n: int = TRAINING_PAGES, seed: int = 7) -> Iterable[str]:
         yield f"<html data-label=2>{head}<body data-label=2>{inner}<script data-label=0>x()</script></body></html>"
 
 
+@lru_cache(maxsize=1)
+def usual_model() -> TreeModel:
+    """The model of :func:`labelled_pages`, trained once per process."""
+    return TreeModel(labelled_pages())
+
+
 def extract(pages: DataFrame, model: TreeModel | None = None, html_col: str = "html", name: str = "main_text") -> DataFrame:
     """``pages`` with ``name``: the main text of each page, empty if there is none or the page is null or empty.
 
@@ -214,6 +227,6 @@ def extract(pages: DataFrame, model: TreeModel | None = None, html_col: str = "h
     markup are never text.  ``model`` is by default trained on :func:`labelled_pages`.  Pages are read
     where they lie, in batches of a bounded number; nothing is shuffled.  ``name`` must be a new column.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(model or TreeModel(labelled_pages()))
+    shared = pages.sparkSession.sparkContext.broadcast(model or usual_model())
     values = lambda texts: [[shared.value.main_text(t) for t in texts]]
     return with_columns(pages, html_col, {name: T.StringType()}, values, rows=500)

@@ -15,7 +15,12 @@ SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "t
 SIBLINGS = {k: frozenset(v.split()) for k, v in SIBLINGS.items()}
 LISTS = frozenset("ul ol menu dl table tbody thead tfoot select".split())
 _SPACES = re.compile(r"\s+")
-_NAMES = re.compile(r"[a-z]+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
+
+def names_in(value: str) -> list[str]:
+    """The words of an attribute's names in lower case: userComments, cmt-thread and nav_2 have two, two and one."""
+    return [word.lower() for word in _WORDS.findall(value)]
 
 
 class Node:
@@ -64,7 +69,7 @@ class PageTree(HTMLParser):
                 break
             if above in LISTS or tag not in SIBLINGS:
                 break
-        names = [n for key, value in attrs if key in ("class", "id", "role") and value for n in _NAMES.findall(value.lower())]
+        names = [n for key, value in attrs if key in ("class", "id", "role") and value for n in names_in(value)]
         label = next((int(value) for key, value in attrs if key == "data-label"), None)
         self.nodes.append(Node(self.stack[-1], tag, names, label))
         if tag not in VOID:

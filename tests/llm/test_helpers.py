@@ -197,6 +197,13 @@ PAGES = {
     "<nav><a href=x>Home</a></nav><article><h1>A</h1><p>text<script>var a='<p>no</p>'</script></article><footer>&copy; us": "A\ntext",
     "<div><div><div>": "",
     "<style>p{}</style><!-- x --><form>Name<input value=v></form>": "",
+    "<article><p>See <a href=x>a link with very many words that are most of this paragraph</a>.</p><p>b</p></article>": (
+        "See a link with very many words that are most of this paragraph.\nb"
+    ),
+    "<article><h1>T</h1><p>Some words of an article that are long enough to be seen as such.</p></article><div class=userComments>"
+    "<p>A long comment that goes on and on for a while, and then some more</p></div><div id=siteFooter><p>words of the owner</p></div>": (
+        "T\nSome words of an article that are long enough to be seen as such."
+    ),
 }
 
 
