@@ -1,6 +1,6 @@
 """Joins and checks that hold when one key carries a large share of the rows."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from feedmill.operators.limits import LIMITS
 from feedmill.operators.storage import known_size, materialised, size_of_rows
@@ -91,8 +91,11 @@ def join_tables(left: DataFrame, right: DataFrame, on: str | list[str], how: str
 
     l, r = own_names(left, "_l"), own_names(right, "_r")
     keys = [f"_k{i}" for i in range(len(on))]
-    same_type = [F.col(k).cast(r.schema[k].dataType).alias(k) if l.schema[k].dataType != r.schema[k].dataType else F.col(k) for k in keys]
-    hashed, complete = F.xxhash64(*same_type), F.lit(True)
+    # Both sides hash a key as the type in which the join compares it.
+    common = l.select(*keys).union(r.select(*keys)).schema
+    if any(isinstance(l.schema[k].dataType, T.StringType) != isinstance(r.schema[k].dataType, T.StringType) for k in keys):
+        return left.join(right, on, kind)
+    hashed, complete = F.xxhash64(*[F.col(k).cast(common[k].dataType) for k in keys]), F.lit(True)
     for k in keys:
         complete = complete & F.col(k).isNotNull()
     hot = sorted({h for df in (l, r) for h in hot_keys(df.where(complete).select(hashed.alias("_hash")), "_hash")})

@@ -48,6 +48,19 @@ def test_several_key_columns(spark, small_cells, how):
     assert rows(found.toPandas()) == rows(want.toPandas())
 
 
+@pytest.mark.parametrize("flip", [False, True])
+def test_keys_of_different_types(spark, small_cells, flip):
+    """Whole numbers of two widths, one beyond the narrow type."""
+    left, right = tables(spark)
+    left = left.withColumn("k", F.when(F.col("k") == 8, F.lit(1 << 40)).otherwise(F.col("k").cast("bigint")))
+    one, other = (right, left) if flip else (left, right)
+    want, found = one.join(other, "k", "full"), skew.join_tables(one, other, "k", "full")
+    names = [f"c{i}" for i in range(len(want.columns))]
+    assert rows(found.toDF(*names).toPandas()) == rows(want.toDF(*names).toPandas())
+    texts = right.withColumn("k", F.col("k").cast("string"))
+    assert skew.join_tables(left, texts, "k", "inner").count() == left.join(texts, "k", "inner").count()
+
+
 @pytest.mark.parametrize("how", KINDS)
 def test_empty_sides(spark, small_cells, how):
     left, right = tables(spark)
