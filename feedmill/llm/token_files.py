@@ -25,7 +25,7 @@ from feedmill.llm.tables import text_hash, whole
 from feedmill.operators.storage import scratch_path
 
 END_ID = 2
-_KNOWN_PIECES = 600_000  # pieces whose ids a worker remembers
+_KNOWN_PIECES = 2_000_000  # pieces whose ids a worker remembers, about 35 bytes each
 _TOGETHER = 1000  # words encoded in one call
 # One space, then no white space and at the end none either: no rule of the pattern looks across its ends.
 _SIMPLE = re.compile(r" [^\s\x1c-\x1f]+")
