@@ -29,12 +29,17 @@ def fit_click_model(
     return learner.fit(features)
 
 
+def _log_odds(values, weights, intercept: float):
+    return sum((F.get(values, F.lit(j)) * float(w) for j, w in enumerate(weights)), F.lit(float(intercept)))
+
+
 def score_click_model(model: LogisticRegressionModel, features: DataFrame, name: str = "score") -> DataFrame:
-    """Add the log-odds of a click; above 0 means a probability above one half."""
-    scored = model.transform(features)
-    return scored.withColumn(name, vector_to_array("rawPrediction")[1]).drop(
-        "rawPrediction", "probability", "prediction"
-    )
+    """Add the log-odds of a click; above 0 means a probability above one half.
+
+    Written as an expression: a fitted model keeps its training summary and thereby the session,
+    which tasks cannot receive, so ``model.transform`` fails in a session that has used an Observation.
+    """
+    return features.withColumn(name, _log_odds(vector_to_array("features"), model.coefficients.toArray(), model.intercept))
 
 
 def mean_gradient(features: DataFrame, weights: list[float], intercept: float, weight_decay: float = 1e-5, label: str = "label") -> DataFrame:
@@ -43,8 +48,7 @@ def mean_gradient(features: DataFrame, weights: list[float], intercept: float, w
     Zero everywhere exactly where the loss is lowest.  One aggregation.
     """
     values = vector_to_array("features")
-    score = sum((F.get(values, F.lit(j)) * float(w) for j, w in enumerate(weights)), F.lit(float(intercept)))
-    miss = F.lit(1.0) / (F.lit(1.0) + F.exp(-score)) - F.col(label)
+    miss = F.lit(1.0) / (F.lit(1.0) + F.exp(-_log_odds(values, weights, intercept))) - F.col(label)
     sums = [F.avg(miss * F.get(values, F.lit(j))) + weight_decay * float(w) for j, w in enumerate(weights)]
     rows = features.agg(F.array(F.avg(miss), *sums).alias("g")).select(F.posexplode("g").alias("i", "gradient"))
     return rows.select((F.col("i") - 1).cast("bigint").alias("dim"), "gradient")
