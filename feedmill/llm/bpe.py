@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from feedmill.llm.arrow import bounded_batches
+from feedmill.llm.arrow import bounded_batches, release_memory
 from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out, packed_array
 
 # The word pattern of the byte-level vocabulary.
@@ -23,7 +23,7 @@ _SPACE = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{White_Space}})|{_SPACE}+"
 # What a worker remembers; beyond it, the same answers are found again.
 _KNOWN_PAIRS, _KNOWN_PIECES = 150_000, 600_000
-_SLICE_BYTES = SLICE_BYTES // 2
+_SLICE_BYTES = SLICE_BYTES // 4
 
 
 def _byte_letters() -> dict[str, int]:
@@ -199,10 +199,11 @@ def _with_arrays(df: DataFrame, path: str, source: str, new: dict[str, T.DataTyp
     place, names = df.columns.index(source), [*[df.columns[i] for i in kept], *new]
 
     def run(batches):
+        release_memory()  # what an earlier stage left in this worker
         for batch in batches:
             for part in byte_slices(batch, place, _SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *values(part.column(place))], names)
-        pa.default_memory_pool().release_unused()
+                release_memory()
 
     return df.mapInArrow(run, T.StructType([*[df.schema[i] for i in kept], *[T.StructField(n, t) for n, t in new.items()]]))
 
