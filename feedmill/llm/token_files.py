@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
 from feedmill.llm import simple8b
-from feedmill.llm.arrow import bounded_batches
-from feedmill.llm.pieces import PieceEncoder, byte_slices, laid_out
+from feedmill.llm.arrow import bounded_batches, release_memory
+from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out
 from feedmill.llm.tables import text_hash, whole
 from feedmill.operators.storage import scratch_path
 
 END_ID = 2
-_KNOWN_PIECES = 2_000_000  # pieces whose ids a worker remembers, about 35 bytes each
+_KNOWN_PIECES = 2_000_000  # pieces whose ids a worker remembers, about 45 bytes each
+_SLICE_BYTES = SLICE_BYTES // 2
 _TOGETHER = 1000  # words encoded in one call
 # One space, then no white space and at the end none either: no rule of the pattern looks across its ends.
 _SIMPLE = re.compile(r" [^\s\x1c-\x1f]+")
@@ -49,7 +50,8 @@ def _encoder(path: str) -> PieceEncoder:
     spaced = np.array([(tokenizer.id_to_token(i) or "").startswith(_SPACE_LETTER) for i in range(tokenizer.get_vocab_size())])
 
     def each(texts):
-        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        for text in texts:  # what the library makes beside the ids is many times as large: one at a time
+            yield np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode_new(texts):
         """Words behind a space are encoded many at a time: just their first token begins with that space."""
@@ -57,7 +59,7 @@ def _encoder(path: str) -> PieceEncoder:
         other = sorted({*range(len(texts))} - {*simple})
         groups = [simple[i : i + _TOGETHER] for i in range(0, len(simple), _TOGETHER)]
         ids, lengths, order = [], [], []
-        for group, found in zip(groups, each(["".join([texts[i] for i in g]) for g in groups])):
+        for group, found in zip(groups, each("".join([texts[i] for i in g]) for g in groups)):
             first = np.flatnonzero(spaced[found])
             if len(first) != len(group) or len(found) and first[0]:
                 other += group  # not this vocabulary's way with spaces
@@ -65,7 +67,7 @@ def _encoder(path: str) -> PieceEncoder:
             ids.append(found)
             lengths.append(np.diff(np.concatenate([first, [len(found)]])))
             order += group
-        alone = each([texts[i] for i in other])
+        alone = list(each(texts[i] for i in other))
         flat = np.concatenate([*ids, *alone, np.zeros(0, "<u4")])
         many = np.concatenate([*lengths, np.array([len(a) for a in alone], np.int64)])
         order = np.array(order + other, np.int64)
@@ -108,8 +110,9 @@ def write_token_files(
             docs, lengths, ids = zip(*held)
             return [d for some in docs for d in some], np.concatenate(lengths), np.concatenate(ids)
 
+        release_memory()  # what an earlier stage left in this worker
         for batch in batches:
-            for piece in byte_slices(batch, 1):
+            for piece in byte_slices(batch, 1, _SLICE_BYTES):
                 ids, lengths = _encoder(vocabulary).encode(piece.column(1))
                 held.append((piece.column(0).to_pylist(), lengths + 1, np.insert(ids, np.cumsum(lengths), end_id)))
                 docs, lengths, ids = joined()
@@ -123,6 +126,7 @@ def write_token_files(
                     if at == len(ends):
                         break
                 held = [(docs[at:], lengths[at:], ids[done:])] if at < len(ends) else []
+                release_memory()
         if held:
             docs, lengths, ids = joined()
             yield closed(docs, lengths.tolist(), ids)
@@ -155,7 +159,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for first, docs, lengths, offsets, words, escapes in zip(*[c.to_pylist() for c in batch.columns]):
+            for i in range(batch.num_rows):  # one chunk at a time as Python objects
+                first, docs, lengths, offsets, words, escapes = [c[i].as_py() for c in batch.columns]
                 ends = np.cumsum(np.array(lengths, np.int64))
                 table = np.array([int(e) for e in escapes], np.uint64)
                 ids = simple8b.decode(np.frombuffer(words, "<u8"), np.array(offsets, np.int64), table, int(ends[-1])).astype("<u4")
@@ -163,6 +168,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 starts = first + ends - np.array(lengths, np.int64)
                 arrays = [pa.array(docs, pa.int64()), pa.array(starts), pa.array(lengths, pa.int64()), pa.array(packed, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids"])
+            release_memory()
 
     return chunks.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
