@@ -35,6 +35,14 @@ def test_a_task_holds_a_bounded_number_of_lines(spark, small_partitions):
         assert max(r["count"] for r in per_task) < 3 * 300
 
 
+def test_a_task_numbers_a_bounded_number_of_clicks(spark, small_partitions):
+    parts = skew.parts_of(spark, D.table(spark, SMALL, "lineitem").count())
+    numbered = D.history_rows(spark, SMALL).where("hist_pos > 0")  # else Spark leaves the numbering out
+    per_task = numbered.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert 0.9 * parts <= len(per_task) <= parts
+    assert max(r["count"] for r in per_task) <= 300
+
+
 def test_small_tables_keep_the_partitions_of_the_session(spark):
     assert skew.parts_of(spark, D.table(spark, SMALL, "lineitem").count()) is None
 
