@@ -52,6 +52,14 @@ def test_same_results(spark, small_partitions, name):
     assert_same(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name])
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["softmax_scores", "filter_min_candidates", "paged_behaviors", "remove_positives", "sample_with_replacement", "sample_without_replacement", "scan_behaviors"],
+)
+def test_same_results_of_records(spark, small_partitions, name):
+    assert_same(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name])
+
+
 def test_a_wide_lookup_table_is_not_broadcast(spark, monkeypatch):
     wide = spark.range(100).select("id", F.array_repeat(F.lit(1.0), 50).alias("v"))
     size = wide.agg(*size_of_rows(wide)).first()["bytes"]
