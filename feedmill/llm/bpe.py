@@ -7,7 +7,6 @@ both together gives just these two.  A word's ids are read backwards along its p
 """
 
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +14,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from feedmill.llm.arrow import bounded_batches, release_memory
+from feedmill.llm.arrow import begin_task, release_memory, remembered, small_batches
 from feedmill.llm.pieces import SLICE_BYTES, PieceEncoder, byte_slices, laid_out, packed_array
 
 # The word pattern of the byte-level vocabulary.
@@ -23,7 +22,7 @@ _SPACE = r"\p{White_Space}"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|{_SPACE}+(?!\P{{White_Space}})|{_SPACE}+"
 # What a worker remembers; beyond it, the same answers are found again.
 _KNOWN_PAIRS, _KNOWN_PIECES = 150_000, 600_000
-_SLICE_BYTES = SLICE_BYTES // 4
+_SLICE_BYTES = SLICE_BYTES // 16
 
 
 def _byte_letters() -> dict[str, int]:
@@ -136,7 +135,7 @@ class ByteBpe:
         return data, np.diff(ends)
 
 
-@lru_cache(maxsize=4)
+@remembered
 def vocabulary(path: str) -> ByteBpe:
     """The encoder for a vocabulary file, loaded once per worker."""
     return ByteBpe(path)
@@ -194,12 +193,12 @@ def _with_arrays(df: DataFrame, path: str, source: str, new: dict[str, T.DataTyp
 
     A worker remembers words, up to a fixed number.
     """
-    bounded_batches(df.sparkSession)
+    small_batches(df.sparkSession)
     kept = [i for i, c in enumerate(df.columns) if keep is None or c in keep]
     place, names = df.columns.index(source), [*[df.columns[i] for i in kept], *new]
 
     def run(batches):
-        release_memory()  # what an earlier stage left in this worker
+        begin_task(vocabulary)
         for batch in batches:
             for part in byte_slices(batch, place, _SLICE_BYTES):
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in kept], *values(part.column(place))], names)

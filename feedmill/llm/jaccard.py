@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feedmill.llm.arrow import bounded_batches, by_size, slices
+from feedmill.llm.arrow import begin_task, by_size, slices, small_batches
 from feedmill.llm.components import components
 from feedmill.llm.shingles import common, mix, set_key, shingle_sets
 from feedmill.llm.tables import bytes_of, text_hash, whole
@@ -191,6 +191,7 @@ def _described(rows: DataFrame) -> DataFrame:
     """(_id, _th, n, k1, k2, short, sketch): size and identity of each row's set, and the schemes too coarse for it."""
 
     def run(batches):
+        begin_task()
         for batch in batches:
             for part in slices(batch):
                 ids, hashes, texts = [c.to_pylist() for c in part.columns]
@@ -228,6 +229,7 @@ def _signed(rows: DataFrame, fine: frozenset[int], common_shingles: np.ndarray)
     shared = rows.sparkSession.sparkContext.broadcast(common_shingles)
 
     def run(batches):
+        begin_task()
         for batch in batches:
             for part in slices(batch, 500):
                 ids, texts = [c.to_pylist() for c in part.columns]
@@ -452,7 +454,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     cost one aggregation.  Signatures are narrow rows; groups are streamed and give
     stars; members that are open after that round are paired (see the README on tables of shared passages).  Texts move only for candidates.
     """
-    bounded_batches(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("_id"), text_hash(whole(text_col), 3).alias("_th"), whole(text_col).alias("_text")
     )

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from feedmill.llm.arrow import bounded_batches, by_size, slices, with_columns
+from feedmill.llm.arrow import begin_task, by_size, slices, small_batches, with_columns
 from feedmill.llm.tables import bytes_of
 from feedmill.operators.limits import LIMITS
 from feedmill.operators.storage import materialised
@@ -182,7 +182,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     few mixed or mislabelled texts do not lift it.  Counting is distributed; the driver receives at
     most MAX_GRAMS counted n-grams per language.  Rows without id, text or language are left out.
     """
-    bounded_batches(labelled.sparkSession)
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(lang_col).alias("_lang")).dropna()
     hashed = F.xxhash64("_id")
     first = Window.partitionBy("_lang").orderBy(hashed, "_id")
@@ -194,6 +194,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     sample = rows.join(ranked, ["_id", "_lang"])
 
     def count(batches):
+        begin_task()
         for batch in batches:
             for part in slices(batch, 200):
                 langs, texts = [c.to_pylist() for c in part.columns]
@@ -226,6 +227,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     shared = labelled.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches):
+        begin_task()
         for batch in batches:
             for part in slices(batch, 200):
                 langs, texts = [c.to_pylist() for c in part.columns]
