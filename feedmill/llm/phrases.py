@@ -3,9 +3,10 @@
 A phrase can be frequent only if its first and its last words but one are, so the candidates of a length
 are pairs of frequent phrases of the length before that overlap at neighbouring places of a text.
 Level by level the frequent phrases go into double-array tries, which are broadcast in
-shards of bounded size.  In every task numpy walks all places of its texts through a trie at
-once; the places of neighbouring accepting states are numbered and counted
-together, and the counts of all tasks are summed.
+shards of bounded size.  In every task numpy walks all places of a few chunks of its texts through
+a trie at once; the places of neighbouring accepting states are numbered and counted
+together, and the counts of all tasks are summed.  A worker holds one batch of
+chunks and one shard at a time, and gives back what it freed.
 """
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from feedmill.llm import double_array
-from feedmill.llm.arrow import bounded_batches
+from feedmill.llm.arrow import begin_task, release_memory, slices, small_batches
 from feedmill.llm.pieces import byte_slices
 from feedmill.llm.tables import whole
 from feedmill.operators.ordering import dense_index
@@ -24,6 +25,7 @@ MOST_WORDS = 5
 SHARD = 250_000  # words or phrases that are broadcast together
 CHUNK_WORDS = 1 << 18  # a chunk of words is closed when it reaches this
 SLICE_BYTES = 4 << 20
+PART_BYTES = 2 << 20  # of codes that go through the shards together, or one chunk
 
 # What ends a piece, what ends a word, the letters that are lower-cased.
 _ENDS_PIECE, _ENDS_WORD = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -68,6 +70,7 @@ def chunks(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, codes, words, counts): the texts of one language in chunks of bounded size."""
 
     def run(batches):
+        begin_task()
         held, n_held = {}, 0
 
         def closed(langs):
@@ -89,9 +92,10 @@ def chunks(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                 if n_held >= 4 * CHUNK_WORDS:  # many languages with few words each
                     yield from closed(list(held))
                     n_held = 0
+            release_memory()
         yield from closed(list(held))
 
-    bounded_batches(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"), whole(f"`{text_col}`").alias("text"))
     return rows.mapInArrow(run, _CHUNK_SQL)
 
@@ -100,76 +104,98 @@ def _shards(table: DataFrame, n: int, columns: list[str], made) -> list:
     """``made(rows, first id)`` of every SHARD rows by id, each collected, broadcast and let go before the next."""
     context, out = table.sparkSession.sparkContext, []
     for first in range(0, n, SHARD):
-        rows = table.where(F.col("id").between(first, first + SHARD - 1)).select("id", *columns).toPandas().sort_values("id")
+        rows = table.where(F.col("id").between(first, first + SHARD - 1)).select("id", *columns).toArrow().sort_by("id").combine_chunks()
         out.append(context.broadcast(made(rows, first)))
+        del rows
+        release_memory()
     return out
 
 
-def _each(shards: list):
-    """The broadcast values one after another; a worker keeps one in memory unless there is only one."""
+def _through(shards: list, use) -> None:
+    """``use`` the broadcast values one after another; a worker holds one at a time, and keeps it if it is the only one."""
     for shard in shards:
-        yield shard.value
+        use(shard.value)
         if len(shards) > 1:
             vars(shard).pop("_value", None)
 
 
-def _numbered_words(found: DataFrame, vocabulary: DataFrame, n: int) -> DataFrame:
-    """(ids): the codes of each chunk as numbers of frequent words; one -1 stands for all else between them."""
+def _let_go(shards: list) -> None:
+    """Take the shards from the memory of the executors when what needed them is written."""
+    for shard in shards:
+        shard.destroy()
+
+
+def _numbered_words(found: DataFrame, vocabulary: DataFrame, n: int) -> tuple[DataFrame, list]:
+    """(ids): the codes of each chunk as numbers of frequent words, one -1 for all else between them; and the shards it reads."""
 
     def made(rows, first):
-        langs = {lang: (pa.array(part["phrase"], pa.string()), part["id"].to_numpy()) for lang, part in rows.groupby("lang", sort=False)}
-        return {lang: (words.to_pylist(), ids) for lang, (words, ids) in langs.items()}
+        langs = rows["lang"].combine_chunks()
+        parts = {lang: rows.filter(pc.equal(langs, lang)) for lang in langs.unique().to_pylist()}
+        return {lang: (part["phrase"].combine_chunks(), part["id"].to_numpy()) for lang, part in parts.items()}
 
     shards = _shards(vocabulary, n, ["lang", "phrase"], made)
 
     def run(batches):
+        begin_task()
         for batch in batches:
-            langs, codes, words, _ = batch.columns
-            ids = [np.full(len(w) + 1, -1, np.int32) for w in words]  # the last stands for -1
-            for known in _each(shards):
-                known = {lang: (pa.array(w, pa.string()), i) for lang, (w, i) in known.items()}
-                for row, lang in enumerate(langs.to_pylist()):
-                    if lang in known:
-                        at = pc.index_in(words[row].values, value_set=known[lang][0])
-                        there = at.is_valid().to_numpy(zero_copy_only=False)
-                        ids[row][:-1][there] = known[lang][1][at.drop_null().to_numpy()]
-            for row, own in enumerate(ids):
-                numbers = own[np.frombuffer(codes[row].as_buffer(), np.int32)]
-                kept = (numbers >= 0) | np.concatenate([[True], numbers[:-1] >= 0])
-                yield pa.RecordBatch.from_arrays([pa.array([numbers[kept].tobytes()], pa.binary())], ["ids"])
-
-    return found.mapInArrow(run, "ids binary")
+            for part in slices(batch, limit=PART_BYTES):
+                langs, codes, words, _ = part.columns
+                ids = [np.full(len(w) + 1, -1, np.int32) for w in words]  # the last stands for -1
+
+                def use(known):
+                    for row, lang in enumerate(langs.to_pylist()):
+                        if lang in known:
+                            at = pc.index_in(words[row].values, value_set=known[lang][0])
+                            there = at.is_valid().to_numpy(zero_copy_only=False)
+                            ids[row][:-1][there] = known[lang][1][at.drop_null().to_numpy()]
+
+                _through(shards, use)
+                for row, own in enumerate(ids):
+                    numbers = own[np.frombuffer(codes[row].as_buffer(), np.int32)]
+                    kept = (numbers >= 0) | np.concatenate([[True], numbers[:-1] >= 0])
+                    yield pa.RecordBatch.from_arrays([pa.array([numbers[kept].tobytes()], pa.binary())], ["ids"])
+
+    return found.mapInArrow(run, "ids binary"), shards
 
 
 _PAIRS = "u bigint, v bigint, n bigint"
 
 
-def _pairs(texts: DataFrame, level: DataFrame, n: int, length: int) -> DataFrame:
-    """(u, v, n): how often phrases u and v of a level begin at neighbouring places."""
-    if length > 1:
-        def made(rows, first):
-            return first, double_array.build(np.array(rows["words"].tolist(), np.int64).reshape(len(rows), length))
+def _pairs(texts: DataFrame, level: DataFrame, n: int, length: int) -> tuple[DataFrame, list]:
+    """(u, v, a): how often phrases u and v of a level begin at neighbouring places; and the shards it reads."""
 
-        tries = _shards(level, n, ["words"], made)
+    def made(rows, first):
+        words = rows["words"].combine_chunks().flatten().to_numpy()
+        return first, double_array.build(words.reshape(len(rows), length))
+
+    tries = _shards(level, n, ["words"], made) if length > 1 else []
+
+    def counted(state):
+        both = (state[:-1] >= 0) & (state[1:] >= 0)
+        candidates, number = np.unique(state[:-1][both] * n + state[1:][both], return_inverse=True)
+        counts = np.bincount(number, minlength=len(candidates))
+        return pa.RecordBatch.from_arrays([pa.array(candidates // n), pa.array(candidates % n), pa.array(counts)], ["u", "v", "n"])
 
     def run(batches):
+        begin_task()
         for batch in batches:
-            words = [np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(0)]
-            if length == 1:
-                states = [w.astype(np.int64) for w in words]
-            else:
+            for part in slices(batch, limit=PART_BYTES):
+                words = [np.frombuffer(x.as_buffer(), np.int32) for x in part.column(0)]
+                if length == 1:
+                    yield from (counted(w.astype(np.int64)) for w in words)
+                    continue
                 states = [np.full(len(w), -1, np.int64) for w in words]
-                for first, trie in _each(tries):
+
+                def use(known):
+                    first, trie = known
                     for w, state in zip(words, states):
                         places, accepted = trie.walk(w)
                         state[places] = accepted + first
-            for state in states:
-                both = (state[:-1] >= 0) & (state[1:] >= 0)
-                candidates, number = np.unique(state[:-1][both] * n + state[1:][both], return_inverse=True)
-                counts = np.bincount(number, minlength=len(candidates))
-                yield pa.RecordBatch.from_arrays([pa.array(candidates // n), pa.array(candidates % n), pa.array(counts)], ["u", "v", "n"])
 
-    return texts.mapInArrow(run, _PAIRS).groupBy("u", "v").agg(F.sum("n").alias("a"))
+                _through(tries, use)
+                yield from map(counted, states)
+
+    return texts.mapInArrow(run, _PAIRS).groupBy("u", "v").agg(F.sum("n").alias("a")), tries
 
 
 def _longer(pairs: DataFrame, level: DataFrame, least: int) -> DataFrame:
@@ -225,15 +251,18 @@ def collocations(
         "id", "lang", "phrase", F.col("phrase").alias("last"), F.array("id").alias("words"), F.array("a").alias("heads"), F.array("a").alias("tails")
     )
     n = vocabulary.count()
-    texts = materialised(_numbered_words(found, vocabulary, n), "phrase-texts", "zstd")
+    numbered, shards = _numbered_words(found, vocabulary, n)
+    texts = materialised(numbered, "phrase-texts", "zstd")
     discard(found)  # all that is needed of it is written
+    _let_go(shards)
 
     levels = []
     for length in range(2, most_words + 1):
         if not n:
             break
-        pairs = _pairs(texts, level, n, length - 1)
+        pairs, shards = _pairs(texts, level, n, length - 1)
         level = materialised(dense_index(_longer(pairs, level, least), [F.col("u"), F.col("v")], "id"), f"phrases-{length}")
+        _let_go(shards)
         n = level.count()
         levels.append((length, level))
     if not levels:
