@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from feedmill.llm.arrow import begin_task, by_size, slices, small_batches
 from feedmill.llm.components import components
-from feedmill.llm.shingles import common, mix, set_key, shingle_sets
+from feedmill.llm.shingles import common, distinct, mix, set_key, shingle_sets
 from feedmill.llm.tables import bytes_of, text_hash, whole
 from feedmill.operators.limits import LIMITS
 from feedmill.operators.storage import materialised
@@ -94,16 +94,19 @@ def allocation(scheme: int) -> Allocation:
     return best
 
 
+def _segments(values: np.ndarray, segments: int) -> np.ndarray:
+    """The segment of scrambled shingles: a range of their upper halves."""
+    return ((values >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
+
+
 def _slots(shingles: np.ndarray, scheme: int, segments: int):
-    """(segment, sum of scrambled shingles, number of shingles, order, first) of a set's slots in a scheme."""
-    values = mix(shingles, 100 + scheme)
-    segment = ((values >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(segment, kind="stable")
-    ordered = segment[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    sums = np.add.reduceat(values[order], first)
-    sizes = np.diff(np.concatenate([first, [len(order)]]))
-    return ordered[first], sums, sizes, order, first, values
+    """(segment, sum of scrambled shingles, number of shingles, first) of a set's slots in a scheme, and the scrambled shingles in their order."""
+    values = np.sort(mix(shingles, 100 + scheme))
+    segment = _segments(values, segments)
+    first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+    sums = np.add.reduceat(values, first)
+    sizes = np.concatenate([first[1:], [len(values)]]) - first
+    return segment[first], sums, sizes, first, values
 
 
 def is_short(shingles: np.ndarray, scheme: int) -> bool:
@@ -111,8 +114,17 @@ def is_short(shingles: np.ndarray, scheme: int) -> bool:
     way = allocation(scheme)
     if not way.segments:
         return False
-    segment, _, sizes, *_ = _slots(shingles, scheme, way.segments)
-    return int(np.where((segment < way.deleting) & (sizes > 1), 2, 1).sum()) < borne(len(shingles), scheme)
+    sizes = np.bincount(_segments(mix(shingles, 100 + scheme), way.segments), minlength=way.segments)
+    return int(np.count_nonzero(sizes) + np.count_nonzero(sizes[: way.deleting] > 1)) < borne(len(shingles), scheme)
+
+
+def _taken(keys: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Places in the order of ``keys``, those marked ``last`` behind the others."""
+    order = np.argsort(keys)
+    if not last.any():
+        return order
+    behind = last[order]
+    return np.concatenate([order[~behind], order[behind]])
 
 
 def signatures(shingles: np.ndarray, fine: frozenset[int], common_shingles: np.ndarray) -> np.ndarray:
@@ -128,29 +140,33 @@ def signatures(shingles: np.ndarray, fine: frozenset[int], common_shingles: np.n
     if len(common_shingles):
         at = np.minimum(np.searchsorted(common_shingles, shingles), len(common_shingles) - 1)
         is_common = common_shingles[at] == shingles
+    everyday = shingles[is_common]
     found = []
     for scheme in schemes(len(shingles)):
         need, way = borne(len(shingles), scheme), allocation(scheme)
         if scheme in fine or not way.segments:
             sigs = mix(shingles, 500 + scheme)
-            order = np.lexsort((sigs, is_common))
-            found.append(sigs[order[:need]])
+            found.append(sigs[_taken(sigs, is_common)[:need]])
             continue
-        segment, sums, sizes, order, first, values = _slots(shingles, scheme, way.segments)
+        segment, sums, sizes, first, values = _slots(shingles, scheme, way.segments)
         name = mix(segment.astype(np.uint64), 900 + scheme)
         sigs = mix(sums ^ name, 1)
+        last = np.zeros(len(sigs), bool)
+        if len(everyday):
+            last = np.bincount(_segments(mix(everyday, 100 + scheme), way.segments), minlength=way.segments)[segment] == sizes
+        if not way.deleting:
+            found.append(sigs[_taken(sigs, last)[:need]])
+            continue
         deletes = segment < way.deleting
-        last = np.logical_and.reduceat(is_common[order], first) & ~deletes
-        taken = np.lexsort((np.where(deletes, name, sigs), last))
-        weights = np.where(deletes & (sizes > 1), 2, 1)[taken]
-        taken = taken[: int(np.searchsorted(np.cumsum(weights), need)) + 1]
+        wide = deletes & (sizes > 1)  # these bear two differences
+        taken = _taken(np.where(deletes, name, sigs), last & ~deletes)
+        taken = taken[: int(np.searchsorted(np.cumsum(1 + wide[taken]), need)) + 1]
         found.append(sigs[taken])
-        wide = taken[deletes[taken] & (sizes[taken] > 1)]
-        if len(wide):
-            rows = np.concatenate([order[first[i] : first[i] + sizes[i]] for i in wide])
-            slot = np.repeat(wide, sizes[wide])
-            found.append(mix(sums[slot] - values[rows] ^ name[slot], 1))
-    return np.unique(np.concatenate(found))
+        wide = taken[wide[taken]]
+        slot, many = np.repeat(wide, sizes[wide]), np.cumsum(sizes[wide])
+        rows = np.arange(len(slot)) + np.repeat(first[wide] - many + sizes[wide], sizes[wide])
+        found.append(mix(sums[slot] - values[rows] ^ name[slot], 1))
+    return distinct(np.concatenate(found))
 
 
 def is_link(a: int, b: int, both: int) -> bool:
@@ -187,6 +203,11 @@ _SETS = pa.schema(
 )
 
 
+def _sets(texts: list[str | None]) -> list[np.ndarray]:
+    """The shingles of each text, found for about 32,000 characters at a time: their arrays stay in a core's cache."""
+    return [s for group in by_size(texts, 1 << 15) for s in shingle_sets(group)]
+
+
 def _described(rows: DataFrame) -> DataFrame:
     """(_id, _th, n, k1, k2, short, sketch): size and identity of each row's set, and the schemes too coarse for it."""
 
@@ -195,7 +216,7 @@ def _described(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 ids, hashes, texts = [c.to_pylist() for c in part.columns]
-                sets = [s for group in by_size(texts) for s in shingle_sets(group)]
+                sets = _sets(texts)
                 keys = [set_key(s) for s in sets]
                 short = [[k for k in schemes(len(s)) if is_short(s, k)] if len(s) else [] for s in sets]
                 sizes, sketches = [len(s) for s in sets], [sketch(s) for s in sets]
@@ -210,7 +231,7 @@ def _common_shingles(rows: DataFrame, n_rows: int) -> np.ndarray:
     def run(batches):
         for batch in batches:
             for part in slices(batch):
-                sets = [s for group in by_size(part.column(0).to_pylist()) for s in shingle_sets(group)]
+                sets = _sets(part.column(0).to_pylist())
                 values, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(n)], ["shingle", "n"])
 
@@ -233,7 +254,7 @@ def _signed(rows: DataFrame, fine: frozenset[int], common_shingles: np.ndarray)
         for batch in batches:
             for part in slices(batch, 500):
                 ids, texts = [c.to_pylist() for c in part.columns]
-                sets = [s for group in by_size(texts) for s in shingle_sets(group)]
+                sets = _sets(texts)
                 found = [signatures(s, fine, shared.value) for s in sets]
                 many = [len(f) for f in found]
                 yield _batch(
@@ -267,18 +288,25 @@ def _shared_signatures(signed: DataFrame) -> DataFrame:
                 continue
             first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             size = np.diff(np.concatenate([first, [len(sig)]]))
-            group = np.repeat(np.arange(len(first)), size)
-            c_node, c_n, members = node[first], n[first], np.minimum(size, LARGE_GROUP + 1)
-            if large is not None and large[0] == sig[0]:
-                c_node[0], c_n[0], members[0] = large[1], large[2], LARGE_GROUP + 1
+            members = np.minimum(size, LARGE_GROUP + 1).astype(np.int32)
+            goes_on = large is not None and large[0] == sig[0]
+            if goes_on:
+                members[0] = LARGE_GROUP + 1
             is_large = members[-1] > LARGE_GROUP
-            large = (sig[-1], c_node[-1], c_n[-1]) if is_large else None
-            held = None if is_large else tuple(c[first[-1] :] for c in (sig, node, n))
-            keep = members[group] > 1
-            if not is_large:
-                keep[first[-1] :] = False  # they wait for the rest of their group
-            columns = (sig, node, n, c_node[group], c_n[group], members[group].astype(np.int32))
-            yield _batch(_POSTINGS, *[c[keep] for c in columns])
+            shared = np.flatnonzero(members[:-1] > 1 if not is_large else members > 1)  # a small last group waits for the rest of it
+            many = size[shared]
+            c_node, c_n = node[first[shared]], n[first[shared]]
+            if goes_on:
+                c_node[0], c_n[0] = large[1], large[2]
+            if is_large:
+                large, held = (sig[-1], c_node[-1], c_n[-1]), None
+            else:
+                large, held = None, tuple(c[first[-1] :] for c in (sig, node, n))
+            # Most signatures are of one set: only the rows of the others are taken further.
+            rows = np.arange(many.sum()) + np.repeat(first[shared] - (np.cumsum(many) - many), many)
+            if len(rows):
+                centers = [np.repeat(c, many) for c in (c_node, c_n, members[shared])]
+                yield _batch(_POSTINGS, sig[rows], node[rows], n[rows], *centers)
         if held is not None and len(held[0]) > 1:
             sig, node, n = held
             m = len(sig)
@@ -326,7 +354,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, sketches: DataFrame) -> DataFra
             for part in slices(batch, 500):
                 found = []
                 a, b, text_a, text_b = [c.to_pylist() for c in part.columns]
-                right = [s for group in by_size(text_b) for s in shingle_sets(group)]
+                right = _sets(text_b)
                 for i, text in enumerate(text_a):
                     if text != left:
                         left, left_set = text, shingle_sets([text])[0]
@@ -357,7 +385,7 @@ def _refined(postings: DataFrame, rows: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 500):
                 ids, hashes, strings = [c.to_pylist() for c in part.columns]
-                sets = [s for group in by_size(strings) for s in shingle_sets(group)]
+                sets = _sets(strings)
                 many = [len(s) for s in sets]
                 columns = (np.concatenate(sets).astype(np.int64), np.repeat(ids, many), np.repeat(hashes, many), np.repeat(many, many))
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["sig", "node", "_th", "n"])

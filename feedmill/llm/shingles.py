@@ -12,29 +12,46 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+_GAMMA = 0x9E3779B97F4A7C15
+_SHIFT_30, _SHIFT_27, _SHIFT_31 = np.uint64(30), np.uint64(27), np.uint64(31)
+_FACTOR_1, _FACTOR_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     """A bijective scramble of 64-bit values (the finalizer of a well-known hash)."""
-    x = x + np.uint64(salt * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x + np.uint64(salt * _GAMMA & 0xFFFFFFFFFFFFFFFF)
+    x ^= x >> _SHIFT_30
+    x *= _FACTOR_1
+    x ^= x >> _SHIFT_27
+    x *= _FACTOR_2
+    x ^= x >> _SHIFT_31
+    return x
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order; for the short arrays here several times faster than ``np.unique``, which hashes them first."""
+    x = np.sort(x)
+    first = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=first[1:])
+    return x[first]
 
 
 def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, first byte) of each word of lower-cased UTF-8 bytes."""
-    space = _IS_SPACE[data]
-    inside = ~space
+    inside = ~_IS_SPACE[data]
     first = inside.copy()
-    first[1:] &= space[:-1]
+    first[1:] &= ~inside[:-1]
     starts = np.flatnonzero(first)
     if not len(starts):
         return np.zeros(0, np.uint64), starts
-    word = np.cumsum(first) - 1
-    place = np.arange(len(data)) - starts[np.maximum(word, 0)]
-    # Beyond the table a word's places repeat with another factor.
-    value = _BYTE[data] * (_PLACE[place & 4095] + ((place >> 12) << 1).astype(np.uint64))
-    value[space] = 0
-    return mix(np.add.reduceat(value, starts)), starts
+    letters = data[inside]
+    begins = (np.cumsum(inside) - 1)[starts]  # of the words among the letters
+    lengths = np.diff(begins, append=len(letters))
+    place = np.arange(len(letters)) - np.repeat(begins, lengths)
+    factor = _PLACE[place & 4095]
+    if lengths.max() > 4096:  # beyond the table a word's places repeat with another factor
+        factor += ((place >> 12) << 1).astype(np.uint64)
+    return mix(np.add.reduceat(_BYTE[letters] * factor, begins)), starts
 
 
 def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
@@ -54,7 +71,7 @@ def shingle_sets(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
     sets, begin = [], 0
     for end in bounds:
         if end - begin >= words:
-            sets.append(np.unique(weighted[begin : end - words + 1]))
+            sets.append(distinct(weighted[begin : end - words + 1]))
         elif end > begin:
             own = hashes[begin:end]
             sets.append(mix((own * _WORD[: len(own)]).sum(dtype=np.uint64, keepdims=True), 2 + len(own)))
