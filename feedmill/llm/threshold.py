op12_top_k_search: searches without casts and repeated bounds

Symptom: op12_top_k_search took 888 CPU seconds a GB over its 0.02 GB, 670 of them Python, 197 JVM, 14 GC.
Evidence: the search stage had 15 of its task seconds; in a profile of one block a search took 2.8 ms, spent on casting the new rows to doubles at every step, finding the largest component of the whole block for every query, filtering the places read three times, and adding up the threshold in Python numbers.
Fix: a block is kept as doubles where its numbers are below 2^53 and bounded once; rows met are marked in place; the threshold is one product; the sorted copy of all components is gone, as the few needed are read from the rows. Lists, steps, places read and stopping are unchanged, large numbers still use 64-bit or Python integers.
Effect: at 0.6 GB of input CPU 210 -> 192 s, shuffle 0.07 -> 0.07 GB, spill 0.00 -> 0.00 GB, read 0.06 -> 0.06 GB, longest task 4 -> 3 s, most memory of a task 101 -> 101 MB; at 6 GB of input CPU 4929 -> 3318 s, shuffle 3.08 -> 3.08 GB, spill 0.00 -> 0.00 GB, read 0.61 -> 0.61 GB, longest task 60 -> 39 s, most memory of a task 170 -> 170 MB; with hot keys, at 0.6 GB of input CPU 187 -> 177 s, shuffle 0.06 -> 0.06 GB, spill 0.00 -> 0.00 GB, read 0.06 -> 0.06 GB, longest task 3 -> 3 s, most memory of a task 101 -> 101 MB.

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from feedmill.llm.tiles import (
-    BLOCK_ROWS, Items, as_long, blocked, cells, first_by_score, largest_product, quantised, rows_of_a_block, same_width,
+    BLOCK_ROWS, Items, as_long, blocked, cells, first_by_score, largest_component, quantised, rows_of_a_block, same_width,
 )
 from feedmill.operators.storage import materialised
 
@@ -27,17 +27,21 @@ class SortedLists:
     """One list of rows per dimension, in the order of their components."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+        self.ids = ids
         self.by_dimension = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
-        self.sorted = np.ascontiguousarray(np.take_along_axis(vectors, self.by_dimension.T, axis=0).T)
+        self.most = largest_component(vectors)
+        # Whole numbers below 2^53 are exact as doubles, in which rows are multiplied without a cast.
+        self.vectors = vectors.astype(np.float64) if self.most < 1 << 53 else vectors
         self.by_id = np.argsort(ids, kind="stable")
         self.places_read = 0  # of all lists, over all searches
 
+    def components(self, at, kind) -> np.ndarray:
+        values = self.vectors[at]
+        return values.astype(np.int64, copy=False).astype(object) if kind is object else values.astype(kind, copy=False)
+
     def scores(self, rows: np.ndarray, query: np.ndarray, kind) -> np.ndarray:
-        if kind is float:
-            return (self.vectors[rows].astype(np.float64) @ query.astype(np.float64)).astype(np.int64)
-        products = self.vectors[rows].astype(kind) @ query.astype(kind)
-        return as_long(products) if kind is object else products
+        products = self.components(rows, kind) @ query
+        return as_long(products) if kind is object else products.astype(np.int64, copy=False)
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of the ``k`` best rows whose id is not ``own``."""
@@ -46,33 +50,33 @@ class SortedLists:
         sorted_ids = self.ids[self.by_id]
         met[self.by_id[np.searchsorted(sorted_ids, own) : np.searchsorted(sorted_ids, own, side="right")]] = True
         left = n - int(met.sum())
-        bound = largest_product(query[None, :], self.vectors)
-        kind = float if bound < 1 << 53 else np.int64 if bound < 1 << 63 else object
+        bound = largest_component(query) * self.most * max(1, len(query))
+        kind = np.float64 if bound < 1 << 53 else np.int64 if bound < 1 << 63 else object
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+        dims = np.concatenate([up, down])
+        query = query.astype(kind)
         best_ids, best_scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
         depth, step = 0, _FIRST_STEP
         while left:
             upto = min(n, depth + step)
-            if len(up) + len(down):
-                read = np.concatenate([self.by_dimension[up, n - upto : n - depth].ravel(), self.by_dimension[down, depth:upto].ravel()])
-                self.places_read += len(read)
-                read = read[~met[read]]
-                fresh = np.zeros(n, bool)
-                fresh[read] = True
-                fresh = np.flatnonzero(fresh)
+            known = met.copy()
+            if len(dims):
+                met[self.by_dimension[up, n - upto : n - depth]] = True
+                met[self.by_dimension[down, depth:upto]] = True
+                self.places_read += len(dims) * (upto - depth)
             else:
-                fresh = np.flatnonzero(~met)  # all rows tie
+                met[:] = True  # all rows tie
+            fresh = np.flatnonzero(met & ~known)
             if len(fresh):
-                met[fresh] = True
                 left -= len(fresh)
                 ids = np.concatenate([best_ids, self.ids[fresh]])
                 scores = np.concatenate([best_scores, self.scores(fresh, query, kind)])
                 first = first_by_score(scores, ids, k)
                 best_ids, best_scores = ids[first], scores[first]
             if left and len(best_ids) == k:
-                ends = [*zip(up, self.sorted[up, n - upto]), *zip(down, self.sorted[down, upto - 1])]
+                ends = np.concatenate([self.by_dimension[up, n - upto], self.by_dimension[down, upto - 1]])
                 # A row that only ties may have a smaller id.
-                if sum(int(query[d]) * int(x) for d, x in ends) < best_scores[-1]:
+                if query[dims] @ self.components((ends, dims), kind) < best_scores[-1]:
                     break
             depth, step = upto, step * 2
         return best_ids, best_scores

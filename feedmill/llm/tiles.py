@@ -96,10 +96,14 @@ class Items:
         return out
 
 
+def largest_component(a: np.ndarray) -> int:
+    """The size of the largest component of ``a``."""
+    return max(abs(int(a.max(initial=0))), abs(int(a.min(initial=0))))
+
+
 def largest_product(a: np.ndarray, b: np.ndarray) -> int:
     """A bound on the size of every inner product of rows of ``a`` and ``b``."""
-    most = [max(abs(int(x.max(initial=0))), abs(int(x.min(initial=0)))) for x in (a, b)]
-    return most[0] * most[1] * max(1, min(a.shape[1], b.shape[1]))
+    return largest_component(a) * largest_component(b) * max(1, min(a.shape[1], b.shape[1]))
 
 
 def as_long(scores: np.ndarray) -> np.ndarray:
