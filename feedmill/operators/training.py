@@ -2,7 +2,7 @@
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmill.operators.attention import with_pair_vectors
 
@@ -42,13 +42,25 @@ def score_click_model(model: LogisticRegressionModel, features: DataFrame, name:
     return features.withColumn(name, _log_odds(vector_to_array("features"), model.coefficients.toArray(), model.intercept))
 
 
-def mean_gradient(features: DataFrame, weights: list[float], intercept: float, weight_decay: float = 1e-5, label: str = "label") -> DataFrame:
-    """(dim, gradient): the mean gradient of the penalised loss per weight, dim -1 the intercept.
+def mean_gradient(
+    features: DataFrame, weights: list[float], intercept: float, weight_decay: float = 1e-5, label: str = "label",
+    others: dict[str, tuple[list[float], float]] | None = None, totals: dict[str, Column] | None = None,
+) -> DataFrame:
+    """(dim, gradient, ``others``, ``totals``): the mean gradient of the penalised loss per weight, dim -1 the intercept.
 
-    Zero everywhere exactly where the loss is lowest.  One aggregation.
+    Zero everywhere exactly where the loss is lowest.  ``others`` names (weights, intercept) elsewhere: each row
+    also has the whole gradient there as a list, the intercept's first.  ``totals`` names aggregates of the rows of ``features``.
+    One aggregation for all of them.
     """
+    others, totals = others or {}, totals or {}
     values = vector_to_array("features")
-    miss = F.lit(1.0) / (F.lit(1.0) + F.exp(-_log_odds(values, weights, intercept))) - F.col(label)
-    sums = [F.avg(miss * F.get(values, F.lit(j))) + weight_decay * float(w) for j, w in enumerate(weights)]
-    rows = features.agg(F.array(F.avg(miss), *sums).alias("g")).select(F.posexplode("g").alias("i", "gradient"))
-    return rows.select((F.col("i") - 1).cast("bigint").alias("dim"), "gradient")
+
+    def at(weights, intercept):
+        miss = F.lit(1.0) / (F.lit(1.0) + F.exp(-_log_odds(values, weights, intercept))) - F.col(label)
+        sums = [F.avg(miss * F.get(values, F.lit(j))) + weight_decay * float(w) for j, w in enumerate(weights)]
+        return F.array(F.avg(miss), *sums)
+
+    elsewhere = [at(*point).alias(name) for name, point in others.items()]
+    sums = features.agg(at(weights, intercept).alias("g"), *elsewhere, *[total.alias(name) for name, total in totals.items()])
+    rows = sums.select(F.posexplode("g").alias("i", "gradient"), *others, *totals)
+    return rows.select((F.col("i") - 1).cast("bigint").alias("dim"), "gradient", *others, *totals)
